@@ -115,7 +115,7 @@ def month_diff(start: str | Column, end: str | Column) -> Column:
 def yyyymm_to_date(c: str | Column, strict: bool = False) -> Column:
     """YYYYMM integer or string -> first day of that month."""
     s = col_of(c).cast("string")
-    return F.to_date(s, "yyyyMM") if strict else F.try_to_date(s, F.lit("yyyyMM"))
+    return F.to_date(s, "yyyyMM") if strict else F.try_to_date(s, "yyyyMM")
 
 
 def yyyymm_of(ts: str | Column) -> Column:
