@@ -123,8 +123,13 @@ def fit_metric(df: DataFrame, features: Sequence[str] = FEATURES, ridge: float =
     if not np.all(np.isfinite(cov)):
         raise SingularCovariance("covariance has undefined entries")
     cov_r = cov + ridge * np.eye(k)
-    if np.linalg.cond(cov_r) > max_condition:
-        raise SingularCovariance("covariance is (numerically) singular; a constant feature?")
+    sd = np.sqrt(np.diag(cov_r))
+    if np.any(sd <= 0):
+        raise SingularCovariance("a feature is constant: covariance is singular")
+    # Scale-free test: the correlation matrix, not the raw covariance, whose
+    # conditioning mostly reflects the units of the features.
+    if np.linalg.cond(cov_r / np.outer(sd, sd)) > max_condition:
+        raise SingularCovariance("features are (numerically) collinear: covariance is singular")
     try:
         inv = np.linalg.inv(cov_r)
         inv = (inv + inv.T) / 2.0

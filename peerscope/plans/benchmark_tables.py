@@ -157,9 +157,8 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------------- queries
-def kpi_by_place_year(spark: SparkSession, sf_dir: str, since: str = KPI_SINCE) -> DataFrame:
-    """Flagship: order indicators per place x year (P25 on the benchmark tables)."""
-    t = tables(spark, sf_dir)
+def place_year_mart(t: dict[str, DataFrame], since: str = KPI_SINCE) -> DataFrame:
+    """Order indicators per place x year in the shape of the yearly mart (P25)."""
     facts = fact_orders(t)
     ts_type = facts.schema["order_purchase_timestamp"].dataType
     facts = facts.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast(ts_type)).withColumn(
@@ -167,11 +166,34 @@ def kpi_by_place_year(spark: SparkSession, sf_dir: str, since: str = KPI_SINCE)
     agg = order_kpis(facts, ["place_id", "year"])
     sellers = t["supplier"].groupBy(F.col("s_nationkey").alias("place_id")).agg(
         F.count("s_suppkey").alias("vendedores_no_municipio"))
-    out = (agg.join(bounded_broadcast(place_dim(t)), "place_id", "left")
-           .join(bounded_broadcast(sellers), "place_id", "left"))
+    return (agg.join(bounded_broadcast(place_dim(t)), "place_id", "left")
+            .join(bounded_broadcast(sellers), "place_id", "left"))
+
+
+def kpi_by_place_year(spark: SparkSession, sf_dir: str, since: str = KPI_SINCE) -> DataFrame:
+    """Flagship: order indicators per place x year (P25 on the benchmark tables)."""
+    out = place_year_mart(tables(spark, sf_dir), since)
     return to_double(out.select("place_id", "place_name", "region_name", "year", *KPI_COLUMNS))
 
 
+def place_profile_frame(t: dict[str, DataFrame], year: int = PROFILE_YEAR) -> DataFrame:
+    """One profile row per place (P27): yearly orders + whole-period payments."""
+    from peerscope.plans.families import municipios, pix_raw
+    from peerscope.plans.marts import mart_geo_analytics, mart_ibge_pix
+
+    olist = place_year_mart(t).select(
+        F.col("place_id").alias("id_municipio"), F.col("place_name").alias("nome_municipio"),
+        F.col("region_name").alias("uf_sigla"), F.col("region_name").alias("macroregiao_nome"),
+        F.col("year").alias("ano"), *KPI_COLUMNS)
+    pix = mart_ibge_pix(I.int_bcb_pix_municipio(pix_raw(t)), municipios(t))
+    return mart_geo_analytics(olist, pix, year=year)
+
+
+def place_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P27 on the benchmark tables."""
+    return to_double(place_profile_frame(tables(spark, sf_dir)))
+
+
 def fact_orders_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P24 on the benchmark tables."""
     return to_double(fact_orders(tables(spark, sf_dir)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerscope.plans import benchmark_tables as B
 from peerscope.plans import families as M
+from peerscope.plans import matching_queries as X
 from peerscope.plans import oracle_sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,11 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "incremental_append": (M.incremental_append, S.INCREMENTAL_APPEND),
     "freshness": (M.freshness_query, S.FRESHNESS),
     "common_schema": (M.common_schema, S.COMMON_SCHEMA),
+    "place_profile": (B.place_profile, S.PLACE_PROFILE),
+    "feature_covariance": (X.feature_covariance, S.FEATURE_COVARIANCE),
+    "match_two_features_topk": (X.match_two_features_topk, S.MATCH_TWO_FEATURES_TOPK),
+    "match_place_six": (X.match_place_six, None),
+    "match_comparison_long": (X.match_comparison_long, None),
 }
 
 
