@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerscope.plans import benchmark_tables as B
 from peerscope.plans import families as M
+from peerscope.plans import ingest_queries as K
 from peerscope.plans import matching_queries as X
 from peerscope.plans import oracle_sql as S
 
@@ -54,6 +55,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "match_two_features_topk": (X.match_two_features_topk, S.MATCH_TWO_FEATURES_TOPK),
     "match_place_six": (X.match_place_six, None),
     "match_comparison_long": (X.match_comparison_long, None),
+    "file_stream_ingest": (K.file_stream_ingest, S.FILE_STREAM_INGEST),
 }
 
 
