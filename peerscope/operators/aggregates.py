@@ -22,20 +22,42 @@ def mode_of(c: str | Column) -> Column:
 def mode_by_group(
     df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None
 ) -> DataFrame:
-    """Two-phase mode (F6) for groups with many distinct values.
-
-    Phase 1 counts (key, value) pairs with a partial hash aggregate; phase
-    2 keeps the top pair per key.  No group's values are ever held together
-    in memory, so a key holding a third of all rows is just one more count.
+    """Two-phase mode (F6): most frequent non-NULL value per key, ties -> smallest.
+
+    Phase 1 counts (key, value) pairs in a hash aggregation with map-side
+    combine, so a key holding a third of all rows is reduced inside each
+    map task before anything is shuffled.  Phase 2 keeps, per key, the
+    value with the highest count (``min_by`` over ``(-count, value)``).
+    The result is an aggregate on ``keys``: when a caller joins it on those
+    keys and never reads the mode, Catalyst can drop the whole branch.
     """
     alias = alias or value
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(F.desc("_n"), F.asc(value))
-    return (
-        counted.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 1)
-        .select(*keys, F.col(value).alias(alias))
-    )
+    counted = (df.filter(F.col(value).isNotNull())
+               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    best = F.min_by(F.col(value), F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v")))
+    return counted.groupBy(*keys).agg(best.alias(alias))
+
+
+def modes_by_group(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """Several two-phase modes on the same keys, joined on the keys."""
+    out = None
+    for value, alias in values.items():
+        m = mode_by_group(df, keys, value, alias)
+        out = m if out is None else out.join(m, list(keys), "full")
+    return out
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Exact ``count(distinct c)`` per key for several columns.
+
+    Kept in its own narrow aggregation: Spark evaluates several distinct
+    aggregates through an ``Expand`` that copies every input row once per
+    distinct column, and in a wide aggregate it also copies every other
+    aggregate buffer.  Here only the key and the counted columns are
+    expanded; the partial aggregation before the shuffle still dedups
+    (key, value) pairs map-side, so a hot key is reduced before the shuffle.
+    """
+    return df.groupBy(*keys).agg(*[F.count_distinct(c).alias(a) for a, c in columns.items()])
 
 
 def pivot_agg(

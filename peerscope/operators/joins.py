@@ -36,9 +36,16 @@ def lookup_join(
     dim: DataFrame,
     on: str | Sequence[str] | Column,
     how: str = "left",
-    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Fact-to-dimension join (E1 / E3); left keeps every fact row."""
+    """Fact-to-dimension join (E1 / E3); left keeps every fact row.
+
+    By default the strategy is Spark's: a side whose estimated size is
+    under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast at plan
+    time, and AQE converts a shuffle join to a broadcast one at run time
+    from the real size of the shuffled side.  Pass ``max_broadcast_rows``
+    to force a broadcast after an explicit row-count check.
+    """
     if max_broadcast_rows is not None:
         dim = bounded_broadcast(dim, max_broadcast_rows)
     return fact.join(dim, on, how)
@@ -69,9 +76,12 @@ def computed_key_join(
     right_slug: str,
     right_state: str,
     how: str = "inner",
-    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join on ``slug(city) = slug and upper(state) = state``."""
+    """Join on ``slug(city) = slug and upper(state) = state``.
+
+    The keys are expressions; Spark still plans an equi-join on them.
+    """
     if max_broadcast_rows is not None:
         right = bounded_broadcast(right, max_broadcast_rows)
     cond = (slug(F.col(left_city)) == right[right_slug]) & (
@@ -97,7 +107,7 @@ def geocode(
     With ``how="inner"`` (the models' choice) unmatched rows drop; run it
     with ``how="left"`` and ``coverage`` to measure how many.
     """
-    z = bounded_broadcast(zips.select(zip_key, zip_city, zip_state))
+    z = zips.select(zip_key, zip_city, zip_state)
     hop1 = facts.join(z, facts[fact_zip] == z[zip_key], how)
     return computed_key_join(hop1, places, zip_city, zip_state, place_slug, place_state, how=how)
 

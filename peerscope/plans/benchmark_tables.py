@@ -31,7 +31,6 @@ from pyspark.sql.types import DecimalType
 
 from peerscope.functions.columns import day_diff, is_present, on_time_flag, to_money
 from peerscope.operators.dedup import latest_per_key
-from peerscope.operators.joins import bounded_broadcast
 from peerscope.plans import intermediate as I
 from peerscope.plans.marts import KPI_COLUMNS, order_kpis
 
@@ -46,9 +45,20 @@ KPI_SINCE = "1996-01-01"
 PROFILE_YEAR = 1998
 
 
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One benchmark table; only the columns a query uses are read."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One benchmark table; only the columns a query uses are read.
+
+    The handle (file listing + footer schema) is reused within a session:
+    the tables are read-only inputs.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(path)
+    return _HANDLES[key]
 
 
 def to_double(df: DataFrame) -> DataFrame:
@@ -76,6 +86,7 @@ def items(lineitem: DataFrame) -> DataFrame:
         to_money("l_extendedprice").alias("price"),
         to_money(F.col("l_extendedprice") * F.col("l_tax"), 4).alias("freight_value"),
         F.col("l_shipdate"),
+        _case("l_returnflag", PAYMENT_BY_FLAG).alias("payment_type"),
     )
 
 
@@ -105,24 +116,25 @@ def reviews(events: DataFrame) -> DataFrame:
 
 def fact_orders(t: dict[str, DataFrame]) -> DataFrame:
     """One row per order (E4 star join over pre-aggregated children, J6, C6)."""
-    li = t["lineitem"]
-    items_agg = I.int_olist_order_items_agg(
-        items(li), products(t["part"]),
-        extra=[F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")],
-        max_broadcast_rows=2_000_000,
+    # Items and payments both come from the order lines: one aggregation of
+    # lineitem per order computes the item measures and the payment pivot
+    # (Catalyst prunes whatever a consumer does not read).
+    li = items(t["lineitem"])
+    lines_agg = I.int_olist_order_items_agg(
+        li, products(t["part"]),
+        extra=[F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"),
+               *I.payment_pivot_columns(I.PAYMENT_TYPES, "payment_type", "price", "order_item_id",
+                                        closed_domain=True)],
     )
-    pay_agg = I.int_olist_order_payments_agg(payments(li))
-    cust = bounded_broadcast(t["customer"].select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("place_id")))
-    rev = bounded_broadcast(reviews(t["events"]))
+    cust = t["customer"].select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("place_id"))
+    rev = reviews(t["events"])
     o = t["orders"].select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         _case("o_orderstatus", STATUS_BY_CODE).alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
     )
     j = (o.join(cust, "customer_id", "inner")
-         .join(pay_agg, "order_id", "left")
-         .join(items_agg, "order_id", "left")
+         .join(lines_agg, "order_id", "left")
          .join(rev, "customer_id", "left"))
     purchase = F.col("order_purchase_timestamp")
     estimated = purchase + F.expr(f"INTERVAL {ESTIMATE_DAYS} DAYS")
@@ -152,8 +164,21 @@ def place_dim(t: dict[str, DataFrame]) -> DataFrame:
     return n.join(F.broadcast(r), "r_regionkey", "left").drop("r_regionkey")
 
 
+class Tables(dict):
+    """Benchmark tables opened on first use (a query only lists the files it reads)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = read(self.spark, self.sf_dir, name)
+        self[name] = df
+        return df
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: read(spark, sf_dir, name) for name in TABLES}
+    return Tables(spark, sf_dir)
 
 
 # ------------------------------------------------------------------- queries
@@ -166,8 +191,7 @@ def place_year_mart(t: dict[str, DataFrame], since: str = KPI_SINCE) -> DataFram
     agg = order_kpis(facts, ["place_id", "year"])
     sellers = t["supplier"].groupBy(F.col("s_nationkey").alias("place_id")).agg(
         F.count("s_suppkey").alias("vendedores_no_municipio"))
-    return (agg.join(bounded_broadcast(place_dim(t)), "place_id", "left")
-            .join(bounded_broadcast(sellers), "place_id", "left"))
+    return agg.join(place_dim(t), "place_id", "left").join(sellers, "place_id", "left")
 
 
 def kpi_by_place_year(spark: SparkSession, sf_dir: str, since: str = KPI_SINCE) -> DataFrame:

@@ -14,10 +14,10 @@ from peerscope.functions.columns import (
     safe_cast, safe_ratio, sentinel_to_null, slug, to_money, yyyymm_of, yyyymm_to_date,
 )
 from peerscope.operators import quality as Q
-from peerscope.operators.aggregates import centroid, daily_rollup, long_to_wide, mode_by_group, mode_of
+from peerscope.operators.aggregates import centroid, daily_rollup, long_to_wide, mode_by_group
 from peerscope.operators.dedup import dedup_by_hash, latest_per_key, latest_snapshot
 from peerscope.operators.filters import facet_filter, facet_options
-from peerscope.operators.joins import bounded_broadcast, computed_key_join, geocode, lookup_join, orphans
+from peerscope.operators.joins import computed_key_join, geocode, lookup_join, orphans
 from peerscope.plans import intermediate as I
 from peerscope.plans.benchmark_tables import (
     items, payments, place_dim, products, read, tables, to_double,
@@ -94,13 +94,13 @@ def slug_state_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sellers matched to places on their own free-text city."""
     t = tables(spark, sf_dir)
     places = _places(t)
-    cust = bounded_broadcast(t["customer"].select("c_custkey", F.col("c_nationkey").alias("zip")))
+    cust = t["customer"].select("c_custkey", F.col("c_nationkey").alias("zip"))
     orders = t["orders"].select("o_orderkey", "o_custkey").join(
         cust, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     geo = geocode(orders, _zips(t), places, "zip", "zip_key", "city", "state", "place_slug", "uf")
     per_place = geo.groupBy("place_id").agg(
         F.count(F.lit(1)).alias("n_orders"), F.count_distinct("o_custkey").alias("n_customers"))
-    sellers = t["supplier"].join(bounded_broadcast(_zips(t)), F.col("s_nationkey") == F.col("zip_key")).select(
+    sellers = t["supplier"].join(_zips(t), F.col("s_nationkey") == F.col("zip_key")).select(
         "s_suppkey", F.regexp_replace("city", " ", "-").alias("seller_city"), F.col("state").alias("seller_state"))
     s = computed_key_join(sellers, places, "seller_city", "seller_state", "place_slug", "uf").groupBy(
         "place_id").agg(F.count("s_suppkey").alias("n_sellers"))
@@ -113,8 +113,8 @@ def customer_mode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     o = t["orders"]
     prio = mode_by_group(o, ["o_custkey"], "o_orderpriority", "modal_priority")
-    status = o.groupBy("o_custkey").agg(mode_of("o_orderstatus").alias("modal_status"),
-                                        F.count(F.lit(1)).alias("n_orders"))
+    status = mode_by_group(o, ["o_custkey"], "o_orderstatus", "modal_status").join(
+        o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders")), "o_custkey", "full")
     c = t["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
     return status.join(prio, "o_custkey", "left").join(c, "o_custkey", "left").withColumnRenamed(
         "o_custkey", "customer_id")
@@ -125,7 +125,7 @@ def place_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select(
         "c_nationkey", to_money("c_acctbal").alias("x"), F.col("c_custkey").alias("y"), "c_mktsegment")
     cen = centroid(c, "c_nationkey", {"centroid_x": "x", "centroid_y": "y"}, exact=True)
-    modal = c.groupBy("c_nationkey").agg(mode_of("c_mktsegment").alias("modal_segment"))
+    modal = mode_by_group(c, ["c_nationkey"], "c_mktsegment", "modal_segment")
     return cen.join(modal, "c_nationkey").select(
         F.col("c_nationkey").alias("place_id"), "centroid_x", "centroid_y", "modal_segment",
         slug("modal_segment").alias("segment_slug"))
@@ -283,7 +283,7 @@ FACETS = {"region_name": ["ASIA", "EUROPE"], "c_mktsegment": ["Todos"], "place_n
 
 def _customer_places(t) -> DataFrame:
     return t["customer"].join(
-        bounded_broadcast(place_dim(t)), F.col("c_nationkey") == F.col("place_id")).select(
+        place_dim(t), F.col("c_nationkey") == F.col("place_id")).select(
         "c_custkey", "c_name", "c_mktsegment", "place_name", "region_name")
 
 
@@ -390,12 +390,12 @@ def freshness_query(spark, sf_dir):
 def common_schema(spark, sf_dir):
     """Q3: two business sources mapped to one monthly schema and combined."""
     t = tables(spark, sf_dir)
-    a = t["orders"].join(bounded_broadcast(t["customer"].select("c_custkey", "c_nationkey")),
+    a = t["orders"].join(t["customer"].select("c_custkey", "c_nationkey"),
                          F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_nationkey").alias("municipio_id"), yyyymm_of("o_orderdate").alias("ano_mes"),
         F.col("o_orderkey").alias("order_key"), to_money("o_totalprice").alias("revenue"),
         F.lit("orders").alias("fonte"))
-    b = t["lineitem"].join(bounded_broadcast(t["supplier"].select("s_suppkey", "s_nationkey")),
+    b = t["lineitem"].join(t["supplier"].select("s_suppkey", "s_nationkey"),
                            F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("s_nationkey").alias("municipio_id"), yyyymm_of("l_shipdate").alias("ano_mes"),
         F.col("l_orderkey").alias("order_key"), to_money("l_extendedprice").alias("revenue"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from peerscope.functions.columns import (
     day_diff, is_present, on_time_flag, slug, yyyymm_to_date,
 )
-from peerscope.operators.aggregates import centroid, long_to_wide, mode_of, pivot_agg
+from peerscope.operators.aggregates import distinct_counts, long_to_wide, mode_by_group, pivot_agg
 from peerscope.operators.dedup import latest_per_key
 from peerscope.operators.joins import lookup_join, star_join
 
@@ -28,27 +28,50 @@ VAR_INCOME_MEDIAN = "13534"
 
 def int_olist_geolocation(geo: DataFrame) -> DataFrame:
     """One row per zip prefix - centroid, modal city / state, city slug."""
-    agg = geo.groupBy("geolocation_zip_code_prefix").agg(
+    k = ["geolocation_zip_code_prefix"]
+    cen = geo.groupBy(*k).agg(
         F.avg("geolocation_lat").alias("geolocation_lat"),
         F.avg("geolocation_lng").alias("geolocation_lng"),
-        mode_of("geolocation_city").alias("geolocation_city"),
-        mode_of("geolocation_state").alias("geolocation_state"),
     )
+    agg = (cen.join(mode_by_group(geo, k, "geolocation_city"), k, "left")
+           .join(mode_by_group(geo, k, "geolocation_state"), k, "left"))
     return agg.select(
         "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
         slug("geolocation_city").alias("geolocation_city_slug"), "geolocation_state",
     )
 
 
-def int_olist_order_payments_agg(payments: DataFrame, types: Sequence[str] = PAYMENT_TYPES) -> DataFrame:
-    """Payments pivoted per order."""
-    t, v = F.col("payment_type"), F.col("payment_value")
+def payment_pivot_columns(types: Sequence[str] = PAYMENT_TYPES, type_col: str = "payment_type",
+                          value_col: str = "payment_value",
+                          installments_col: str = "payment_installments",
+                          closed_domain: bool = False) -> list[Column]:
+    """The per-order payment measures of P15 as aggregate columns.
+
+    ``closed_domain=True`` (every type is one of ``types`` or NULL) counts
+    the distinct types as a sum of per-type presence flags, which keeps the
+    aggregation free of a distinct rewrite; otherwise it is
+    ``count(distinct type)``.
+    """
+    t, v = F.col(type_col), F.col(value_col)
     card = types[0]
     aggs = [pivot_agg(t, v, [card], "sum", "{}_value")[0],
-            F.max(F.when(t == F.lit(card), F.col("payment_installments"))).alias(f"{card}_installments")]
+            F.max(F.when(t == F.lit(card), F.col(installments_col))).alias(f"{card}_installments")]
     aggs += pivot_agg(t, v, list(types[1:]), "sum", "{}_value")
-    aggs += [F.sum(v).alias("total_payment_value"), F.count_distinct(t).alias("payment_types_count")]
-    return payments.groupBy("order_id").agg(*aggs)
+    aggs.append(F.sum(v).alias("total_payment_value"))
+    if closed_domain:
+        present = [F.max(F.when(t == F.lit(k), F.lit(1)).otherwise(F.lit(0))) for k in types]
+        n = present[0]
+        for p in present[1:]:
+            n = n + p
+        aggs.append(n.cast("bigint").alias("payment_types_count"))
+    else:
+        aggs.append(F.count_distinct(t).alias("payment_types_count"))
+    return aggs
+
+
+def int_olist_order_payments_agg(payments: DataFrame, types: Sequence[str] = PAYMENT_TYPES) -> DataFrame:
+    """Payments pivoted per order."""
+    return payments.groupBy("order_id").agg(*payment_pivot_columns(types))
 
 
 def int_olist_order_items_agg(
@@ -57,20 +80,29 @@ def int_olist_order_items_agg(
 ) -> DataFrame:
     """Items per order with the dominant product category.
 
-    ``extra`` adds more per-order aggregates to the same pass.
+    Three aggregations per order - additive measures (plus ``extra``), the
+    two distinct counts (narrow, see ``distinct_counts``) and the dominant
+    category (two-phase mode) - joined on ``order_id``.  All three come out
+    hash-partitioned on ``order_id``, so the joins add no shuffle, and a
+    consumer that reads none of a branch's columns lets Catalyst drop it.
     """
     p = products.select("product_id", "product_category_name")
     enriched = lookup_join(items, p, "product_id", "left", max_broadcast_rows)
-    return enriched.groupBy("order_id").agg(
+    base = items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items_count"),
-        F.count_distinct("product_id").alias("unique_products_count"),
-        F.count_distinct("seller_id").alias("unique_sellers_count"),
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight_value"),
         (F.sum("price") + F.sum("freight_value")).alias("total_revenue"),
-        mode_of("product_category_name").alias("dominant_category_name"),
         *extra,
     )
+    distinct = distinct_counts(items, ["order_id"], {"unique_products_count": "product_id",
+                                                     "unique_sellers_count": "seller_id"})
+    dominant = mode_by_group(enriched, ["order_id"], "product_category_name", "dominant_category_name")
+    out = base.join(distinct, "order_id", "left").join(dominant, "order_id", "left")
+    return out.select("order_id", "items_count", "unique_products_count", "unique_sellers_count", "total_price",
+                      "total_freight_value", "total_revenue", "dominant_category_name",
+                      *[c for c in base.columns if c not in (
+                          "order_id", "items_count", "total_price", "total_freight_value", "total_revenue")])
 
 
 def int_olist_order_reviews_agg(reviews: DataFrame, key: str = "order_id",
@@ -82,11 +114,10 @@ def int_olist_order_reviews_agg(reviews: DataFrame, key: str = "order_id",
 
 def int_dim_customers(customers: DataFrame, geo: DataFrame) -> DataFrame:
     """One row per unique customer with modal address (F6) and centroid."""
-    canon = customers.groupBy("customer_unique_id").agg(
-        mode_of("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
-        mode_of("customer_state").alias("customer_state"),
-        mode_of("customer_city").alias("customer_city"),
-    )
+    k = ["customer_unique_id"]
+    canon = (mode_by_group(customers, k, "customer_zip_code_prefix")
+             .join(mode_by_group(customers, k, "customer_state"), k, "full")
+             .join(mode_by_group(customers, k, "customer_city"), k, "full"))
     g = geo.select(
         F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
         F.col("geolocation_lat").alias("customer_lat"),

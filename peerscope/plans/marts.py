@@ -16,7 +16,7 @@ from peerscope.functions.columns import (
     mean_of, per_capita, population_band, presence_band, safe_ratio, with_default,
 )
 from peerscope.operators.aggregates import reaggregate
-from peerscope.operators.joins import bounded_broadcast, computed_key_join, lookup_join
+from peerscope.operators.joins import computed_key_join, lookup_join
 
 # Order status groups of the business source.
 DELIVERED = ("delivered",)
@@ -83,16 +83,17 @@ def mart_olist(fact_orders: DataFrame, geolocation: DataFrame, municipios: DataF
                dim_sellers: DataFrame, since: str = SINCE) -> DataFrame:
     """P25: order indicators per municipality x year.
 
-    Orders are geocoded zip -> (city slug, state) -> municipality (E5, both
-    hops broadcast after a size check); unmatched orders drop (T14).  The
+    Orders are geocoded zip -> (city slug, state) -> municipality (E5; both
+    lookup sides are one row per zip / municipality, so Spark broadcasts
+    them from their measured size); unmatched orders drop (T14).  The
     time filter is a range on the timestamp, so it reaches the scan.
     """
     m = municipios.select("id_municipio", "nome_municipio", "nome_municipio_slug", "uf_sigla", "macroregiao_nome")
     g = geolocation.select("geolocation_zip_code_prefix", "geolocation_city_slug", "geolocation_state")
     ts_type = fact_orders.schema["order_purchase_timestamp"].dataType
     facts = fact_orders.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast(ts_type))
-    facts = facts.join(bounded_broadcast(g), facts["customer_zip_code_prefix"] == g["geolocation_zip_code_prefix"], "inner")
-    mb = bounded_broadcast(m)
+    facts = facts.join(g, facts["customer_zip_code_prefix"] == g["geolocation_zip_code_prefix"], "inner")
+    mb = m
     facts = facts.join(
         mb, (facts["geolocation_city_slug"] == mb["nome_municipio_slug"])
         & (F.upper(facts["geolocation_state"]) == mb["uf_sigla"]), "inner",
