@@ -17,7 +17,9 @@ from peerscope.operators.matching import FEATURES, comparison_long, fit_metric,
 from peerscope.plans.benchmark_tables import place_profile_frame, tables, to_double
 from peerscope.session import checkpoint_dir
 
-TARGET_PLACE = 0
+# Target place: the caller's choice; by default the smallest place id among
+# the complete cases (the first entry of the reference's selection list).
+TARGET_PLACE = None
 TWO_FEATURES = ("renda_media_per_capita", "ticket_medio")
 KEEP = ("nome_municipio", "uf_sigla")
 
@@ -26,7 +28,7 @@ def candidates(spark: SparkSession, sf_dir: str, features=FEATURES) -> DataFrame
     """Complete-case profiles, materialised in the shared checkpoint folder."""
     checkpoint_dir(spark)
     prof = to_double(place_profile_frame(tables(spark, sf_dir)))
-    cand = complete_cases(prof.select("id_municipio", *KEEP, *FEATURES), features)
+    cand = complete_cases(prof.select("id_municipio", *KEEP, *features), features)
     return cand.checkpoint(eager=True)
 
 
@@ -51,6 +53,8 @@ def feature_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _match(spark, sf_dir, features, target=TARGET_PLACE):
     cand = candidates(spark, sf_dir, features)
+    if target is None:
+        target = cand.agg(F.min("id_municipio")).first()[0]
     return match_one(cand, target, "id_municipio", features, k=5, keep=KEEP), cand
 
 
