@@ -161,3 +161,28 @@ def daily_rollup(
         .orderBy(F.desc("day"))
         .limit(top_n)
     )
+
+
+COMMON_SCHEMA = ("municipio_id", "ano_mes", "total_pedidos", "receita_total", "ticket_medio", "fonte")
+
+
+def common_business_schema(sources: Mapping[str, DataFrame], place: str = "municipio_id",
+                           month: str = "ano_mes", order_key: str = "order_key",
+                           revenue: str = "revenue") -> DataFrame:
+    """Q3: plug-in business sources on one monthly schema.
+
+    Each source is an adapter output with (place, month, order key, revenue);
+    they are stacked with ``unionByName`` and reduced per place, month and
+    source: orders are distinct order keys, ticket = revenue / orders.
+    """
+    from functools import reduce
+
+    parts = [df.select(place, month, order_key, revenue).withColumn("fonte", F.lit(name))
+             for name, df in sources.items()]
+    both = reduce(lambda a, b: a.unionByName(b), parts)
+    agg = both.groupBy(place, month, "fonte").agg(
+        F.count_distinct(order_key).alias("total_pedidos"), F.sum(revenue).alias("receita_total"))
+    ticket = agg["receita_total"].cast("double") / F.nullif(agg["total_pedidos"].cast("double"), F.lit(0.0))
+    return agg.withColumn("ticket_medio", ticket).select(
+        F.col(place).alias("municipio_id"), F.col(month).alias("ano_mes"), "total_pedidos", "receita_total",
+        "ticket_medio", "fonte")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.columns import similarity_label
 from peerscope.operators.aggregates import covariance_matrix
-from peerscope.operators.filters import complete_cases
+from peerscope.operators.filters import complete_cases, require_min_rows
 from peerscope.operators.setops import stack_with_role
 from peerscope.operators.topk import top_k
 
@@ -45,6 +45,9 @@ PERCENT_FEATURES = ("pct_domicilios_com_internet",)
 DEFAULT_K = 5
 P10 = 0.10
 
+# Fewer candidates than this give no match (the selection is too narrow).
+MIN_CANDIDATES = 10
+
 # Up to this many candidates the exact percentile is one aggregate.
 LOCAL_PERCENTILE_LIMIT = 2_000_000
 
@@ -215,9 +218,16 @@ def match_one(
     keep: Sequence[str] = (),
     metric: MahalanobisMetric | None = None,
     local_limit: int = LOCAL_PERCENTILE_LIMIT,
+    min_rows: int = MIN_CANDIDATES,
 ) -> MatchResult:
-    """Top-k peers of one target."""
+    """Top-k peers of one target.
+
+    The minimum-size gate counts complete cases (the rows the metric is
+    fitted on), not the filtered rows before ``dropna`` (T6).
+    """
     cand = complete_cases(df, features)
+    if min_rows:
+        require_min_rows(cand, min_rows)
     if metric is None:
         metric = fit_metric(cand, features)
     cols = [id_col, *[c for c in keep if c != id_col], *features]

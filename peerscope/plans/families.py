@@ -389,18 +389,15 @@ def freshness_query(spark, sf_dir):
 
 def common_schema(spark, sf_dir):
     """Q3: two business sources mapped to one monthly schema and combined."""
+    from peerscope.operators.aggregates import common_business_schema
+
     t = tables(spark, sf_dir)
     a = t["orders"].join(t["customer"].select("c_custkey", "c_nationkey"),
                          F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_nationkey").alias("municipio_id"), yyyymm_of("o_orderdate").alias("ano_mes"),
-        F.col("o_orderkey").alias("order_key"), to_money("o_totalprice").alias("revenue"),
-        F.lit("orders").alias("fonte"))
+        F.col("o_orderkey").alias("order_key"), to_money("o_totalprice").alias("revenue"))
     b = t["lineitem"].join(t["supplier"].select("s_suppkey", "s_nationkey"),
                            F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("s_nationkey").alias("municipio_id"), yyyymm_of("l_shipdate").alias("ano_mes"),
-        F.col("l_orderkey").alias("order_key"), to_money("l_extendedprice").alias("revenue"),
-        F.lit("lineitem").alias("fonte"))
-    both = a.unionByName(b)
-    agg = both.groupBy("municipio_id", "ano_mes", "fonte").agg(
-        F.count_distinct("order_key").alias("total_pedidos"), F.sum("revenue").alias("receita_total"))
-    return to_double(agg.withColumn("ticket_medio", safe_ratio("receita_total", "total_pedidos")))
+        F.col("l_orderkey").alias("order_key"), to_money("l_extendedprice").alias("revenue"))
+    return to_double(common_business_schema({"orders": a, "lineitem": b}))

@@ -167,3 +167,15 @@ class SourceRegistry:
 def read_mart(spark: SparkSession, table: str) -> DataFrame:
     """A finished mart, kept distributed."""
     return spark.table(table)
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: StructType, corrupt_col: str = "_bad") -> DataFrame:
+    """Q5: JSON-lines fallback for variable-schema sources.
+
+    Rows that do not fit the declared schema keep their raw text in
+    ``corrupt_col`` instead of failing the read.
+    """
+    full = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
+    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", corrupt_col).json(path))
+    return df.withColumn("_valid", F.col(corrupt_col).isNull())

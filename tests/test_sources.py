@@ -105,3 +105,35 @@ def test_append_new_rows_and_materialize(spark, tmp_dir):
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2, 3]
     name = W.materialize(spark, a, "staging_t", "m1", os.path.join(tmp_dir, "wh", "m1"))
     assert spark.table(name).count() == 2
+
+
+def test_jsonl_fallback(spark, tmp_dir):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    p = os.path.join(tmp_dir, "x.jsonl")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write('{"a": 1, "b": "x"}\n{"a": "oops", "b": "y"}\n{not json\n')
+    df = R.read_jsonl(spark, p, StructType([StructField("a", LongType()), StructField("b", StringType())]))
+    assert [r._valid for r in df.orderBy(F.col("_bad").asc_nulls_first()).collect()] == [True, False, False]
+
+
+def test_write_all_or_nothing(spark, tmp_dir):
+    from peerscope.operators.quality import Check, QualityGateError, QualitySuite
+    good = spark.createDataFrame([(1,)], "x int")
+    bad = spark.createDataFrame([(None,)], "x int")
+    root = os.path.join(tmp_dir, "raw")
+    suites = {"a": QualitySuite("a", good, [Check("nn", "not_null", column="x")]),
+              "b": QualitySuite("b", bad, [Check("nn", "not_null", column="x")])}
+    import pytest
+    with pytest.raises(QualityGateError):
+        W.write_all_or_nothing({"a": good, "b": bad}, suites, root, "2024-01-01")
+    assert not os.path.exists(root)  # nothing written
+    W.write_all_or_nothing({"a": good}, {"a": suites["a"]}, root, "2024-01-01")
+    assert spark.read.parquet(os.path.join(root, "a")).count() == 1
+
+
+def test_catalog_descriptions(spark):
+    from peerscope.operators.quality import undocumented_columns
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts_doc")
+    spark.sql("DROP TABLE IF EXISTS marts_doc.t")
+    spark.sql("CREATE TABLE marts_doc.t (a INT COMMENT 'described', b INT) USING parquet")
+    assert undocumented_columns(spark, "marts_doc.t") == ["b"]
