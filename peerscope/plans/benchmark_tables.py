@@ -182,12 +182,19 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------------- queries
-def place_year_mart(t: dict[str, DataFrame], since: str = KPI_SINCE) -> DataFrame:
-    """Order indicators per place x year in the shape of the yearly mart (P25)."""
+def place_year_mart(t: dict[str, DataFrame], since: str = KPI_SINCE, until: str | None = None) -> DataFrame:
+    """Order indicators per place x year in the shape of the yearly mart (P25).
+
+    ``since`` / ``until`` bound the purchase timestamp as a range, which
+    Spark pushes into the Parquet scan (a filter on ``year(ts)`` would not).
+    """
     facts = fact_orders(t)
+    ts = F.col("order_purchase_timestamp")
     ts_type = facts.schema["order_purchase_timestamp"].dataType
-    facts = facts.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast(ts_type)).withColumn(
-        "year", F.year("order_purchase_timestamp"))
+    cond = ts >= F.lit(since).cast(ts_type)
+    if until is not None:
+        cond = cond & (ts < F.lit(until).cast(ts_type))
+    facts = facts.filter(cond).withColumn("year", F.year("order_purchase_timestamp"))
     agg = order_kpis(facts, ["place_id", "year"])
     sellers = t["supplier"].groupBy(F.col("s_nationkey").alias("place_id")).agg(
         F.count("s_suppkey").alias("vendedores_no_municipio"))
@@ -205,7 +212,8 @@ def place_profile_frame(t: dict[str, DataFrame], year: int = PROFILE_YEAR) -> Da
     from peerscope.plans.families import municipios, pix_raw
     from peerscope.plans.marts import mart_geo_analytics, mart_ibge_pix
 
-    olist = place_year_mart(t).select(
+    since = max(KPI_SINCE, f"{year:04d}-01-01")
+    olist = place_year_mart(t, since, f"{year + 1:04d}-01-01").select(
         F.col("place_id").alias("id_municipio"), F.col("place_name").alias("nome_municipio"),
         F.col("region_name").alias("uf_sigla"), F.col("region_name").alias("macroregiao_nome"),
         F.col("year").alias("ano"), *KPI_COLUMNS)
