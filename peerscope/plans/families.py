@@ -29,7 +29,8 @@ EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 # ------------------------------------------------------------ per-order children
 def payments_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments pivoted per order."""
-    return to_double(I.int_olist_order_payments_agg(payments(read(spark, sf_dir, "lineitem"))))
+    # The mapping fixes the type domain (every flag maps to a listed type or NULL).
+    return to_double(I.int_olist_order_payments_agg(payments(read(spark, sf_dir, "lineitem")), closed_domain=True))
 
 
 def items_agg_dominant_type(spark: SparkSession, sf_dir: str) -> DataFrame:

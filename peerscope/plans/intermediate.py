@@ -69,9 +69,20 @@ def payment_pivot_columns(types: Sequence[str] = PAYMENT_TYPES, type_col: str =
     return aggs
 
 
-def int_olist_order_payments_agg(payments: DataFrame, types: Sequence[str] = PAYMENT_TYPES) -> DataFrame:
-    """Payments pivoted per order."""
-    return payments.groupBy("order_id").agg(*payment_pivot_columns(types))
+def int_olist_order_payments_agg(payments: DataFrame, types: Sequence[str] = PAYMENT_TYPES,
+                                 closed_domain: bool = False) -> DataFrame:
+    """Payments pivoted per order.
+
+    The distinct payment-type count is a narrow aggregation of its own,
+    joined on ``order_id`` (same partitioning, no extra shuffle), unless the
+    type domain is closed, where it is a sum of presence flags.
+    """
+    cols = payment_pivot_columns(types, closed_domain=closed_domain)
+    if closed_domain:
+        return payments.groupBy("order_id").agg(*cols)
+    base = payments.groupBy("order_id").agg(*cols[:-1])
+    n = distinct_counts(payments, ["order_id"], {"payment_types_count": "payment_type"})
+    return base.join(n, "order_id", "left")
 
 
 def int_olist_order_items_agg(
