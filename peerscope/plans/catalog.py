@@ -56,6 +56,9 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "match_place_six": (X.match_place_six, None),
     "match_comparison_long": (X.match_comparison_long, None),
     "file_stream_ingest": (K.file_stream_ingest, S.FILE_STREAM_INGEST),
+    "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
+    "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),
+    "place_labels": (M.place_labels, S.PLACE_LABELS),
 }
 
 

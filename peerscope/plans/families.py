@@ -402,3 +402,51 @@ def common_schema(spark, sf_dir):
         F.col("s_nationkey").alias("municipio_id"), yyyymm_of("l_shipdate").alias("ano_mes"),
         F.col("l_orderkey").alias("order_key"), to_money("l_extendedprice").alias("revenue"))
     return to_double(common_business_schema({"orders": a, "lineitem": b}))
+
+
+# ------------------------------------------------------------ staging models
+def _raw_orders(t) -> DataFrame:
+    """Orders as the business source lands them: text keys and timestamps."""
+    from peerscope.plans.benchmark_tables import STATUS_BY_CODE, _case
+
+    o = t["orders"]
+    day = F.expr("INTERVAL 1 DAYS")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        _case("o_orderstatus", STATUS_BY_CODE).alias("order_status"),
+        F.col("o_orderdate").cast("string").alias("order_purchase_timestamp"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("urgent"))
+        .otherwise((F.col("o_orderdate") + day).cast("string")).alias("order_approved_at"),
+        F.lit(None).cast("string").alias("order_delivered_carrier_date"),
+        F.lit(None).cast("string").alias("order_delivered_customer_date"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).cast("string").alias("order_estimated_delivery_date"),
+    )
+
+
+def staging_orders(spark, sf_dir):
+    """P2 on a re-delivered batch: fingerprint, dedup, SAFE_CAST of text timestamps."""
+    from peerscope.plans.staging import stg_olist_orders
+
+    raw = _raw_orders(tables(spark, sf_dir))
+    return stg_olist_orders(raw.unionByName(raw), ts_type="timestamp_ntz")
+
+
+def staging_customers(spark, sf_dir):
+    """P1 on a re-delivered batch of customers with free-text city and state."""
+    from peerscope.plans.staging import stg_olist_customers
+
+    t = tables(spark, sf_dir)
+    raw = t["customer"].join(place_dim(t), F.col("c_nationkey") == F.col("place_id")).select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("customer_unique_id"),
+        F.col("c_nationkey").cast("long").alias("customer_zip_code_prefix"),
+        F.col("place_name").alias("customer_city"), F.col("region_name").alias("customer_state"))
+    return stg_olist_customers(raw.unionByName(raw))
+
+
+def place_labels(spark, sf_dir):
+    """Sorted display labels "place - region" for a selection list."""
+    from peerscope.functions.columns import display_label
+
+    d = place_dim(tables(spark, sf_dir))
+    return d.select(display_label("place_name", "region_name").alias("label")).distinct().orderBy("label")

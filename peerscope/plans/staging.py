@@ -58,12 +58,12 @@ def stg_olist_customers(raw: DataFrame) -> DataFrame:
     return _dedup(raw, "customers").select("row_hash", *HASH_COLUMNS["customers"])
 
 
-def stg_olist_orders(raw: DataFrame) -> DataFrame:
+def stg_olist_orders(raw: DataFrame, ts_type: str = TS) -> DataFrame:
     """Text timestamps -> TIMESTAMP with SAFE_CAST semantics."""
     d = _dedup(raw, "orders")
     return d.select(
         "row_hash", "order_id", "customer_id", "order_status",
-        *[safe_cast(c, TS).alias(c) for c in HASH_COLUMNS["orders"][3:]],
+        *[safe_cast(c, ts_type).alias(c) for c in HASH_COLUMNS["orders"][3:]],
     )
 
 
