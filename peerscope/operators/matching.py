@@ -117,9 +117,17 @@ def feature_matrix(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFra
 
 
 def fit_metric(df: DataFrame, features: Sequence[str] = FEATURES, ridge: float = 0.0,
-               max_condition: float = 1e12) -> MahalanobisMetric:
-    """Inverse sample covariance of the (already filtered) rows."""
+               max_condition: float = 1e12, min_rows: int = 0) -> MahalanobisMetric:
+    """Inverse sample covariance of the (already filtered) rows.
+
+    The same aggregation counts the rows, which serves the minimum-size
+    gate (D7) without another job.
+    """
+    from peerscope.operators.filters import NotEnoughRows
+
     cov, n = covariance_matrix(df, features)
+    if n < min_rows:
+        raise NotEnoughRows(f"need at least {min_rows} complete rows, got {n}")
     k = len(features)
     if n <= k:
         raise SingularCovariance(f"{n} complete rows for {k} features: covariance is singular")
@@ -143,14 +151,17 @@ def fit_metric(df: DataFrame, features: Sequence[str] = FEATURES, ridge: float =
 
 
 # ------------------------------------------------------------------ percentile
-def exact_percentile(df: DataFrame, col: str, p: float, local_limit: int = LOCAL_PERCENTILE_LIMIT) -> float | None:
+def exact_percentile(df: DataFrame, col: str, p: float, local_limit: int = LOCAL_PERCENTILE_LIMIT,
+                     n: int | None = None) -> float | None:
     """Linear-interpolated percentile of ``col`` (F15), exact, distributed.
 
     Same definition as ``numpy.percentile``: position ``p * (n - 1)`` in the
-    sorted values, interpolated between its two neighbours.
+    sorted values, interpolated between its two neighbours.  ``n`` (the
+    number of non-NULL values) saves a counting job when the caller knows it.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = vals.count()
+    if n is None:
+        n = vals.count()
     if n == 0:
         return None
     if n <= local_limit:
@@ -226,18 +237,21 @@ def match_one(
     fitted on), not the filtered rows before ``dropna`` (T6).
     """
     cand = complete_cases(df, features)
-    if min_rows:
-        require_min_rows(cand, min_rows)
     if metric is None:
-        metric = fit_metric(cand, features)
+        metric = fit_metric(cand, features, min_rows=min_rows)
+    elif min_rows:
+        require_min_rows(cand, min_rows)
     cols = [id_col, *[c for c in keep if c != id_col], *features]
-    trow = cand.filter(F.col(id_col) == F.lit(target_id)).select(*cols).limit(1).collect()
+    trow = cand.filter(F.col(id_col) == F.lit(target_id)).select(*cols).limit(2).collect()
     if not trow:
         raise TargetUnavailable(f"{target_id!r} is not among the complete cases")
     x = [float(trow[0][f]) for f in features]
     scored = cand.select(*cols).withColumn("distancia", metric.distance_to(x))
     others = scored.filter(F.col(id_col) != F.lit(target_id))
-    p10 = exact_percentile(others, "distancia", P10, local_limit)
+    # every complete case except the target has a distance (ids are keys;
+    # if the id repeats, count instead of assuming)
+    known_n = metric.n - 1 if len(trow) == 1 else None
+    p10 = exact_percentile(others, "distancia", P10, local_limit, n=known_n)
     best = top_k(others, [F.asc("distancia"), F.asc(id_col)], k, rank_col="rank")
     ratio = F.try_divide(F.col("distancia"), F.lit(p10).cast("double"))
     matches = best.withColumn("ratio", ratio).withColumn("label", similarity_label(F.col("ratio")))

@@ -70,13 +70,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system or object store).  Only when it is unset - local runs and
-    tests - a fresh scratch folder is created and registered.
+    file system or object store); it must be set there, because a folder on
+    one machine does not survive the loss of that machine.  Only in local
+    mode (tests, single-node runs) is a scratch folder created when unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         path = tempfile.mkdtemp(prefix="peerscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
