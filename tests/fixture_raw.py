@@ -61,6 +61,7 @@ def build(spark):
     raw["bcb_pix"] = (spark.createDataFrame([pix(1, 202211, 1)], PIX.schema).withColumn("ingestion_date", F.lit(D1))
                       .unionByName(spark.createDataFrame(pix_rows, PIX.schema).withColumn("ingestion_date", F.lit(D2))))
 
+    global GEO, CUST, ORDERS, ITEMS, PAYMENTS, REVIEWS, PRODUCTS, SELLERS, MUN_NEW, PIX_ROWS, CENSUS_NEW
     geo = [(1000, -23.5, -46.6, "são paulo", "SP"), (1000, -23.7, -46.8, "sao paulo", "SP"),
            (1000, -23.6, -46.7, "são paulo", "SP"), (1000, -23.6, -46.7, "são paulo", "SP"),
            (2000, -9.9, -67.8, "rio branco", "ac"), (3000, -15.0, -40.0, "pequenópolis", "MG")]
@@ -103,6 +104,53 @@ def build(spark):
             ("p2", "beleza", 12.0, 90.0, 2.0, 300.0, 5.0, 4.0, 3.0),
             ("p3", "moveis", None, None, None, None, None, None, None)]
     raw["olist_products"] = _df(spark, OLIST["products"], prod)
-    raw["olist_sellers"] = _df(spark, OLIST["sellers"], [("s1", 1000, "são paulo", "SP"),
-                                                        ("s2", 2000, "rio branco", "AC")])
+    sellers = [("s1", 1000, "são paulo", "SP"), ("s2", 2000, "rio branco", "AC")]
+    raw["olist_sellers"] = _df(spark, OLIST["sellers"], sellers)
+    GEO, CUST, ORDERS, ITEMS, PAYMENTS, REVIEWS, PRODUCTS, SELLERS = geo, cust, o, items, pay, rev, prod, sellers
+    MUN_NEW, PIX_ROWS = new, pix_rows
+    CENSUS_NEW = {
+        "9514": [_sidra(1, "93", "250000"), _sidra(2, "93", "9999")],
+        "10295": [_sidra(1, "13431", "3000"), _sidra(1, "13534", "2000"), _sidra(2, "13431", "1000"),
+                  _sidra(2, "13534", "800")],
+        "9936": [_sidra(1, "x", "80"), _sidra(2, "x", "60")],
+    }
     return raw
+
+
+def write_landing(spark, folder):
+    """The fixture's newest snapshot as landed files (business CSVs, API JSON dumps)."""
+    import csv
+    import json
+    import os
+
+    build(spark)
+    os.makedirs(folder, exist_ok=True)
+    tables = {"customers": CUST, "orders": ORDERS, "order_items": ITEMS, "order_payments": PAYMENTS,
+              "order_reviews": REVIEWS, "geolocation": GEO, "products": PRODUCTS, "sellers": SELLERS}
+    for key, rows in tables.items():
+        c = OLIST[key]
+        with open(os.path.join(folder, c.file_name), "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow([n for n, _, _ in c.fields])
+            for r in rows:
+                w.writerow(["" if v is None else v for v in r])
+    muns = []
+    for m in MUN_NEW:
+        muns.append({"id": m[0], "nome": m[1],
+                     "microrregiao": {"id": int(m[12]), "nome": m[13],
+                                      "mesorregiao": {"id": int(m[14]), "nome": m[15]}},
+                     "regiao-imediata": {"id": m[2], "nome": m[3], "regiao-intermediaria": {
+                         "id": m[4], "nome": m[5], "UF": {"id": m[6], "sigla": m[7], "nome": m[8],
+                                                          "regiao": {"id": m[9], "sigla": m[10], "nome": m[11]}}}}})
+    with open(os.path.join(folder, "municipios.json"), "w", encoding="utf-8") as f:
+        json.dump(muns, f)
+    cols = [c.split()[0] for c in SIDRA_SCHEMA.split(", ")]
+    for table, rows in CENSUS_NEW.items():
+        header = {c: c for c in cols}
+        header["V"] = "Valor"
+        recs = [header] + [{k: v for k, v in zip(cols, r) if v is not None} for r in rows]
+        with open(os.path.join(folder, f"censo_{table}.json"), "w", encoding="utf-8") as f:
+            json.dump(recs, f)
+    names = [n for n, _, _ in PIX.fields]
+    with open(os.path.join(folder, "pix.json"), "w", encoding="utf-8") as f:
+        json.dump({"value": [dict(zip(names, r)) for r in PIX_ROWS]}, f)
