@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions.columns import col_of, normalize_state, slug
+from peerscope.functions.columns import normalize_state, slug
 
 # Default bound for an explicit broadcast: a dimension of this many rows
 # (a few tens of bytes each) stays far below executor memory.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import (
-    concat_key, day_diff, is_present, month_diff, normalize_state, per_capita, row_hash,
+    concat_key, day_diff, is_present, month_diff, normalize_state, row_hash,
     safe_cast, safe_ratio, sentinel_to_null, slug, to_money, yyyymm_of, yyyymm_to_date,
 )
 from peerscope.operators import quality as Q
