@@ -53,8 +53,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "place_profile": (B.place_profile, S.PLACE_PROFILE),
     "feature_covariance": (X.feature_covariance, S.FEATURE_COVARIANCE),
     "match_two_features_topk": (X.match_two_features_topk, S.MATCH_TWO_FEATURES_TOPK),
-    "match_place_six": (X.match_place_six, None),
-    "match_comparison_long": (X.match_comparison_long, None),
+    "match_place_six": (X.match_place_six, S.MATCH_PLACE_SIX),
+    "match_comparison_long": (X.match_comparison_long, S.MATCH_COMPARISON_LONG),
     "file_stream_ingest": (K.file_stream_ingest, S.FILE_STREAM_INGEST),
     "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
     "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),
