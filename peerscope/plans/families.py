@@ -75,7 +75,7 @@ def place_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _zips(t) -> DataFrame:
     """Zip table: one row per nation key with a free-text city and state."""
     n, r = t["nation"], t["region"]
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         F.col("n_nationkey").alias("zip_key"),
         F.regexp_replace("n_name", "_", " ").alias("city"),
         F.lower("r_name").alias("state"),
@@ -84,7 +84,7 @@ def _zips(t) -> DataFrame:
 
 def _places(t) -> DataFrame:
     n, r = t["nation"], t["region"]
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         F.col("n_nationkey").alias("place_id"), F.col("n_name").alias("place_name"),
         slug("n_name").alias("place_slug"), F.col("r_name").alias("uf"),
     )
@@ -95,12 +95,14 @@ def slug_state_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sellers matched to places on their own free-text city."""
     t = tables(spark, sf_dir)
     places = _places(t)
-    cust = t["customer"].select("c_custkey", F.col("c_nationkey").alias("zip"))
-    orders = t["orders"].select("o_orderkey", "o_custkey").join(
-        cust, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
-    geo = geocode(orders, _zips(t), places, "zip", "zip_key", "city", "state", "place_slug", "uf")
+    # Orders are first reduced per customer (map-side partial aggregation);
+    # only one row per customer meets the customer table and the geocode.
+    per_customer = t["orders"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    cust = t["customer"].select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("zip"))
+    geo = geocode(per_customer.join(cust, "o_custkey"), _zips(t), places, "zip", "zip_key", "city", "state",
+                  "place_slug", "uf")
     per_place = geo.groupBy("place_id").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.count_distinct("o_custkey").alias("n_customers"))
+        F.sum("n").alias("n_orders"), F.count("o_custkey").alias("n_customers"))
     sellers = t["supplier"].join(_zips(t), F.col("s_nationkey") == F.col("zip_key")).select(
         "s_suppkey", F.regexp_replace("city", " ", "-").alias("seller_city"), F.col("state").alias("seller_state"))
     s = computed_key_join(sellers, places, "seller_city", "seller_state", "place_slug", "uf").groupBy(
@@ -142,38 +144,37 @@ def long_to_wide_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- payment panel
 def pix_raw(t) -> DataFrame:
-    """Monthly payment rows per place, shaped like the payments source."""
+    """Monthly payment rows per place, shaped like the payments source.
+
+    Lines are first reduced per (supplier, month) - map-side partial
+    aggregation, no supplier join yet - and only those partial totals meet
+    ``supplier`` and are rolled up per (place, month).  All measures are
+    additive, so the two-level sum is exact, and the line table is never
+    shuffled by supplier.
+    """
     li = t["lineitem"].select("l_suppkey", "l_shipdate", "l_linestatus", "l_returnflag", "l_quantity",
                               to_money("l_extendedprice").alias("v"))
-    s = t["supplier"].select("s_suppkey", "s_nationkey")
-    li = lookup_join(li, s, F.col("l_suppkey") == F.col("s_suppkey"), "inner").drop("s_suppkey")
     pay = F.col("l_linestatus") == "O"
     rec = F.col("l_linestatus") == "F"
     pf = F.col("l_returnflag") == "N"
     pj = F.col("l_returnflag") != "N"
-
-    def vl(c):
-        return F.sum(F.when(c, F.col("v")))
-
-    def qt(c):
-        return F.count_if(c)
-
-    def pes(c):
-        return F.sum(F.when(c, F.col("l_quantity"))).cast("bigint")
-
-    monthly = li.groupBy("s_nationkey", yyyymm_of("l_shipdate").alias("ano_mes")).agg(
-        vl(pay & pf).alias("vl_pagador_pf"), qt(pay & pf).alias("qt_pagador_pf"),
-        vl(pay & pj).alias("vl_pagador_pj"), qt(pay & pj).alias("qt_pagador_pj"),
-        vl(rec & pf).alias("vl_recebedor_pf"), qt(rec & pf).alias("qt_recebedor_pf"),
-        vl(rec & pj).alias("vl_recebedor_pj"), qt(rec & pj).alias("qt_recebedor_pj"),
-        pes(pay & pf).alias("qt_pes_pagador_pf"), pes(pay & pj).alias("qt_pes_pagador_pj"),
-        pes(rec & pf).alias("qt_pes_recebedor_pf"), pes(rec & pj).alias("qt_pes_recebedor_pj"),
+    classes = {"pagador_pf": pay & pf, "pagador_pj": pay & pj, "recebedor_pf": rec & pf, "recebedor_pj": rec & pj}
+    per_supplier = li.groupBy("l_suppkey", yyyymm_of("l_shipdate").alias("ano_mes")).agg(
+        *[F.sum(F.when(c, F.col("v"))).alias(f"vl_{k}") for k, c in classes.items()],
+        *[F.count_if(c).alias(f"qt_{k}") for k, c in classes.items()],
+        *[F.sum(F.when(c, F.col("l_quantity"))).alias(f"pes_{k}") for k, c in classes.items()],
+    )
+    s = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    monthly = per_supplier.join(s, "l_suppkey", "inner").groupBy("s_nationkey", "ano_mes").agg(
+        *[F.sum(f"vl_{k}").alias(f"vl_{k}") for k in classes],
+        *[F.sum(f"qt_{k}").alias(f"qt_{k}") for k in classes],
+        *[F.sum(f"pes_{k}").cast("bigint").alias(f"qt_pes_{k}") for k in classes],
     )
     dims = place_dim(t).select(
         F.col("place_id").alias("s_nationkey"), F.col("place_name").alias("municipio"),
         F.col("region_name").alias("estado"), F.col("region_name").alias("regiao"))
     n = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("estado_ibge"))
-    return (monthly.join(F.broadcast(dims), "s_nationkey", "left").join(F.broadcast(n), "s_nationkey", "left")
+    return (monthly.join(dims, "s_nationkey", "left").join(n, "s_nationkey", "left")
             .select(F.col("s_nationkey").alias("municipio_ibge"), "ano_mes", "municipio", "estado_ibge", "estado",
                     F.substring("regiao", 1, 2).alias("sigla_regiao"), "regiao",
                     "vl_pagador_pf", "qt_pagador_pf", "vl_pagador_pj", "qt_pagador_pj",
