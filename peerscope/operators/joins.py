@@ -20,15 +20,21 @@ from peerscope.functions.columns import normalize_state, slug
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
+    the check is cheap for the dimension tables it is meant for.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is cheap for the dimension tables it is meant for.  A
-    larger side is returned unchanged and joined by shuffle.
+    A larger side is returned unchanged and joined by shuffle.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def lookup_join(

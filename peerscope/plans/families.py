@@ -17,13 +17,15 @@ from peerscope.operators import quality as Q
 from peerscope.operators.aggregates import centroid, daily_rollup, long_to_wide, mode_by_group
 from peerscope.operators.dedup import dedup_by_hash, latest_per_key, latest_snapshot
 from peerscope.operators.filters import facet_filter, facet_options
-from peerscope.operators.joins import computed_key_join, geocode, lookup_join, orphans
+from peerscope.operators.joins import computed_key_join, fits_broadcast, geocode, lookup_join, orphans
 from peerscope.plans import intermediate as I
 from peerscope.plans.benchmark_tables import (
     items, payments, place_dim, products, read, tables, to_double,
 )
 
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
+# Row bound under which a dimension lookup is broadcast before aggregating.
+LOOKUP_BROADCAST_ROWS = 2_000_000
 
 
 # ------------------------------------------------------------ per-order children
@@ -146,11 +148,12 @@ def long_to_wide_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pix_raw(t) -> DataFrame:
     """Monthly payment rows per place, shaped like the payments source.
 
-    Lines are first reduced per (supplier, month) - map-side partial
-    aggregation, no supplier join yet - and only those partial totals meet
-    ``supplier`` and are rolled up per (place, month).  All measures are
-    additive, so the two-level sum is exact, and the line table is never
-    shuffled by supplier.
+    The supplier -> place lookup is broadcast when its row count is checked
+    small; the lines then meet it map-side and are aggregated once per
+    (place, month).  Beyond that bound the lines are first reduced per
+    (supplier, month) - map-side partial aggregation, no join yet - and only
+    those partial totals meet ``supplier``, so the line table is never
+    shuffled by supplier.  All measures are additive: both ways are exact.
     """
     li = t["lineitem"].select("l_suppkey", "l_shipdate", "l_linestatus", "l_returnflag", "l_quantity",
                               to_money("l_extendedprice").alias("v"))
@@ -159,17 +162,25 @@ def pix_raw(t) -> DataFrame:
     pf = F.col("l_returnflag") == "N"
     pj = F.col("l_returnflag") != "N"
     classes = {"pagador_pf": pay & pf, "pagador_pj": pay & pj, "recebedor_pf": rec & pf, "recebedor_pj": rec & pj}
-    per_supplier = li.groupBy("l_suppkey", yyyymm_of("l_shipdate").alias("ano_mes")).agg(
-        *[F.sum(F.when(c, F.col("v"))).alias(f"vl_{k}") for k, c in classes.items()],
-        *[F.count_if(c).alias(f"qt_{k}") for k, c in classes.items()],
-        *[F.sum(F.when(c, F.col("l_quantity"))).alias(f"pes_{k}") for k, c in classes.items()],
-    )
     s = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    monthly = per_supplier.join(s, "l_suppkey", "inner").groupBy("s_nationkey", "ano_mes").agg(
-        *[F.sum(f"vl_{k}").alias(f"vl_{k}") for k in classes],
-        *[F.sum(f"qt_{k}").alias(f"qt_{k}") for k in classes],
-        *[F.sum(f"pes_{k}").cast("bigint").alias(f"qt_pes_{k}") for k in classes],
-    )
+
+    def measures(v, qt, pes):
+        return ([F.sum(F.when(c, F.col(v))).alias(f"vl_{k}") for k, c in classes.items()]
+                + [qt(c).alias(f"qt_{k}") for k, c in classes.items()]
+                + [pes(c, k).alias(f"pes_{k}") for k, c in classes.items()])
+
+    month = yyyymm_of("l_shipdate").alias("ano_mes")
+    if fits_broadcast(s, LOOKUP_BROADCAST_ROWS):
+        monthly = li.join(F.broadcast(s), "l_suppkey", "inner").groupBy("s_nationkey", month).agg(
+            *measures("v", F.count_if, lambda c, k: F.sum(F.when(c, F.col("l_quantity")))))
+    else:
+        per_supplier = li.groupBy("l_suppkey", month).agg(
+            *measures("v", F.count_if, lambda c, k: F.sum(F.when(c, F.col("l_quantity")))))
+        monthly = per_supplier.join(s, "l_suppkey", "inner").groupBy("s_nationkey", "ano_mes").agg(
+            *[F.sum(f"vl_{k}").alias(f"vl_{k}") for k in classes],
+            *[F.sum(f"qt_{k}").alias(f"qt_{k}") for k in classes],
+            *[F.sum(f"pes_{k}").alias(f"pes_{k}") for k in classes])
+    monthly = monthly.select("*", *[F.col(f"pes_{k}").cast("bigint").alias(f"qt_pes_{k}") for k in classes])
     dims = place_dim(t).select(
         F.col("place_id").alias("s_nationkey"), F.col("place_name").alias("municipio"),
         F.col("region_name").alias("estado"), F.col("region_name").alias("regiao"))
