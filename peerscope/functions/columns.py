@@ -65,9 +65,16 @@ def row_hash(*cols: str | Column, sep: str = "|") -> Column:
     return F.md5(F.concat_ws(sep, *parts))
 
 
-def slug(c: str | Column) -> Column:
-    """Place-name slug (J2): lower case, accents folded, space/hyphen -> '_'."""
-    return F.translate(F.lower(col_of(c)), ACCENTED, UNACCENTED)
+def slug(c: str | Column, extended: bool = False) -> Column:
+    """Place-name slug (J2): lower case, accents folded, space/hyphen -> '_'.
+
+    ``extended=True`` also trims, collapses repeated spaces and folds 'ñ'
+    (T9: the models' own slug keeps all three, so it is off by default).
+    """
+    x = F.lower(col_of(c))
+    if extended:
+        x = F.translate(F.regexp_replace(F.trim(x), r"\s+", " "), "ñ", "n")
+    return F.translate(x, ACCENTED, UNACCENTED)
 
 
 def normalize_state(c: str | Column) -> Column:

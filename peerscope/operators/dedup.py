@@ -60,3 +60,16 @@ def latest_snapshot(df: DataFrame, partition_col: str = "ingestion_date") -> Dat
     """
     newest = df.select(F.max(partition_col)).scalar()
     return df.filter(F.col(partition_col) == newest)
+
+
+def latest_valid_snapshot(df: DataFrame, partition_col: str = "ingestion_date", min_rows: int = 1) -> DataFrame:
+    """Newest snapshot holding at least ``min_rows`` rows (T11 fall-back).
+
+    One small aggregation counts rows per partition (one row per snapshot),
+    the newest partition passing the volume check is chosen as a scalar
+    subquery, and only that partition is read.  A broken newest snapshot
+    falls back to the previous good one instead of being read silently.
+    """
+    counts = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_n"))
+    good = counts.filter(F.col("_n") >= F.lit(min_rows)).select(F.max(partition_col)).scalar()
+    return df.filter(F.col(partition_col) == good)

@@ -90,3 +90,8 @@ def test_sql_functions_registered(spark):
     C.register_sql_functions(spark)
     r = spark.sql("select place_slug('São Paulo') a, null_safe_ratio(1, 0) b").first()
     assert r.a == "sao_paulo" and r.b is None
+
+
+def test_slug_extended(spark):
+    got = one(spark, C.slug("s", extended=True), [("  São  João-Piñón ",)], "s string")
+    assert got == ["sao_joao_pinon"]

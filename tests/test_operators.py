@@ -123,3 +123,10 @@ def test_covariance_matches_numpy(spark):
     m, n = A.covariance_matrix(df, ["a", "b", "c"])
     assert n == 20
     assert np.allclose(m, np.cov(np.array(rows).T), rtol=1e-12, atol=1e-12)
+
+
+def test_latest_valid_snapshot_falls_back(spark):
+    rows = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1)), (3, dt.date(2024, 2, 1))]
+    df = spark.createDataFrame(rows, "v int, ingestion_date date")
+    assert sorted(r.v for r in D.latest_valid_snapshot(df, min_rows=2).collect()) == [1, 2]
+    assert [r.v for r in D.latest_valid_snapshot(df, min_rows=1).collect()] == [3]
