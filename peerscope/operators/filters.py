@@ -31,6 +31,14 @@ def facet_options(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).dropna().distinct().orderBy(col)
 
 
+def selection_options(df: DataFrame, id_col: str, name_col: str, state_col: str) -> DataFrame:
+    """Sorted "name - state" labels with their ids, for choosing a target."""
+    from peerscope.functions.columns import display_label
+
+    return (df.select(display_label(name_col, state_col).alias("label"), F.col(id_col))
+            .dropDuplicates(["label", id_col]).orderBy("label", id_col))
+
+
 def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where every one of ``cols`` is set."""
     return df.dropna(subset=list(cols))

@@ -458,7 +458,7 @@ def staging_customers(spark, sf_dir):
 
 def place_labels(spark, sf_dir):
     """Sorted display labels "place - region" for a selection list."""
-    from peerscope.functions.columns import display_label
+    from peerscope.operators.filters import selection_options
 
     d = place_dim(tables(spark, sf_dir))
-    return d.select(display_label("place_name", "region_name").alias("label")).distinct().orderBy("label")
+    return selection_options(d, "place_id", "place_name", "region_name").select("label")

@@ -103,3 +103,37 @@ def unrecognised_files(spark: SparkSession, landing: str, known: list[str]) -> D
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
     name = F.element_at(F.split("path", "/"), -1)
     return files.filter(~name.isin(known)).select("path", name.alias("file_name"))
+
+
+def stem_glob(file_name: str) -> str:
+    """``olist_orders_dataset.csv`` -> ``olist_orders_dataset*.csv``.
+
+    The landed name selects the table (K1); a re-upload under a new suffix
+    (``..._2.csv``) is a new file for the stream and is processed (K4).
+    """
+    stem, dot, ext = file_name.rpartition(".")
+    return f"{stem}*.{ext}" if dot else f"{file_name}*"
+
+
+def ingest_all_streams(
+    spark: SparkSession,
+    landing: str,
+    raw_root: str,
+    checkpoint_root: str,
+    quarantine_root: str | None = None,
+    contracts: dict | None = None,
+    ingestion_date=None,
+) -> dict[str, IngestReport]:
+    """K1 + K2: one ``availableNow`` stream per business table, dispatched by
+    file name; files matching no table are left alone (list them with
+    ``unrecognised_files``)."""
+    from peerscope.sources.contracts import OLIST
+
+    out = {}
+    for key, c in (contracts or OLIST).items():
+        if not c.file_name:
+            continue
+        out[key] = ingest_stream(
+            spark, landing, c, raw_root, f"{checkpoint_root.rstrip('/')}/{c.name}", quarantine_root,
+            glob=stem_glob(c.file_name), ingestion_date=ingestion_date)
+    return out

@@ -38,3 +38,26 @@ def test_ingest_twice_only_new_files(spark, tmp_dir):
                                                                  "sellers_3.csv"]).collect()]
     assert unk == ["notes.txt"]
     assert r1.low_volume  # below the declared minimum volume: warning (M8)
+
+
+def test_dispatch_all_tables(spark, tmp_dir):
+    from peerscope.streaming.file_ingest import ingest_all_streams, stem_glob
+
+    land, raw, ck = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    assert stem_glob("olist_orders_dataset.csv") == "olist_orders_dataset*.csv"
+    write(os.path.join(land, "olist_sellers_dataset.csv"), ["s1,1000,sao paulo,SP\n"])
+    with open(os.path.join(land, "olist_geolocation_dataset.csv"), "w", encoding="utf-8") as f:
+        f.write("geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n")
+        f.write("1037,-23.5,-46.6,sao paulo,SP\n")
+    write(os.path.join(land, "mystery.csv"), ["x,1,y,z\n"])
+    reports = ingest_all_streams(spark, land, raw, ck, ingestion_date="2024-01-01")
+    assert reports["sellers"].rows_written == 1 and reports["geolocation"].rows_written == 1
+    assert reports["orders"].rows_written == 0
+    again = ingest_all_streams(spark, land, raw, ck)
+    assert sum(r.rows_written for r in again.values()) == 0  # nothing new
+    write(os.path.join(land, "olist_sellers_dataset_2.csv"), ["s2,2000,rio,RJ\n"])  # re-upload, new name
+    third = ingest_all_streams(spark, land, raw, ck, ingestion_date="2024-01-02")
+    assert third["sellers"].rows_written == 1
+    geo = spark.read.parquet(os.path.join(raw, "geolocation")).first()
+    assert geo.geolocation_zip_code_prefix == 1037  # typed by the contract
