@@ -39,11 +39,14 @@ def mode_by_group(
 
 
 def modes_by_group(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
-    """Several two-phase modes on the same keys, joined on the keys."""
-    out = None
+    """Several two-phase modes on the same keys: one row per key of ``df``.
+
+    The distinct keys are the base, so a key whose values are all NULL keeps
+    its row with NULL modes (as ``GROUP BY`` with a mode aggregate would).
+    """
+    out = df.select(*keys).distinct()
     for value, alias in values.items():
-        m = mode_by_group(df, keys, value, alias)
-        out = m if out is None else out.join(m, list(keys), "full")
+        out = out.join(mode_by_group(df, keys, value, alias), list(keys), "left")
     return out
 
 

@@ -116,9 +116,10 @@ def reviews(events: DataFrame) -> DataFrame:
 
 def fact_orders(t: dict[str, DataFrame]) -> DataFrame:
     """One row per order (E4 star join over pre-aggregated children, J6, C6)."""
-    # Items and payments both come from the order lines: one aggregation of
-    # lineitem per order computes the item measures and the payment pivot
-    # (Catalyst prunes whatever a consumer does not read).
+    # Items and payments both come from the order lines: the additive item
+    # measures and the payment pivot share one aggregation of lineitem per
+    # order; distinct counts and the dominant category are their own narrow
+    # aggregations (Catalyst drops any branch a consumer does not read).
     li = items(t["lineitem"])
     lines_agg = I.int_olist_order_items_agg(
         li, products(t["part"]),

@@ -131,7 +131,7 @@ def place_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_nationkey", to_money("c_acctbal").alias("x"), F.col("c_custkey").alias("y"), "c_mktsegment")
     cen = centroid(c, "c_nationkey", {"centroid_x": "x", "centroid_y": "y"}, exact=True)
     modal = mode_by_group(c, ["c_nationkey"], "c_mktsegment", "modal_segment")
-    return cen.join(modal, "c_nationkey").select(
+    return cen.join(modal, "c_nationkey", "left").select(
         F.col("c_nationkey").alias("place_id"), "centroid_x", "centroid_y", "modal_segment",
         slug("modal_segment").alias("segment_slug"))
 

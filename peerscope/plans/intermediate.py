@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from peerscope.functions.columns import (
     day_diff, is_present, on_time_flag, slug, yyyymm_to_date,
 )
-from peerscope.operators.aggregates import distinct_counts, long_to_wide, mode_by_group, pivot_agg
+from peerscope.operators.aggregates import distinct_counts, long_to_wide, mode_by_group, modes_by_group, pivot_agg
 from peerscope.operators.dedup import latest_per_key
 from peerscope.operators.joins import lookup_join, star_join
 
@@ -125,10 +125,9 @@ def int_olist_order_reviews_agg(reviews: DataFrame, key: str = "order_id",
 
 def int_dim_customers(customers: DataFrame, geo: DataFrame) -> DataFrame:
     """One row per unique customer with modal address (F6) and centroid."""
-    k = ["customer_unique_id"]
-    canon = (mode_by_group(customers, k, "customer_zip_code_prefix")
-             .join(mode_by_group(customers, k, "customer_state"), k, "full")
-             .join(mode_by_group(customers, k, "customer_city"), k, "full"))
+    canon = modes_by_group(customers, ["customer_unique_id"], {
+        "customer_zip_code_prefix": "customer_zip_code_prefix", "customer_state": "customer_state",
+        "customer_city": "customer_city"})
     g = geo.select(
         F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
         F.col("geolocation_lat").alias("customer_lat"),

@@ -130,3 +130,9 @@ def test_latest_valid_snapshot_falls_back(spark):
     df = spark.createDataFrame(rows, "v int, ingestion_date date")
     assert sorted(r.v for r in D.latest_valid_snapshot(df, min_rows=2).collect()) == [1, 2]
     assert [r.v for r in D.latest_valid_snapshot(df, min_rows=1).collect()] == [3]
+
+
+def test_modes_keep_all_null_keys(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", None), (2, None, None)], "k int, a string, b string")
+    got = {r.k: (r.a, r.b) for r in A.modes_by_group(df, ["k"], {"a": "a", "b": "b"}).collect()}
+    assert got == {1: ("a", "x"), 2: (None, None)}
