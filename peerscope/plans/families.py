@@ -17,7 +17,7 @@ from peerscope.operators import quality as Q
 from peerscope.operators.aggregates import centroid, daily_rollup, long_to_wide, mode_by_group
 from peerscope.operators.dedup import dedup_by_hash, latest_per_key, latest_snapshot
 from peerscope.operators.filters import facet_filter, facet_options
-from peerscope.operators.joins import computed_key_join, fits_broadcast, geocode, lookup_join, orphans
+from peerscope.operators.joins import computed_key_join, fits_broadcast, geocode, orphans
 from peerscope.plans import intermediate as I
 from peerscope.plans.benchmark_tables import (
     items, payments, place_dim, products, read, tables, to_double,

@@ -97,10 +97,9 @@ def mart_olist(fact_orders: DataFrame, geolocation: DataFrame, municipios: DataF
     ts_type = fact_orders.schema["order_purchase_timestamp"].dataType
     facts = fact_orders.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast(ts_type))
     facts = facts.join(g, facts["customer_zip_code_prefix"] == g["geolocation_zip_code_prefix"], "inner")
-    mb = m
     facts = facts.join(
-        mb, (facts["geolocation_city_slug"] == mb["nome_municipio_slug"])
-        & (F.upper(facts["geolocation_state"]) == mb["uf_sigla"]), "inner",
+        m, (facts["geolocation_city_slug"] == m["nome_municipio_slug"])
+        & (F.upper(facts["geolocation_state"]) == m["uf_sigla"]), "inner",
     ).withColumn("ano", F.year("order_purchase_timestamp"))
     agg = order_kpis(facts, [*PLACE_KEYS, "ano"])
     sellers = (
