@@ -62,18 +62,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def to_double(df: DataFrame) -> DataFrame:
-    """Final projection: exact decimals become double."""
-    return df.select(*[
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+    """Final projection: exact decimals become double (one SQL projection)."""
+    return df.selectExpr(*[
+        f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, DecimalType) else f"`{f.name}`"
         for f in df.schema.fields
     ])
 
 
 def _case(col: str, mapping: dict[str, str]) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(F.col(col) == F.lit(k), F.lit(v)) if expr is None else expr.when(F.col(col) == F.lit(k), F.lit(v))
-    return expr
+    """``CASE col WHEN k THEN v ... END`` (NULL for anything unmapped)."""
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return F.expr(f"CASE `{col}` {whens} END")
 
 
 # ------------------------------------------------------------------ adapters
