@@ -12,18 +12,26 @@ from peerscope.operators.quality import QualitySuite
 
 
 def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: dt.date | str | None = None,
-                        mode: str = "overwrite") -> str:
+                        mode: str = "overwrite", batch_id: int | str | None = None) -> str:
     """B1: land a snapshot as ``{root}/{source}/ingestion_date=YYYY-MM-DD``.
 
     Dynamic partition overwrite replaces only that day's partition, so a
     second run on the same day replaces the first (as the reference does)
-    and earlier snapshots stay.
+    and earlier snapshots stay.  With ``batch_id`` (stream micro-batches)
+    each batch is its own sub-partition ``batch_id=...``: a replayed batch
+    replaces exactly its own files, so the write is idempotent.
     """
     d = F.lit(str(ingestion_date)).cast("date") if ingestion_date is not None else F.current_date()
     path = f"{root.rstrip('/')}/{source}"
-    (df.withColumn("ingestion_date", d).write.mode(mode)
+    out = df.withColumn("ingestion_date", d)
+    parts = ["ingestion_date"]
+    if batch_id is not None:
+        out = out.withColumn("batch_id", F.lit(str(batch_id)))
+        parts.append("batch_id")
+        mode = "overwrite"
+    (out.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy("ingestion_date").parquet(path))
+     .partitionBy(*parts).parquet(path))
     return path
 
 

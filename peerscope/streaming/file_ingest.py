@@ -62,6 +62,11 @@ def ingest_stream(
     """Run the ingest for one table until the landing folder is drained (K1)."""
     stats = {"batches": 0, "rows_in": 0, "written": 0, "rejected": 0}
     pattern = glob or contract.file_name or "*.csv"
+    # Batch ids restart with a new checkpoint; the checkpoint's identity keeps
+    # the batch partitions of different streams apart (same stream -> same key).
+    import hashlib
+
+    stream_key = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:8]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # written to two sinks: read the files once
@@ -70,13 +75,17 @@ def ingest_stream(
         from pyspark.sql import Observation
 
         obs = Observation(f"ingest_{contract.name}_{batch_id}")
+        # idempotent: a replayed micro-batch overwrites its own batch partition
+        key = f"{stream_key}-{batch_id:08d}"
         write_raw_partition(good_typed.observe(obs, F.count(F.lit(1)).alias("n")), raw_root, contract.name,
-                            ingestion_date, mode="append")
+                            ingestion_date, batch_id=key)
         n_bad = 0
         if quarantine_root:
             qobs = Observation(f"quarantine_{contract.name}_{batch_id}")
-            (rejected.drop("_valid").withColumn("_batch_id", F.lit(batch_id)).observe(qobs, F.count(F.lit(1)).alias("n"))
-             .write.mode("append").parquet(f"{quarantine_root.rstrip('/')}/{contract.name}"))
+            (rejected.drop("_valid").withColumn("batch_id", F.lit(key))
+             .observe(qobs, F.count(F.lit(1)).alias("n"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+             .parquet(f"{quarantine_root.rstrip('/')}/{contract.name}"))
             n_bad = int(qobs.get["n"])
         n_good = int(obs.get["n"])
         stats["batches"] += 1

@@ -61,3 +61,14 @@ def test_dispatch_all_tables(spark, tmp_dir):
     assert third["sellers"].rows_written == 1
     geo = spark.read.parquet(os.path.join(raw, "geolocation")).first()
     assert geo.geolocation_zip_code_prefix == 1037  # typed by the contract
+
+
+def test_new_checkpoint_does_not_overwrite(spark, tmp_dir):
+    land, raw = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    os.makedirs(land)
+    write(os.path.join(land, "sellers_1.csv"), ["s1,1000,sao paulo,SP\n"])
+    c = K.OLIST["sellers"]
+    ingest_stream(spark, land, c, raw, os.path.join(tmp_dir, "ck1"), glob="sellers_*.csv", ingestion_date="2024-01-01")
+    # K4: reprocessing from a new checkpoint re-reads the folder; batch 0 of the new stream is its own partition
+    ingest_stream(spark, land, c, raw, os.path.join(tmp_dir, "ck2"), glob="sellers_*.csv", ingestion_date="2024-01-01")
+    assert spark.read.parquet(os.path.join(raw, "sellers")).count() == 2
