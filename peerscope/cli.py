@@ -2,7 +2,7 @@
 
     python -m peerscope.cli ingest --landing DIR --raw DIR [--date YYYY-MM-DD] [--sample-rows N]
     python -m peerscope.cli build  --raw DIR --warehouse DIR [--no-volume-tests]
-    python -m peerscope.cli match  --warehouse DIR --place ID [--k 5] [--uf SP ...] [--band ...]
+    python -m peerscope.cli match  --warehouse DIR --place ID [--k 5] [--uf SP ...] [--band ...] [--compare]
     python -m peerscope.cli usage  --jobs PATH --since YYYY-MM-DD [--ts-col ts] [--bytes-col bytes]
 
 Each command is one Spark application; results are tables (written) or a
@@ -49,7 +49,7 @@ def cmd_build(a) -> int:
 
 def cmd_match(a) -> int:
     from peerscope.operators.filters import facet_filter
-    from peerscope.operators.matching import match_one, result_table
+    from peerscope.operators.matching import comparison_long, match_one, result_table
 
     spark = _session()
     prof = spark.read.parquet(f"{a.warehouse.rstrip('/')}/marts/mart_geo_analytics")
@@ -57,6 +57,9 @@ def cmd_match(a) -> int:
                               "categoria_populacao": a.band or [], "categoria_olist": a.presence or []})
     res = match_one(sel, a.place, "id_municipio", k=a.k, keep=["nome_municipio", "uf_sigla"])
     result_table(res, "id_municipio", "nome_municipio", "uf_sigla").show(truncate=False)
+    if a.compare:
+        comparison_long(res, "id_municipio", keep=["nome_municipio", "uf_sigla"]).orderBy(
+            "feature", "rank").show(100, truncate=False)
     return 0
 
 
@@ -90,6 +93,7 @@ def main(argv=None) -> int:
     m.add_argument("--region", nargs="*")
     m.add_argument("--band", nargs="*")
     m.add_argument("--presence", nargs="*")
+    m.add_argument("--compare", action="store_true", help="also print target vs matches per feature")
     u = sub.add_parser("usage")
     u.add_argument("--jobs", required=True)
     u.add_argument("--since", required=True)
