@@ -39,3 +39,27 @@ def test_ingest_is_all_or_nothing(spark, tmp_dir):
     with pytest.raises(InvalidSource):
         ingest_landing(spark, landing, raw, "2024-02-01")
     assert not os.path.exists(raw)
+
+
+def test_match_and_usage_commands(spark, tmp_dir, capsys, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from peerscope.plans.benchmark_tables import place_profile_frame, tables, to_double
+    monkeypatch.setattr(cli, "_session", lambda: spark)
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("benchmark tables not present")
+    wh = os.path.join(tmp_dir, "wh")
+    to_double(place_profile_frame(tables(spark, sf))).write.parquet(os.path.join(wh, "marts", "mart_geo_analytics"))
+    prof = spark.read.parquet(os.path.join(wh, "marts", "mart_geo_analytics")).dropna(subset=[
+        "populacao_residente", "renda_media_per_capita", "pct_domicilios_com_internet", "penetracao_olist",
+        "ticket_medio", "transacoes_pix_per_capita"])
+    target = prof.agg(F.min("id_municipio")).first()[0]
+    assert cli.main(["match", "--warehouse", wh, "--place", str(target), "--compare"]) == 0
+    out = capsys.readouterr().out
+    assert "rank" in out and "label" in out and "ticket_medio" in out
+    jobs = os.path.join(tmp_dir, "jobs")
+    spark.read.parquet(f"{sf}/events.parquet").select(
+        "ts", (F.col("value") * 2 ** 30).alias("bytes")).write.parquet(jobs)
+    assert cli.main(["usage", "--jobs", jobs, "--since", "2024-01-20"]) == 0
+    assert "jobs" in capsys.readouterr().out
