@@ -162,6 +162,7 @@ def stg_ibge_censo_9936(raw: DataFrame) -> DataFrame:
     )
 
 
+# Payments-panel column names and their staging names.
 PIX_RENAMES = {
     "AnoMes": "ano_mes", "Municipio_Ibge": "municipio_ibge", "Municipio": "municipio", "Estado_Ibge": "estado_ibge",
     "Estado": "estado", "Sigla_Regiao": "sigla_regiao", "Regiao": "regiao",
