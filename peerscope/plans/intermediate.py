@@ -190,8 +190,12 @@ def int_ibge_municipios(localidades: DataFrame, covariaveis: DataFrame) -> DataF
     )
 
 
-def int_bcb_pix_municipio(pix: DataFrame, strict_dates: bool = False) -> DataFrame:
-    """Monthly payment panel per municipality."""
+def int_bcb_pix_municipio(pix: DataFrame, strict_dates: bool = True) -> DataFrame:
+    """Monthly payment panel per municipality.
+
+    A YYYYMM that does not parse fails the run (``strict_dates``), as the
+    model does; pass ``strict_dates=False`` to get NULL instead.
+    """
     c = F.col
     return pix.select(
         "municipio_ibge",

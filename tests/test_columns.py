@@ -95,3 +95,10 @@ def test_sql_functions_registered(spark):
 def test_slug_extended(spark):
     got = one(spark, C.slug("s", extended=True), [("  São  João-Piñón ",)], "s string")
     assert got == ["sao_joao_pinon"]
+
+
+def test_yyyymm_strict_raises(spark):
+    import pytest
+    df = spark.createDataFrame([("20220x",)], "x string")
+    with pytest.raises(Exception):
+        df.select(C.yyyymm_to_date("x", strict=True)).collect()
