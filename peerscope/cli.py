@@ -1,6 +1,7 @@
 """Command line: ingest, build, match, usage.
 
     python -m peerscope.cli ingest --landing DIR --raw DIR [--date YYYY-MM-DD] [--sample-rows N]
+    python -m peerscope.cli stream --landing DIR --raw DIR --checkpoint DIR [--every "1 minute"]
     python -m peerscope.cli build  --raw DIR --warehouse DIR [--no-volume-tests]
     python -m peerscope.cli match  --warehouse DIR --place ID [--k 5] [--uf SP ...] [--band ...] [--compare]
     python -m peerscope.cli usage  --jobs PATH --since YYYY-MM-DD [--ts-col ts] [--bytes-col bytes]
@@ -30,6 +31,25 @@ def cmd_ingest(a) -> int:
     return 0
 
 
+def cmd_stream(a) -> int:
+    """Keep one file stream per business table running until interrupted."""
+    from peerscope.sources.contracts import OLIST
+    from peerscope.streaming.file_ingest import start_ingest_stream, stem_glob
+
+    spark = _session()
+    queries = []
+    for c in OLIST.values():
+        q, _ = start_ingest_stream(spark, a.landing, c, a.raw, f"{a.checkpoint.rstrip('/')}/{c.name}",
+                                   a.quarantine, glob=stem_glob(c.file_name), processing_time=a.every)
+        queries.append(q)
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for q in queries:
+            q.stop()
+    return 0
+
+
 def cmd_build(a) -> int:
     from peerscope.plans.layers import LayeredBuild
     from peerscope.sources.contracts import RAW_SOURCES
@@ -80,6 +100,12 @@ def main(argv=None) -> int:
     i.add_argument("--raw", required=True)
     i.add_argument("--date")
     i.add_argument("--sample-rows", type=int)
+    st = sub.add_parser("stream")
+    st.add_argument("--landing", required=True)
+    st.add_argument("--raw", required=True)
+    st.add_argument("--checkpoint", required=True)
+    st.add_argument("--quarantine")
+    st.add_argument("--every", default="1 minute")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--warehouse", required=True)
@@ -100,7 +126,8 @@ def main(argv=None) -> int:
     u.add_argument("--ts-col", default="ts")
     u.add_argument("--bytes-col", default="bytes")
     a = p.parse_args(argv)
-    return {"ingest": cmd_ingest, "build": cmd_build, "match": cmd_match, "usage": cmd_usage}[a.cmd](a)
+    return {"ingest": cmd_ingest, "stream": cmd_stream, "build": cmd_build, "match": cmd_match,
+            "usage": cmd_usage}[a.cmd](a)
 
 
 if __name__ == "__main__":

@@ -48,7 +48,7 @@ def _split(batch: DataFrame, contract: TableContract, whole_file: bool) -> tuple
     return good, rejected
 
 
-def ingest_stream(
+def start_ingest_stream(
     spark: SparkSession,
     landing: str,
     contract: TableContract,
@@ -58,8 +58,15 @@ def ingest_stream(
     glob: str | None = None,
     whole_file: bool = True,
     ingestion_date=None,
-) -> IngestReport:
-    """Run the ingest for one table until the landing folder is drained (K1)."""
+    processing_time: str | None = None,
+):
+    """Start the ingest stream for one table (K1); returns ``(query, stats)``.
+
+    ``processing_time=None`` processes what has landed and stops
+    (``availableNow``); a value such as ``"1 minute"`` keeps the stream
+    running and picks up each new file as it lands - the streaming
+    counterpart of an upload event.
+    """
     stats = {"batches": 0, "rows_in": 0, "written": 0, "rejected": 0}
     pattern = glob or contract.file_name or "*.csv"
     # Batch ids restart with a new checkpoint; the checkpoint's identity keeps
@@ -74,14 +81,14 @@ def ingest_stream(
         good_typed = contract.typed(good)  # drops _valid / _file
         from pyspark.sql import Observation
 
-        obs = Observation(f"ingest_{contract.name}_{batch_id}")
+        obs = Observation(f"ingest_{contract.name}_{stream_key}_{batch_id}")
         # idempotent: a replayed micro-batch overwrites its own batch partition
         key = f"{stream_key}-{batch_id:08d}"
         write_raw_partition(good_typed.observe(obs, F.count(F.lit(1)).alias("n")), raw_root, contract.name,
                             ingestion_date, batch_id=key)
         n_bad = 0
         if quarantine_root:
-            qobs = Observation(f"quarantine_{contract.name}_{batch_id}")
+            qobs = Observation(f"quarantine_{contract.name}_{stream_key}_{batch_id}")
             (rejected.drop("_valid").withColumn("batch_id", F.lit(key))
              .observe(qobs, F.count(F.lit(1)).alias("n"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
@@ -99,9 +106,25 @@ def ingest_stream(
               .option("pathGlobFilter", pattern)
               .csv(landing)
               .select("*", F.col("_metadata.file_path").alias("_file")))
-    q = (stream.writeStream.foreachBatch(handle)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if processing_time is None else w.trigger(processingTime=processing_time)
+    return w.start(), stats
+
+
+def ingest_stream(
+    spark: SparkSession,
+    landing: str,
+    contract: TableContract,
+    raw_root: str,
+    checkpoint: str,
+    quarantine_root: str | None = None,
+    glob: str | None = None,
+    whole_file: bool = True,
+    ingestion_date=None,
+) -> IngestReport:
+    """Run the ingest for one table until the landing folder is drained (K1)."""
+    q, stats = start_ingest_stream(spark, landing, contract, raw_root, checkpoint, quarantine_root, glob,
+                                   whole_file, ingestion_date)
     q.awaitTermination()
     low = contract.min_rows > 0 and stats["written"] < contract.min_rows
     return IngestReport(contract.name, stats["batches"], stats["rows_in"], stats["written"], stats["rejected"], low)

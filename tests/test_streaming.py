@@ -72,3 +72,21 @@ def test_new_checkpoint_does_not_overwrite(spark, tmp_dir):
     # K4: reprocessing from a new checkpoint re-reads the folder; batch 0 of the new stream is its own partition
     ingest_stream(spark, land, c, raw, os.path.join(tmp_dir, "ck2"), glob="sellers_*.csv", ingestion_date="2024-01-01")
     assert spark.read.parquet(os.path.join(raw, "sellers")).count() == 2
+
+
+def test_continuous_stream_picks_up_new_files(spark, tmp_dir):
+    from peerscope.streaming.file_ingest import start_ingest_stream
+
+    land, raw, ck = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    write(os.path.join(land, "sellers_1.csv"), ["s1,1000,sao paulo,SP\n"])
+    q, stats = start_ingest_stream(spark, land, K.OLIST["sellers"], raw, ck, glob="sellers_*.csv",
+                                   ingestion_date="2024-01-01", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write(os.path.join(land, "sellers_2.csv"), ["s2,2000,rio,RJ\n"])  # lands while the stream runs
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert stats["written"] == 2
+    assert spark.read.parquet(os.path.join(raw, "sellers")).count() == 2
