@@ -180,15 +180,17 @@ def kth_smallest(vals: DataFrame, col: str, r: int, n: int, budget: int) -> floa
     Each round asks an approximate quantile sketch for a value bracket
     around the rank, counts rows below and inside it in one pass, and keeps
     only the rows inside.  When at most ``budget`` rows remain they are
-    sorted and the exact value is read.  Only scalars and the final
-    ``budget``-bounded bracket reach the driver.
+    ranked inside Spark (one window over at most ``budget`` rows) and only
+    the value at the wanted rank is returned.  Only scalars reach the driver.
     """
+    from pyspark.sql import Window
+
     sub, offset, m = vals, 0, n
     c = F.col(col)
     for _ in range(64):
         if m <= budget:
-            rows = sub.orderBy(col).collect()
-            return float(rows[r - offset][0])
+            ranked = sub.withColumn("_rn", F.row_number().over(Window.orderBy(c)))
+            return float(ranked.filter(F.col("_rn") == F.lit(r - offset + 1)).first()[col])
         half = max(budget / (4.0 * m), 1.0 / m)
         q = (r - offset) / max(m - 1, 1)
         pa, pb = max(0.0, q - half), min(1.0, q + half)
