@@ -16,10 +16,13 @@ import argparse
 import sys
 
 
+_PROFILE = {"name": "local"}
+
+
 def _session():
     from peerscope.session import get_session
 
-    return get_session()
+    return get_session(profile=_PROFILE["name"])
 
 
 def cmd_ingest(a) -> int:
@@ -94,6 +97,7 @@ def cmd_usage(a) -> int:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="peerscope")
+    p.add_argument("--cluster", action="store_true", help="cluster session profile (run under spark-submit)")
     sub = p.add_subparsers(dest="cmd", required=True)
     i = sub.add_parser("ingest")
     i.add_argument("--landing", required=True)
@@ -126,6 +130,7 @@ def main(argv=None) -> int:
     u.add_argument("--ts-col", default="ts")
     u.add_argument("--bytes-col", default="bytes")
     a = p.parse_args(argv)
+    _PROFILE["name"] = "cluster" if a.cluster else "local"
     return {"ingest": cmd_ingest, "stream": cmd_stream, "build": cmd_build, "match": cmd_match,
             "usage": cmd_usage}[a.cmd](a)
 
