@@ -138,6 +138,8 @@ def safe_cast(c: str | Column, to: str) -> Column:
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """num / den as double; a zero or NULL denominator gives NULL (F8)."""
+    if isinstance(num, str) and isinstance(den, str):  # same expression, one driver round trip
+        return F.expr(f"CAST(`{num}` AS DOUBLE) / NULLIF(CAST(`{den}` AS DOUBLE), 0D)")
     d = col_of(den).cast("double")
     return col_of(num).cast("double") / F.nullif(d, F.lit(0.0))
 
