@@ -16,8 +16,9 @@ used consistently by the Spark queries and their SQL oracles):
                             score = 1 + event_id % 5, comment = event_type unless 'view'
   monthly payment panel  -> lineitem per supplier nation x ship month;
                             payer = linestatus O, receiver = F; person = returnflag N
-  census covariates      -> customers per nation: population = count,
-                            income = mean account balance, internet = share with balance > 0
+  census covariates      -> customers per nation: population = count, mean income = mean
+                            account balance, "median" income = mean positive balance,
+                            internet share = share of customers with balance > 0
 
 Money is carried as ``decimal`` so that sums do not depend on row order; it is
 turned into double only in the final projection.
