@@ -48,3 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(srows) == len(drows)
     assert srows == drows
 
+
+
+def test_bench_headline_queries_are_registered():
+    import bench
+    assert set(bench.HEADLINE) <= set(E.queries())
+    assert bench.HEADLINE[0] == "kpi_by_place_year"
