@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from peerscope.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="benchmark tables not present")
@@ -28,12 +29,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    qs, sql = E.queries(), E.oracle_sql()
+    qs, sql = catalog.queries(), catalog.oracle_sql()
     assert set(sql) == set(qs)
     assert len(qs) >= 40
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     from oracle_check import key, norm
 
