@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from peerscope.llm import line_dedup, sharding, url_filter
+from peerscope.llm import ann, bpe, kdtree, line_dedup, packing, sharding, substring_dedup, toxicity, url_filter
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_packing": packing.op6_packing,
+    "op7_ann": ann.op7_ann,
+    "op8_topk": kdtree.op8_topk,
     "op10_sharding": sharding.op10_sharding,
 }
 
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
+    "op8_topk": kdtree.SQL,
 }
