@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from peerscope.llm import ann, bpe, kdtree, line_dedup, packing, sharding, substring_dedup, toxicity, url_filter
+import corpus_pipeline
+from peerscope.llm import ann, bpe, kdtree, line_dedup, minhash_dedup, packing, sharding, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -13,7 +14,9 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_ann": ann.op7_ann,
     "op8_topk": kdtree.op8_topk,
+    "op9_near_dedup": minhash_dedup.op9_near_dedup,
     "op10_sharding": sharding.op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
