@@ -3,15 +3,18 @@
 A text's set is reduced to ``COORDINATES`` min-hashes; equal sets form one class.  Each of ``TREES`` independent trees
 branches a class on two coordinates a node: the coordinates are chosen by the node's path, the child by the class's
 min-hash there, so classes of similarity s stay together in a child with probability s.  A node of at most
-``SMALL_NODE`` classes is compared exhaustively; a larger one branches on, down to ``DEPTH``.  Two classes of
-similarity 0.75 part ways in all branches of one tree with probability 0.11, in all six trees with 2 in a million.
-
-A node that is still large at ``DEPTH`` holds classes that are alike almost to a man.  There each class is paired with
-the node's first; once components are known, only the classes outside a node's main component are paired with the
-rest.  So a group of thousands is linked without all its pairs, and no pair of two components goes unseen.
-
-Candidates are confirmed on the full shingle sets of the texts in two rounds: first each class's best smaller
-candidate, then every candidate that would still join two components.
+``SMALL_NODE`` classes is compared exhaustively; a larger one branches on.  Two classes of similarity 0.75 part ways in
+all branches of one tree with probability 0.11, in all six trees with 2 in a million.
+
+A large node whose classes are alike (versions of one text), or that is still large at ``DEPTH``, would take all its
+pairs to finish.  Its classes form a crowd instead.  The crowd's common shingles P are those of a quarter of a sample
+of it; each class is linked to the classes nearest to P, and a class x left outside the main component can then only be
+similar to a class y that (i) is short enough for the P-shingles of both to suffice, 7 min(|x∩P|, |y∩P|) >= 3 (|x|+|y|),
+or (ii) has a shingle outside P in common with x.  Both are equality joins, and the two cases are all there are whatever
+P is: so a crowd of any size is finished without its pairs, and no link is lost to P.
+
+Candidates are confirmed on the full shingle sets of the texts in two rounds: first each class's best candidates, then
+every candidate that would still join two components.
 """
 
 from __future__ import annotations
@@ -27,12 +30,15 @@ from peerscope.llm.shared import byte_texts, hidden, mix, stage, table, window_h
 
 WORDS = 5
 PERCENT = 75
-COORDINATES = 64
+COORDINATES = 128
 TREES = 6
 BRANCHES = 2
-DEPTH = 5
+DEPTH = 6
 SMALL_NODE = 32
-LEAST_MATCHES = 32  # of 64 min-hashes; 0.75 falls below with a chance of about 1 in 100,000
+ALIKE = 0.3  # mean share of min-hashes in common with the node's first class, from which on a large node is a crowd
+LEAST_MATCHES = 77  # of 128 min-hashes; a similarity of 0.75 falls below with a chance of 1 in 20,000
+SAMPLE = 64
+CENTRES = 8
 
 _FACTOR = mix(np.arange(COORDINATES, dtype=np.uint64), 21) | np.uint64(1)
 _SHIFT = mix(np.arange(COORDINATES, dtype=np.uint64), 22)
@@ -51,13 +57,14 @@ def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
+def min_hashes(shingles: np.ndarray) -> bytes:
+    """16 bits of each coordinate's min-hash."""
     out = np.full(COORDINATES, 0xFFFFFFFF, dtype=np.uint64)
-    for i in range(0, len(shingles), 8192):
-        x = shingles[None, i: i + 8192] * _FACTOR[:, None]
+    for i in range(0, len(shingles), 4096):
+        x = shingles[None, i: i + 4096] * _FACTOR[:, None]
         x += _SHIFT[:, None]
         np.minimum(out, x.min(axis=1) >> np.uint64(32), out=out)
-    return out.astype(np.uint32).view(np.int32)
+    return out.astype(np.uint16).tobytes()
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -69,71 +76,187 @@ def _sets(docs: DataFrame) -> DataFrame:
             for i in range(0, len(texts), step):
                 found = shingle_sets(texts[i: i + step])
                 part = batch.slice(i, step)
-                key = [np.array([len(s), mix(s, 23).sum(), mix(s, 24).sum()], dtype=np.uint64)[1:].tobytes() for s in found]
+                key = [np.array([mix(s, 23).sum(), mix(s, 24).sum()], dtype=np.uint64).tobytes() for s in found]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["body"], pa.array([len(s) for s in found], pa.int64()), pa.array(key, pa.binary()),
-                     pa.array([min_hashes(s) for s in found], pa.list_(pa.int32()))],
+                     pa.array([min_hashes(s) for s in found], pa.binary())],
                     names=["doc_id", "body", "n_shingles", "set", "sig"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", F.xxhash64("text").alias("body")) \
-        .mapInArrow(sets, f"doc_id {id_type}, body long, n_shingles long, set binary, sig array<int>")
+        .mapInArrow(sets, f"doc_id {id_type}, body long, n_shingles long, set binary, sig binary")
 
 
-def _shared_nodes(rows: DataFrame, name: str) -> DataFrame:
+def _shared_nodes(rows: DataFrame) -> DataFrame:
     """(node, set, n): the rows of nodes with two classes or more, and the node's size."""
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return stage(salted_join(rows, sizes, "node", "set"), name)
+    return stage(salted_join(rows, sizes, "node", "set"), "nodes")
 
 
-def _child(node: Column, coordinate: Column, sig: Column) -> Column:
-    return F.xxhash64(node, coordinate, F.get(sig, coordinate))
+def _min_hash(coordinate: Column) -> Column:
+    return F.substring("sig", coordinate * 2 + 1, F.lit(2))
 
 
-def _branch(big: DataFrame, sigs: DataFrame) -> DataFrame:
+def _branch(large: DataFrame) -> DataFrame:
     """The children of large nodes: two further coordinates of each, chosen by the node's path."""
     first, rest = TREES * BRANCHES, COORDINATES - TREES * BRANCHES
     one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(rest)).cast("int")
     other = F.pmod(one + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(rest - 1)).cast("int"), F.lit(rest)).cast("int")
-    at = F.array(*[F.array(_child(F.col("node"), c + first, F.col("sig"))) for c in (one, other)])
-    return big.select("node", "set").join(sigs, "set").select("set", F.explode(F.flatten(at)).alias("node"))
+    return large.select("set", F.explode(F.array(*[F.xxhash64("node", c, _min_hash(c + first)) for c in (one, other)])).alias("node"))
 
 
-def _matches(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+def _matches(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Number of equal min-hashes of each pair."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES) for c in (a, b))
+    return (x == y).sum(axis=1)
 
 
 def _alike(pairs: DataFrame) -> DataFrame:
     """(a, b, est) with a < b from (a, b, sig_a, sig_b), if enough min-hashes agree."""
-    scored = pairs.withColumn("est", _matches(F.col("sig_a"), F.col("sig_b"))).filter(F.col("est") >= LEAST_MATCHES)
-    return scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "est")
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            est = _matches(batch["sig_a"], batch["sig_b"])
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(est, pa.int32())], names=["a", "b", "est"]) \
+                .filter(pa.array(est >= LEAST_MATCHES))
+
+    found = pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(alike, "a binary, b binary, est int")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "est")
 
 
-def candidate_pairs(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Staged (a, b, est) candidates of (set, sig), and (node, set, sig) of the nodes still large at the last level."""
-    roots = F.array(*[F.xxhash64(F.lit(t), F.lit(t * BRANCHES + j), F.get("sig", F.lit(t * BRANCHES + j)))
-                      for t in range(TREES) for j in range(BRANCHES)])
-    low = sigs.select("set", F.transform("sig", lambda x: F.pmod(x, F.lit(256)).cast("smallint")).alias("sig"))
-    rows = _shared_nodes(sigs.select("set", F.explode(roots).alias("node")), "nodes")
-    small, large = [], None
+def _matches_of(rows: DataFrame, keep: str) -> DataFrame:
+    """(set, keep, est) of rows (set, keep, sig, other): how many min-hashes agree with ``other``."""
+    kind = rows.schema[keep].dataType.simpleString()
+
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["set"], batch[keep], pa.array(_matches(batch["sig"], batch["other"]), pa.int32())],
+                                             names=["set", keep, "est"])
+
+    return rows.select("set", keep, "sig", "other").mapInArrow(matches, f"set binary, {keep} {kind}, est int")
+
+
+def _consensus(group: pa.Table) -> pa.Table:
+    """The most frequent min-hash at each coordinate of a bounded sample of a node."""
+    sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
+    mode = np.array([(v := np.unique(c, return_counts=True))[0][v[1].argmax()] for c in sigs.T], dtype=np.uint16)
+    return pa.table({"node": group["node"].slice(0, 1), "other": pa.array([mode.tobytes()], pa.binary())})
+
+
+def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig)."""
+    roots = F.array(*[F.xxhash64(F.lit(t), F.lit(c), _min_hash(F.lit(c))) for t in range(TREES) for c in range(t * BRANCHES, (t + 1) * BRANCHES)])
+    rows = _shared_nodes(sigs.select("set", F.explode(roots).alias("node")))
+    small, crowds = [], []
     for level in range(1, DEPTH + 1):
-        small.append(rows.filter(F.col("n") <= SMALL_NODE))
-        large = rows.filter(F.col("n") > SMALL_NODE)
-        if level == DEPTH or large.isEmpty():
+        small.append(rows.filter(F.col("n") <= SMALL_NODE).select("node", "set"))
+        large = rows.filter(F.col("n") > SMALL_NODE).select("node", "set")
+        if large.isEmpty():
+            break
+        large = stage(large.join(sigs, "set").select("node", "set", "sig"), "large-nodes")
+        if level == DEPTH:
+            crowds.append(large)
             break
-        rows = _shared_nodes(_branch(large, sigs), "nodes")
-    members = small[0]
-    for more in small[1:]:
-        members = members.union(more)
-    members = members.select("node", "set").join(low, "set")
+        first = large.groupBy("node").agg(F.min(F.struct("set", "sig"))["sig"].alias("other"))
+        likeness = _matches_of(salted_join(large, first, "node", "set"), "node").groupBy("node").agg(F.avg("est").alias("est"))
+        alike = stage(likeness.filter(F.col("est") >= ALIKE * COORDINATES).select("node", F.lit(True).alias("alike")), "alike")
+        marked = salted_join(large, alike, "node", "set", how="left")
+        crowds.append(marked.filter("alike").select("node", "set", "sig"))
+        rows = _shared_nodes(_branch(marked.filter("alike IS NULL")))
+    members = _union(small).join(sigs, "set")
     pairs = members.alias("x").join(members.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.set") < F.col("y.set"))) \
         .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"), F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b"))
-    large = stage(large.select("node", "set").join(low, "set"), "large-nodes")
-    first = large.groupBy("node").agg(F.min(F.struct("set", "sig")).alias("first"))
-    stars = salted_join(large, first, "node", "set").filter(F.col("set") != F.col("first.set")) \
-        .select(F.col("first.set").alias("a"), F.col("set").alias("b"), F.col("first.sig").alias("sig_a"), F.col("sig").alias("sig_b"))
-    found = _alike(pairs).union(_alike(stars)).distinct()
-    return stage(found, "candidates"), large
+    candidates = stage(_alike(pairs).distinct(), "candidates")
+    if not crowds:
+        return candidates, candidates.limit(0).select(F.col("a").alias("crowd"), F.col("b").alias("set"))
+    crowded = _union(crowds)
+    # nodes of one crowd in different trees agree on the class nearest to their consensus: it names the crowd
+    nth = F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("set")))
+    modes = crowded.withColumn("nth", nth).filter(F.col("nth") <= 16).drop("nth") \
+        .groupBy("node").applyInArrow(_consensus, "node long, other binary")
+    nearest = _matches_of(salted_join(crowded, modes, "node", "set"), "node").groupBy("node") \
+        .agg(F.max(F.struct("est", "set"))["set"].alias("crowd"))
+    return candidates, stage(salted_join(crowded, nearest, "node", "set").select("crowd", "set").distinct(), "crowds")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.union(df)
+    return out
+
+
+def _common(group: pa.Table) -> pa.Table:
+    """The shingles in at least a quarter of a bounded sample of a crowd."""
+    sets = shingle_sets(byte_texts(group["text"]))
+    every, counts = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.table({"crowd": group["crowd"].slice(0, 1), "common": pa.array([every[4 * counts >= len(sets)].tobytes()], pa.binary())})
+
+
+def profiles(crowds: DataFrame, texts: DataFrame) -> DataFrame:
+    """Staged (crowd, set, n, inside, common, extra): of each class its size, its shingles in P, |P| and those outside P."""
+    rows = crowds.join(texts, "set").select("crowd", "set", "text")
+    nth = F.row_number().over(W.partitionBy("crowd").orderBy(F.xxhash64("set")))
+    common = rows.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE).drop("nth") \
+        .groupBy("crowd").applyInArrow(_common, "crowd binary, common binary")
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(byte_texts(batch["text"]))
+            commons = [np.frombuffer(c, dtype=np.uint64) for c in batch["common"].to_pylist()]
+            extra = [np.setdiff1d(s, c, assume_unique=True).view(np.int64) for s, c in zip(sets, commons, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["crowd"], batch["set"], pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([len(s) - len(e) for s, e in zip(sets, extra, strict=True)], pa.int64()),
+                 pa.array([len(c) for c in commons], pa.int64()), pa.array(extra, pa.list_(pa.int64()))],
+                names=["crowd", "set", "n", "inside", "common", "extra"])
+
+    return stage(salted_join(rows, common, "crowd", "set").select("crowd", "set", "text", "common")
+                 .mapInArrow(profile, "crowd binary, set binary, n long, inside long, common long, extra array<long>"), "profiles")
+
+
+def _with_sigs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    for end, other in (("a", "b"), ("b", "a")):
+        pairs = salted_join(pairs, sigs.select(F.col("set").alias(end), F.col("sig").alias(f"sig_{end}")), end, other)
+    return pairs
+
+
+def star_pairs(crowd: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b): each class of a crowd with the two most alike of the crowd's classes nearest to P."""
+    near = F.col("inside") / (F.col("n") + F.col("common") - F.col("inside"))
+    nth = F.row_number().over(W.partitionBy("crowd").orderBy(near.desc(), "set"))
+    centres = crowd.select("crowd", "set", "n", "inside", "common").withColumn("nth", nth).filter(F.col("nth") <= CENTRES) \
+        .select("crowd", F.col("set").alias("b")).join(sigs.select(F.col("set").alias("b"), F.col("sig").alias("sig_b")), "b")
+    rows = crowd.select("crowd", F.col("set").alias("a")).join(sigs.select(F.col("set").alias("a"), F.col("sig").alias("sig_a")), "a")
+    found = _alike(salted_join(rows, centres, "crowd", "a").filter("a <> b"))
+    both = found.union(found.select("b", "a", "est")).distinct()
+    best = both.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy(F.desc("est"), "b"))).filter("nth <= 2")
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def stray_pairs(crowd: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b): what the classes outside a crowd's main component may still be similar to (cases i and ii above)."""
+    named = crowd.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    main = named.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("size")) \
+        .groupBy("crowd").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
+    strays = salted_join(named, main, "crowd", "set").filter("root <> main").select(
+        "crowd", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("inside").alias("inside_a"), F.col("extra").alias("extra_a"),
+        F.col("root").alias("root_a"))
+    strays = stage(strays, "strays")
+    other = named.select("crowd", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("inside").alias("inside_b"), "extra",
+                         F.col("root").alias("root_b"))
+
+    def step(n: Column) -> Column:
+        return F.floor(F.log(n) / F.log(F.lit(1.02)))
+
+    lowest = F.col("n_a") * (PERCENT / 100) * 0.999  # similar sets are alike in size
+    highest = F.least(F.col("n_a") / (PERCENT / 100), (7 * F.col("inside_a") - 3 * F.col("n_a")) / 3) * 1.001
+    short = strays.filter(highest >= lowest).select("crowd", "a", "n_a", "inside_a", "root_a", F.explode(F.sequence(step(lowest), step(highest))).alias("step"))
+    enough = 7 * F.least("inside_a", "inside_b") >= 3 * (F.col("n_a") + F.col("n_b"))
+    first = other.drop("extra").withColumn("step", step(F.col("n_b"))).join(short, ["crowd", "step"]).filter((F.col("root_a") != F.col("root_b")) & enough)
+    second = other.select("crowd", "b", "root_b", F.explode("extra").alias("shingle")) \
+        .join(strays.select("crowd", "a", "root_a", F.explode("extra_a").alias("shingle")), ["crowd", "shingle"]).filter("root_a <> root_b")
+    pairs = first.select("a", "b").union(second.select("a", "b")).distinct()
+    return _alike(_with_sigs(pairs, sigs)).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -154,13 +277,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stage(whole.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a binary, b binary"), "links")
 
 
-def _texts_of(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """Staged (set, text) of the classes in ``pairs``, the text of one row of each."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "set").join(reps, "set")
-    named = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
-    return stage(named.join(wanted, ["doc_id", "body"]).groupBy("set").agg(F.min("text").alias("text")), "texts")
-
-
 def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends lie in different components."""
     for end in ("a", "b"):
@@ -169,43 +285,37 @@ def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _strays(large: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates between a large node's classes outside its main component and the rest of the node."""
-    named = large.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    named = stage(named, "large-nodes")
-    main = named.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")) \
-        .groupBy("node").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    strays = salted_join(named, main, "node", "set").filter("root <> main").select(
-        "node", F.col("set").alias("a"), F.col("sig").alias("sig_a"), F.col("root").alias("root_a"))
-    others = named.select("node", F.col("set").alias("b"), F.col("sig").alias("sig_b"), F.col("root").alias("root_b"))
-    return _alike(salted_join(others, strays, "node", "b").filter("root_a <> root_b")).select("a", "b").distinct()
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept for every row.
 
     Sets hold the distinct five-word shingles of the text with A-Z lower-cased (fewer words: the whole sequence as
     one); texts without words and null texts have an empty set and are linked with nothing.  Rows with a null id take
-    no part: their component is null and they are kept.  Repeated rows and rows of one id get the same component;
-    ``kept`` says whether the row's id is its component's smallest.  Other columns are not read.
+    no part: their component is null and they are kept.  Repeated rows get the same component, rows of one id with
+    different texts the components of their texts; ``kept`` says whether the row's id is its component's smallest.
+    Other columns are not read.
     """
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sets = stage(_sets(docs), "sets")
     some = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = stage(some.groupBy("set").agg(F.min(F.struct("doc_id", "body")).alias("rep"), F.first("sig").alias("sig"))
-                    .select("set", "rep.doc_id", "rep.body", "sig"), "classes")
-    candidates, large = candidate_pairs(classes.select("set", "sig"))
-    reps = classes.select("set", "doc_id", "body")
-    best = candidates.groupBy("b").agg(F.max(F.struct("est", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = _confirmed(best, _texts_of(best, reps, docs))
+    classes = some.groupBy("set").agg(F.min(F.struct("doc_id", "body", "sig")).alias("rep"))
+    classes = stage(classes.select("set", "rep.doc_id", "rep.body", "rep.sig"), "classes")
+    sigs, reps = classes.select("set", "sig"), classes.select("set", "doc_id", "body")
+    candidates, crowds = grow_trees(sigs)
+    wanted = candidates.select("a").union(candidates.select("b")).union(crowds.select("set")).toDF("set").distinct().join(reps, "set")
+    named = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
+    texts = stage(named.join(wanted, ["doc_id", "body"]).groupBy("set").agg(F.min("text").alias("text")), "texts")
+    crowd = profiles(crowds, texts)
+    best = candidates.groupBy("b").agg(F.max(F.struct("est", "a"))["a"].alias("a")).select("a", "b")
+    tried = stage(best.union(star_pairs(crowd, sigs)).distinct(), "tried")
+    links = _confirmed(tried, texts)
     roots = connected_components(links)
-    rest = _different(candidates.select("a", "b"), roots).union(_strays(large, roots)).distinct()
-    rest = stage(rest.join(best, ["a", "b"], "left_anti"), "rest")
+    rest = _different(candidates.select("a", "b"), roots).union(stray_pairs(crowd, roots, sigs)).distinct()
+    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        roots = connected_components(links.union(_confirmed(rest, _texts_of(rest, reps, docs))))
-    named = reps.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    lowest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = stage(salted_join(named, lowest, "root", "set").select("set", "component_id"), "components")
+        roots = connected_components(links.union(_confirmed(rest, texts)))
+    labelled = reps.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    lowest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = stage(salted_join(labelled, lowest, "root", "set").select("set", "component_id"), "components")
     joined = salted_join(sets.select("doc_id", F.col("body").alias("text_hash"), "n_shingles", "set"), of_class, "set", "text_hash", how="left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
