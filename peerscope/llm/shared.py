@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from peerscope.session import checkpoint_dir
 
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once, also where ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def hidden(name: str, columns: list[str]) -> str:
     """A column name that no column of ``columns`` has (Spark ignores case)."""
     taken = {c.lower() for c in columns}

@@ -11,7 +11,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from peerscope.llm.shared import hidden, table
+from peerscope.llm.shared import hidden, let, table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 DIMENSIONS = 512
@@ -63,9 +63,11 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
 def features(host: Column, path: Column, n: int = GRAM, dimensions: int = DIMENSIONS) -> Column:
     """Buckets (1-based) of the distinct character n-grams of ``^host$`` and ``^path$``."""
     def grams(kind: str, text: Column) -> Column:
-        letters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-        at = F.sequence(F.lit(0), F.greatest(F.size(letters) - n, F.lit(0)))
-        return F.transform(at, lambda i: F.concat(F.lit(kind), *[F.coalesce(F.get(letters, i + k), F.lit("")) for k in range(n)]))
+        def of(letters: Column) -> Column:
+            at = F.sequence(F.lit(0), F.greatest(F.size(letters) - n, F.lit(0)))
+            return F.transform(at, lambda i: F.concat(F.lit(kind), *[F.coalesce(F.get(letters, i + k), F.lit("")) for k in range(n)]))
+
+        return let(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""), of)
 
     both = F.array_distinct(F.concat(grams("h", host), grams("p", path)))
     return F.array_distinct(F.transform(both, lambda g: (F.pmod(F.crc32(g.cast("binary")), F.lit(dimensions)) + 1).cast("int")))
