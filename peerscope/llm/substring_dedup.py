@@ -50,6 +50,8 @@ def _once(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _slices(h: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
     """(bucket, slice) of the non-empty buckets of sorted hashes."""
+    if not len(h):
+        return []
     of = _bucket(h, buckets)
     cuts = np.flatnonzero(np.diff(of, prepend=np.uint64(buckets) + np.uint64(1)))
     return [(int(of[a]), slice(int(a), int(b))) for a, b in zip(cuts, np.append(cuts[1:], len(h)), strict=True)]
@@ -178,7 +180,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, grou
             gone[start] += 1
             np.add.at(gone, start + width, -1)
         covered = np.cumsum(gone[:-1]) > 0
-        removed = np.add.reduceat(np.append(covered, False), mine.first[:-1]) * (np.diff(mine.first) > 0) if len(texts) else np.zeros(0)
+        removed = np.add.reduceat(np.append(covered, False), mine.first[:-1], dtype=np.int64) * (np.diff(mine.first) > 0) if len(texts) else np.zeros(0)
         kept = []
         for i, raw in enumerate(texts):
             words = raw.split()
