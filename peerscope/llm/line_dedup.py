@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from peerscope.llm.shared import hidden, table
+from peerscope.llm.shared import hidden, let, table
 
 WIDTH = 3
 SALTS = 16
@@ -31,8 +31,8 @@ def covered_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"),
         (F.length(F.trim(F.translate(x, "\t\r\u000b\f", "    "))) > 0).alias("ink"))).alias("line"))
 
-    def window(i: Column) -> Column:
-        part = [F.get("line", i + k) for k in range(width)]
+    def window(line: Column, i: Column) -> Column:
+        part = [F.get(line, i + k) for k in range(width)]
         ink = part[0]["ink"]
         for p in part[1:]:
             ink = ink | p["ink"]
@@ -40,7 +40,8 @@ def covered_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                                     F.xxhash64(*[p["b"] for p in part]).alias("b"), i.alias("at")))
 
     at = F.sequence(F.lit(0), F.size("line") - F.lit(width))
-    seen = lines.select("doc", "body", F.explode(F.transform(at, window)).alias("w")) \
+    windows = let(F.col("line"), lambda line: F.transform(at, lambda i: window(line, i)))
+    seen = lines.select("doc", "body", F.explode(windows).alias("w")) \
         .filter(F.col("w").isNotNull()).select("doc", "body", "w.a", "w.b", "w.at")
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "body", "at")
     repeated = seen.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
@@ -67,9 +68,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     covered = covered_lines(docs, doc_id, text, width).select(*[F.col(c).alias(out[c]) for c in ("doc", "body", "covered")])
     lines = F.when(F.col(text).isNull(), F.array().cast("array<string>")).otherwise(_lines(F.col(text)))
     on = F.col(doc_id).eqNullSafe(F.col(out["doc"])) & (F.xxhash64(text) == F.col(out["body"]))
-    index = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.array_except(index, F.col(out["covered"]))
-    new = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    def left(every: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(out["covered"]))
+        return F.array_join(F.transform(kept, lambda i: F.get(every, i)), "\n")
+
+    new = let(lines, left)
     removed = F.coalesce(F.size(F.col(out["covered"])), F.lit(0))
     joined = docs.join(covered, on, "left")
     return joined.select(
