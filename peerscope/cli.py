@@ -30,7 +30,8 @@ def cmd_ingest(a) -> int:
 
     for r in ingest_landing(_session(), a.landing, a.raw, a.date, a.sample_rows):
         flag = "  LOW VOLUME" if r.low_volume else ""
-        print(f"{r.source}: {r.rows} rows{flag}")
+        left_out = f", {r.discarded} discarded" if r.discarded else ""
+        print(f"{r.source}: {r.rows} rows{left_out}{flag}")
     return 0
 
 
@@ -66,6 +67,8 @@ def cmd_build(a) -> int:
     for name, warns in b.warnings.items():
         if warns:
             print(f"warn {name}: {warns}")
+    c = b.order_coverage().first()
+    print(f"geocoded orders: {c.matched} of {c.total}")
     print(f"built {len(b.models)} models")
     return 0
 
@@ -79,19 +82,25 @@ def cmd_match(a) -> int:
     sel = facet_filter(prof, {"uf_sigla": a.uf or [], "macroregiao_nome": a.region or [],
                               "categoria_populacao": a.band or [], "categoria_olist": a.presence or []})
     res = match_one(sel, a.place, "id_municipio", k=a.k, keep=["nome_municipio", "uf_sigla"])
-    result_table(res, "id_municipio", "nome_municipio", "uf_sigla").show(truncate=False)
+    print_all(result_table(res, "id_municipio", "nome_municipio", "uf_sigla"))
     if a.compare:
-        comparison_long(res, "id_municipio", keep=["nome_municipio", "uf_sigla"]).orderBy(
-            "feature", "rank").show(100, truncate=False)
+        print_all(comparison_long(res, "id_municipio", keep=["nome_municipio", "uf_sigla"]).orderBy("feature", "rank"))
     return 0
 
 
+def print_all(df) -> None:
+    """Every row, tab-separated under a header (reports are as long as the caller asked for)."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def cmd_usage(a) -> int:
     from peerscope.operators.aggregates import daily_rollup
 
     spark = _session()
     jobs = spark.read.parquet(a.jobs)
-    daily_rollup(jobs, a.ts_col, a.bytes_col, a.since).show(truncate=False)
+    print_all(daily_rollup(jobs, a.ts_col, a.bytes_col, a.since, type_col=a.type_col, state_col=a.state_col))
     return 0
 
 
@@ -129,6 +138,8 @@ def main(argv=None) -> int:
     u.add_argument("--since", required=True)
     u.add_argument("--ts-col", default="ts")
     u.add_argument("--bytes-col", default="bytes")
+    u.add_argument("--type-col", default="job_type")
+    u.add_argument("--state-col", default="state")
     a = p.parse_args(argv)
     _PROFILE["name"] = "cluster" if a.cluster else "local"
     return {"ingest": cmd_ingest, "stream": cmd_stream, "build": cmd_build, "match": cmd_match,

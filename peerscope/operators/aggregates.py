@@ -144,22 +144,34 @@ def covariance_matrix(df: DataFrame, features: Sequence[str]):
     return m, int(row["_n"])
 
 
+# The jobs that count in the usage report.
+COUNTED_JOB_TYPE = "QUERY"
+COUNTED_STATE = "DONE"
+
+
 def daily_rollup(
     df: DataFrame, ts_col: str, bytes_col: str, since: Column | str,
-    price_per_tib: float = 6.25, top_n: int = 15,
+    price_per_tib: float = 6.25, top_n: int = 15, type_col: str | None = "job_type", state_col: str | None = "state",
 ) -> DataFrame:
-    """Daily usage rollup (F16 / H3): jobs and billed TiB cost per day.
+    """Daily usage rollup (F16 / H3): finished queries, their billed GB and cost per day.
 
-    Newest ``top_n`` days; the limit is the report itself.
+    Newest ``top_n`` days; the limit is the report itself.  ``type_col`` /
+    ``state_col`` name the columns of the job filter, None leaves it out.
     """
     since_c = F.lit(since).cast(df.schema[ts_col].dataType) if isinstance(since, str) else since
-    tib = F.pow(F.lit(1024.0), F.lit(4.0))
+    cond = F.col(ts_col) >= since_c
+    if type_col:
+        cond = cond & (F.col(type_col) == COUNTED_JOB_TYPE)
+    if state_col:
+        cond = cond & (F.col(state_col) == COUNTED_STATE)
+    billed = F.sum(bytes_col).cast("double")
     return (
-        df.filter(F.col(ts_col) >= since_c)
+        df.filter(cond)
         .groupBy(F.to_date(ts_col).alias("day"))
         .agg(
             F.count(F.lit(1)).alias("jobs"),
-            F.round(F.sum(bytes_col).cast("double") / tib * F.lit(price_per_tib), 4).alias("cost"),
+            F.round(billed / F.lit(1024.0 ** 4) * F.lit(price_per_tib), 4).alias("cost"),
+            F.round(billed / F.lit(1024.0 ** 3), 2).alias("gb_billed"),
         )
         .orderBy(F.desc("day"))
         .limit(top_n)
@@ -169,22 +181,28 @@ def daily_rollup(
 COMMON_SCHEMA = ("municipio_id", "ano_mes", "total_pedidos", "receita_total", "ticket_medio", "fonte")
 
 
-def common_business_schema(sources: Mapping[str, DataFrame], place: str = "municipio_id",
-                           month: str = "ano_mes", order_key: str = "order_key",
-                           revenue: str = "revenue") -> DataFrame:
+def common_business_schema(sources: Mapping[str, tuple[DataFrame, DataFrame]], place: str = "municipio_id",
+                           month: str = "ano_mes", order_key: str = "order_key", revenue: str = "revenue",
+                           party: str = "party") -> DataFrame:
     """Q3: plug-in business sources on one monthly schema.
 
-    Each source is an adapter output with (place, month, order key, revenue);
-    they are stacked with ``unionByName`` and reduced per place, month and
-    source: orders are distinct order keys, ticket = revenue / orders.
+    Each source is its adapter's rows (party, month, order key, revenue) and a
+    lookup party -> place.  A source is reduced per party, month and order
+    before it meets the lookup, so wide or hot parties are never shuffled
+    whole; a second level makes one row per order and place (an order may
+    have several parties), the third counts orders and sums revenue.
     """
     from functools import reduce
 
-    parts = [df.select(place, month, order_key, revenue).withColumn("fonte", F.lit(name))
-             for name, df in sources.items()]
+    parts = []
+    for name, (rows, places) in sources.items():
+        reduced = rows.groupBy(party, month, order_key).agg(F.sum(revenue).alias(revenue))
+        per_order = reduced.join(places.select(party, place), party).groupBy(place, month, order_key).agg(
+            F.sum(revenue).alias(revenue))
+        parts.append(per_order.withColumn("fonte", F.lit(name)))
     both = reduce(lambda a, b: a.unionByName(b), parts)
     agg = both.groupBy(place, month, "fonte").agg(
-        F.count_distinct(order_key).alias("total_pedidos"), F.sum(revenue).alias("receita_total"))
+        F.count(order_key).alias("total_pedidos"), F.sum(revenue).alias("receita_total"))
     ticket = agg["receita_total"].cast("double") / F.nullif(agg["total_pedidos"].cast("double"), F.lit(0.0))
     return agg.withColumn("ticket_medio", ticket).select(
         F.col(place).alias("municipio_id"), F.col(month).alias("ano_mes"), "total_pedidos", "receita_total",

@@ -1,9 +1,9 @@
 """Join building blocks.
 
-All joins are equi-joins.  A side is broadcast only after its row count
-was checked against a bound (``bounded_broadcast``); otherwise the join is
-left to Catalyst and AQE, which pick sort-merge or shuffled hash joins and
-split skewed partitions at run time.
+All joins are equi-joins and none is hinted: a side under ``spark.sql.autoBroadcastJoinThreshold`` by its measured
+size is broadcast by Spark, others are sort-merge joins.  AQE splits a skewed partition only where both sides come
+straight from a shuffle of their own; where a side comes out of an aggregation or a window, or a further join would
+have to be shuffled again for the split, ``salted_join`` divides the hot key instead.
 """
 
 from __future__ import annotations
@@ -15,26 +15,20 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.columns import normalize_state, slug
 
-# Default bound for an explicit broadcast: a dimension of this many rows
-# (a few tens of bytes each) stays far below executor memory.
-MAX_BROADCAST_ROWS = 2_000_000
+# Tasks that share the rows of one key in a salted join.
+SALTS = 8
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
+def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], spread: str, how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """Equality join in which ``big``'s rows of one key go to ``salts`` tasks, by the hash of ``spread``.
 
-    Reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
-    the check is cheap for the dimension tables it is meant for.
+    ``small`` is copied ``salts`` times, so it should be narrow or reduced.  ``how`` is inner or left.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
-
-    A larger side is returned unchanged and joined by shuffle.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    keys = [on] if isinstance(on, str) else list(on)
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -42,18 +36,14 @@ def lookup_join(
     dim: DataFrame,
     on: str | Sequence[str] | Column,
     how: str = "left",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Fact-to-dimension join (E1 / E3); left keeps every fact row.
 
-    By default the strategy is Spark's: a side whose estimated size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast at plan
-    time, and AQE converts a shuffle join to a broadcast one at run time
-    from the real size of the shuffled side.  Pass ``max_broadcast_rows``
-    to force a broadcast after an explicit row-count check.
+    The strategy is Spark's: a side whose estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` is broadcast at plan time, and
+    AQE converts a shuffle join to a broadcast one at run time from the real
+    size of the shuffled side.
     """
-    if max_broadcast_rows is not None:
-        dim = bounded_broadcast(dim, max_broadcast_rows)
     return fact.join(dim, on, how)
 
 
@@ -82,14 +72,11 @@ def computed_key_join(
     right_slug: str,
     right_state: str,
     how: str = "inner",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join on ``slug(city) = slug and upper(state) = state``.
 
     The keys are expressions; Spark still plans an equi-join on them.
     """
-    if max_broadcast_rows is not None:
-        right = bounded_broadcast(right, max_broadcast_rows)
     cond = (slug(F.col(left_city)) == right[right_slug]) & (
         normalize_state(F.col(left_state)) == right[right_state]
     )
@@ -131,9 +118,16 @@ def coverage(left_geocoded: DataFrame, matched_key: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose non-NULL key is absent from the parent."""
-    parent_key = parent_key or child_key
-    keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    return child.filter(F.col(child_key).isNotNull()).join(
-        keys, child[child_key] == keys["_pk"], "left_anti"
-    )
+    """Child rows whose non-NULL key is absent from the parent.
+
+    The parent is joined as it is (an anti join does not multiply rows), so
+    AQE sees both shuffles and can split a hot child key.
+    """
+    keys = parent.select(F.col(parent_key or child_key).alias("_pk"))
+    return child.filter(F.col(child_key).isNotNull()).join(keys, child[child_key] == keys["_pk"], "left_anti")
+
+
+def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
+    """Number of ``orphans`` as ``failures``: one row a key is joined, whatever the child's skew and width."""
+    counts = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
+    return orphans(counts, parent, child_key, parent_key).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))

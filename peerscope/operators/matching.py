@@ -8,10 +8,8 @@ Plan of one match
    (constant size, independent of the data volume);
 4. distances ``||L^T (x - t)||`` to the target vector ``t`` as plain column
    arithmetic with literals: no join, no Python per row, whole-stage codegen;
-5. the 10th percentile of the other candidates' distances (F15) - exact;
-   above ``LOCAL_PERCENTILE_LIMIT`` rows it is found by distributed
-   selection that narrows a value bracket until it fits (never one task
-   holding all values);
+5. the 10th percentile of the other candidates' distances (F15) - exact,
+   by counting value ranges that narrow down to the wanted ranks;
 6. top-k by (distance, id) with ``TakeOrderedAndProject`` (H1), ratio to
    the p10 and a label (N5, N6).
 """
@@ -48,9 +46,6 @@ P10 = 0.10
 # Fewer candidates than this give no match (the selection is too narrow).
 MIN_CANDIDATES = 10
 
-# Up to this many candidates the exact percentile is one aggregate.
-LOCAL_PERCENTILE_LIMIT = 2_000_000
-
 
 class SingularCovariance(ValueError):
     """The feature covariance cannot be inverted."""
@@ -68,18 +63,6 @@ class MahalanobisMetric:
     chol: np.ndarray  # lower triangular, inverse = chol @ chol.T
     n: int
 
-    def whitened(self, prefix: str = "_z") -> list[Column]:
-        """Columns ``z = L^T x``; Euclidean distance on z is Mahalanobis on x."""
-        k = len(self.features)
-        cols = []
-        for j in range(k):
-            terms = [F.col(self.features[i]).cast("double") * F.lit(float(self.chol[i, j])) for i in range(j, k)]
-            expr = terms[0]
-            for t in terms[1:]:
-                expr = expr + t
-            cols.append(expr.alias(f"{prefix}{j}"))
-        return cols
-
     def target_whitened(self, x: Sequence[float]) -> list[float]:
         return list(self.chol.T @ np.asarray(x, dtype=float))
 
@@ -97,17 +80,6 @@ class MahalanobisMetric:
             sq = d * d if sq is None else sq + d * d
         return F.sqrt(sq)
 
-    def quadratic_distance_to(self, x: Sequence[float]) -> Column:
-        """Same distance written as ``sqrt(sum_ij VI_ij dx_i dx_j)``."""
-        k = len(self.features)
-        dx = [F.col(f).cast("double") - F.lit(float(v)) for f, v in zip(self.features, x)]
-        acc = None
-        for i in range(k):
-            for j in range(k):
-                term = dx[i] * dx[j] * F.lit(float(self.inverse[i, j]))
-                acc = term if acc is None else acc + term
-        return F.sqrt(F.greatest(acc, F.lit(0.0)))
-
 
 def feature_matrix(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Complete cases plus the feature vector as an array column."""
@@ -151,66 +123,47 @@ def fit_metric(df: DataFrame, features: Sequence[str] = FEATURES, ridge: float =
 
 
 # ------------------------------------------------------------------ percentile
-def exact_percentile(df: DataFrame, col: str, p: float, local_limit: int = LOCAL_PERCENTILE_LIMIT,
-                     n: int | None = None) -> float | None:
-    """Linear-interpolated percentile of ``col`` (F15), exact, distributed.
+def exact_percentile(df: DataFrame, col: str, p: float) -> float | None:
+    """Linear-interpolated percentile of ``col`` (F15), exact, one distributed path for any size.
 
     Same definition as ``numpy.percentile``: position ``p * (n - 1)`` in the
-    sorted values, interpolated between its two neighbours.  ``n`` (the
-    number of non-NULL values) saves a counting job when the caller knows it.
+    sorted non-NULL values, interpolated between its two neighbours.
+
+    Each pass splits the value range that holds a wanted rank into
+    ``PERCENTILE_STEPS`` equal steps and counts, with map-side combine, the
+    rows of each step with its smallest and largest value.  A step of one
+    value is the answer; otherwise its two ends are the next, strictly
+    smaller range.  No task holds or sorts the values, and at most
+    ``PERCENTILE_STEPS`` counts reach the driver.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    if n is None:
-        n = vals.count()
-    if n == 0:
+    n, low, high = vals.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    if not n:
         return None
-    if n <= local_limit:
-        return vals.agg(F.percentile("v", p)).first()[0]
     pos = p * (n - 1)
-    r0 = int(math.floor(pos))
-    r1 = min(r0 + 1, n - 1)
-    v0 = kth_smallest(vals, "v", r0, n, local_limit)
-    v1 = v0 if r1 == r0 else kth_smallest(vals, "v", r1, n, local_limit)
-    return v0 + (v1 - v0) * (pos - r0)
+    below = int(math.floor(pos))
+    above = min(below + 1, n - 1)
+    found = {r: _at_rank(vals, r, n, low, high) for r in sorted({below, above})}
+    return found[below] + (found[above] - found[below]) * (pos - below)
 
 
-def kth_smallest(vals: DataFrame, col: str, r: int, n: int, budget: int) -> float:
-    """Value at 0-based rank ``r`` by bracket narrowing.
+PERCENTILE_STEPS = 4096
 
-    Each round asks an approximate quantile sketch for a value bracket
-    around the rank, counts rows below and inside it in one pass, and keeps
-    only the rows inside.  When at most ``budget`` rows remain they are
-    ranked inside Spark (one window over at most ``budget`` rows) and only
-    the value at the wanted rank is returned.  Only scalars reach the driver.
-    """
-    from pyspark.sql import Window
-
-    sub, offset, m = vals, 0, n
-    c = F.col(col)
-    for _ in range(64):
-        if m <= budget:
-            ranked = sub.withColumn("_rn", F.row_number().over(Window.orderBy(c)))
-            return float(ranked.filter(F.col("_rn") == F.lit(r - offset + 1)).first()[col])
-        half = max(budget / (4.0 * m), 1.0 / m)
-        q = (r - offset) / max(m - 1, 1)
-        pa, pb = max(0.0, q - half), min(1.0, q + half)
-        accuracy = int(min(max(8.0 / half, 10000), 2**31 - 1))
-        a, b = sub.agg(F.percentile_approx(c, [pa, pb], accuracy)).first()[0]
-        cnt = sub.agg(
-            F.count_if(c < F.lit(a)).alias("lt"),
-            F.count_if(c <= F.lit(b)).alias("le"),
-        ).first()
-        lt, le = int(cnt["lt"]), int(cnt["le"])
-        if not (offset + lt <= r < offset + le):
-            # the sketch missed (should not happen); widen to the full range
-            a_all, b_all = sub.agg(F.min(c), F.max(c)).first()
-            a, b, lt, le = a_all, b_all, 0, m
-        if le - lt == m and a == b:
-            return float(a)
-        sub = sub.filter((c >= F.lit(a)) & (c <= F.lit(b)))
-        offset += lt
-        m = le - lt
-    raise RuntimeError("percentile selection did not converge")
+
+def _at_rank(vals: DataFrame, rank: int, n: int, low: float, high: float) -> float:
+    """The value at a 0-based rank of ``v``, whose ``n`` values in [low, high] the rank counts from."""
+    v = F.col("v")
+    while low < high:
+        width = high / 2 - low / 2  # halves: the full range of doubles has no width
+        step = F.floor((v / 2 - F.lit(low / 2)) / F.lit(width) * F.lit(float(PERCENTILE_STEPS - 1))) if width else v
+        steps = vals.filter((v >= F.lit(low)) & (v <= F.lit(high))).groupBy(step.alias("step")).agg(
+            F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+        for s in sorted(steps, key=lambda s: s["low"]):
+            if rank < s["n"]:
+                low, high = s["low"], s["high"]
+                break
+            rank -= s["n"]
+    return float(low)
 
 
 # -------------------------------------------------------------------- matching
@@ -230,7 +183,6 @@ def match_one(
     k: int = DEFAULT_K,
     keep: Sequence[str] = (),
     metric: MahalanobisMetric | None = None,
-    local_limit: int = LOCAL_PERCENTILE_LIMIT,
     min_rows: int = MIN_CANDIDATES,
 ) -> MatchResult:
     """Top-k peers of one target.
@@ -250,10 +202,7 @@ def match_one(
     x = [float(trow[0][f]) for f in features]
     scored = cand.select(*cols).withColumn("distancia", metric.distance_to(x))
     others = scored.filter(F.col(id_col) != F.lit(target_id))
-    # every complete case except the target has a distance (ids are keys;
-    # if the id repeats, count instead of assuming)
-    known_n = metric.n - 1 if len(trow) == 1 else None
-    p10 = exact_percentile(others, "distancia", P10, local_limit, n=known_n)
+    p10 = exact_percentile(others, "distancia", P10)
     best = top_k(others, [F.asc("distancia"), F.asc(id_col)], k, rank_col="rank")
     ratio = F.try_divide(F.col("distancia"), F.lit(p10).cast("double"))
     matches = best.withColumn("ratio", ratio).withColumn("label", similarity_label(F.col("ratio")))

@@ -32,6 +32,7 @@ from pyspark.sql.types import DecimalType
 
 from peerscope.functions.columns import day_diff, is_present, on_time_flag, to_money
 from peerscope.operators.dedup import latest_per_key
+from peerscope.operators.joins import salted_join
 from peerscope.plans import intermediate as I
 from peerscope.plans.marts import KPI_COLUMNS, order_kpis
 
@@ -46,20 +47,9 @@ KPI_SINCE = "1996-01-01"
 PROFILE_YEAR = 1998
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One benchmark table; only the columns a query uses are read.
-
-    The handle (file listing + footer schema) is reused within a session:
-    the tables are read-only inputs.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _HANDLES:
-        _HANDLES[key] = spark.read.parquet(path)
-    return _HANDLES[key]
+    """One benchmark table; only the columns a query uses are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def to_double(df: DataFrame) -> DataFrame:
@@ -134,12 +124,11 @@ def fact_orders(t: dict[str, DataFrame]) -> DataFrame:
         _case("o_orderstatus", STATUS_BY_CODE).alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
     )
-    # Joins keyed by customer first, then the one keyed by order: at scale the
-    # fact is shuffled once by customer (the review side is already
-    # partitioned by it) and once by order (the line aggregate is already
-    # partitioned by it).  Catalyst keeps the written order without CBO stats.
-    j = (o.join(cust, "customer_id", "inner")
-         .join(rev, "customer_id", "left")
+    # Customer and review are both one row per customer and are joined first;
+    # the orders meet them once, salted by order, so a customer with a third
+    # of the orders is divided.  Then comes the one join keyed by order (the
+    # line aggregate is already partitioned by it).
+    j = (salted_join(o, cust.join(rev, "customer_id", "left"), "customer_id", "order_id")
          .join(lines_agg, "order_id", "left"))
     purchase = F.col("order_purchase_timestamp")
     estimated = purchase + F.expr(f"INTERVAL {ESTIMATE_DAYS} DAYS")

@@ -17,15 +17,13 @@ from peerscope.operators import quality as Q
 from peerscope.operators.aggregates import centroid, daily_rollup, long_to_wide, mode_by_group
 from peerscope.operators.dedup import dedup_by_hash, latest_per_key, latest_snapshot
 from peerscope.operators.filters import facet_filter, facet_options
-from peerscope.operators.joins import computed_key_join, fits_broadcast, geocode, orphans
+from peerscope.operators.joins import computed_key_join, geocode, orphans
 from peerscope.plans import intermediate as I
 from peerscope.plans.benchmark_tables import (
     items, payments, place_dim, products, read, tables, to_double,
 )
 
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
-# Row bound under which a dimension lookup is broadcast before aggregating.
-LOOKUP_BROADCAST_ROWS = 2_000_000
 
 
 # ------------------------------------------------------------ per-order children
@@ -148,12 +146,10 @@ def long_to_wide_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pix_raw(t) -> DataFrame:
     """Monthly payment rows per place, shaped like the payments source.
 
-    The supplier -> place lookup is broadcast when its row count is checked
-    small; the lines then meet it map-side and are aggregated once per
-    (place, month).  Beyond that bound the lines are first reduced per
-    (supplier, month) - map-side partial aggregation, no join yet - and only
-    those partial totals meet ``supplier``, so the line table is never
-    shuffled by supplier.  All measures are additive: both ways are exact.
+    The lines are first reduced per (supplier, month) - map-side partial
+    aggregation, no join yet - and only those totals meet ``supplier``, so the
+    line table is never shuffled by supplier and a hot supplier is a few rows.
+    All measures are additive, so the second level is exact.
     """
     li = t["lineitem"].select("l_suppkey", "l_shipdate", "l_linestatus", "l_returnflag", "l_quantity",
                               to_money("l_extendedprice").alias("v"))
@@ -164,22 +160,13 @@ def pix_raw(t) -> DataFrame:
     classes = {"pagador_pf": pay & pf, "pagador_pj": pay & pj, "recebedor_pf": rec & pf, "recebedor_pj": rec & pj}
     s = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
 
-    def measures(v, qt, pes):
-        return ([F.sum(F.when(c, F.col(v))).alias(f"vl_{k}") for k, c in classes.items()]
-                + [qt(c).alias(f"qt_{k}") for k, c in classes.items()]
-                + [pes(c, k).alias(f"pes_{k}") for k, c in classes.items()])
-
     month = yyyymm_of("l_shipdate").alias("ano_mes")
-    if fits_broadcast(s, LOOKUP_BROADCAST_ROWS):
-        monthly = li.join(F.broadcast(s), "l_suppkey", "inner").groupBy("s_nationkey", month).agg(
-            *measures("v", F.count_if, lambda c, k: F.sum(F.when(c, F.col("l_quantity")))))
-    else:
-        per_supplier = li.groupBy("l_suppkey", month).agg(
-            *measures("v", F.count_if, lambda c, k: F.sum(F.when(c, F.col("l_quantity")))))
-        monthly = per_supplier.join(s, "l_suppkey", "inner").groupBy("s_nationkey", "ano_mes").agg(
-            *[F.sum(f"vl_{k}").alias(f"vl_{k}") for k in classes],
-            *[F.sum(f"qt_{k}").alias(f"qt_{k}") for k in classes],
-            *[F.sum(f"pes_{k}").alias(f"pes_{k}") for k in classes])
+    per_supplier = li.groupBy("l_suppkey", month).agg(
+        *[F.sum(F.when(c, F.col("v"))).alias(f"vl_{k}") for k, c in classes.items()],
+        *[F.count_if(c).alias(f"qt_{k}") for k, c in classes.items()],
+        *[F.sum(F.when(c, F.col("l_quantity"))).alias(f"pes_{k}") for k, c in classes.items()])
+    monthly = per_supplier.join(s, "l_suppkey", "inner").groupBy("s_nationkey", "ano_mes").agg(
+        *[F.sum(f"{m}_{k}").alias(f"{m}_{k}") for m in ("vl", "qt", "pes") for k in classes])
     monthly = monthly.select("*", *[F.col(f"pes_{k}").cast("bigint").alias(f"qt_pes_{k}") for k in classes])
     dims = place_dim(t).select(
         F.col("place_id").alias("s_nationkey"), F.col("place_name").alias("municipio"),
@@ -314,9 +301,11 @@ USAGE_SINCE = "2024-01-10"
 
 
 def usage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Billed-bytes cost per day, newest 15 days."""
+    """Jobs, billed GB and cost per day of finished queries, newest 15 days."""
     ev = read(spark, sf_dir, "events").select(
-        "ts", (to_money("value").cast("double") * F.lit(float(2 ** 30))).alias("billed_bytes"))
+        "ts", (to_money("value") * F.lit(2 ** 30)).alias("billed_bytes"),
+        F.when(F.col("event_type") == "signup", F.lit("LOAD")).otherwise(F.lit("QUERY")).alias("job_type"),
+        F.when(F.col("event_type") == "error", F.lit("RUNNING")).otherwise(F.lit("DONE")).alias("state"))
     return daily_rollup(ev, "ts", "billed_bytes", USAGE_SINCE)
 
 
@@ -405,15 +394,15 @@ def common_schema(spark, sf_dir):
     from peerscope.operators.aggregates import common_business_schema
 
     t = tables(spark, sf_dir)
-    a = t["orders"].join(t["customer"].select("c_custkey", "c_nationkey"),
-                         F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_nationkey").alias("municipio_id"), yyyymm_of("o_orderdate").alias("ano_mes"),
+    orders = t["orders"].select(
+        F.col("o_custkey").alias("party"), yyyymm_of("o_orderdate").alias("ano_mes"),
         F.col("o_orderkey").alias("order_key"), to_money("o_totalprice").alias("revenue"))
-    b = t["lineitem"].join(t["supplier"].select("s_suppkey", "s_nationkey"),
-                           F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").alias("municipio_id"), yyyymm_of("l_shipdate").alias("ano_mes"),
+    lines = t["lineitem"].select(
+        F.col("l_suppkey").alias("party"), yyyymm_of("l_shipdate").alias("ano_mes"),
         F.col("l_orderkey").alias("order_key"), to_money("l_extendedprice").alias("revenue"))
-    return to_double(common_business_schema({"orders": a, "lineitem": b}))
+    customers = t["customer"].select(F.col("c_custkey").alias("party"), F.col("c_nationkey").alias("municipio_id"))
+    suppliers = t["supplier"].select(F.col("s_suppkey").alias("party"), F.col("s_nationkey").alias("municipio_id"))
+    return to_double(common_business_schema({"orders": (orders, customers), "lineitem": (lines, suppliers)}))
 
 
 # ------------------------------------------------------------ staging models

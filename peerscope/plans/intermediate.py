@@ -87,7 +87,6 @@ def int_olist_order_payments_agg(payments: DataFrame, types: Sequence[str] = PAY
 
 def int_olist_order_items_agg(
     items: DataFrame, products: DataFrame, extra: Sequence[Column] = (),
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Items per order with the dominant product category.
 
@@ -98,7 +97,7 @@ def int_olist_order_items_agg(
     consumer that reads none of a branch's columns lets Catalyst drop it.
     """
     p = products.select("product_id", "product_category_name")
-    enriched = lookup_join(items, p, "product_id", "left", max_broadcast_rows)
+    enriched = lookup_join(items, p, "product_id", "left")
     base = items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items_count"),
         F.sum("price").alias("total_price"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from peerscope.operators.aggregates import covariance_terms
 from peerscope.operators.filters import complete_cases
-from peerscope.operators.matching import FEATURES, comparison_long, fit_metric, match_one
+from peerscope.operators.matching import FEATURES, comparison_long, match_one
 from peerscope.plans.benchmark_tables import place_profile_frame, tables, to_double
 from peerscope.session import checkpoint_dir
 
@@ -78,9 +78,3 @@ def match_comparison_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target and matches, one row per place and feature."""
     res, _ = _match(spark, sf_dir, FEATURES)
     return comparison_long(res, "id_municipio", FEATURES, keep=KEEP)
-
-
-def fitted_metric(spark: SparkSession, sf_dir: str):
-    """The fitted metric (for tests and callers that match many targets)."""
-    cand = candidates(spark, sf_dir)
-    return fit_metric(cand, FEATURES), cand

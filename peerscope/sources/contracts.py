@@ -26,6 +26,11 @@ class TableContract:
     min_rows: int = 0                            # ingest volume warning (M8)
     multiline: bool = False                      # CSV with quoted newlines
     renames: dict = field(default_factory=dict)  # staging renames (C1)
+    source: str | None = None                    # folder in the raw layer; the name if None
+
+    @property
+    def raw_name(self) -> str:
+        return self.source or self.name
 
     @property
     def schema(self) -> StructType:
@@ -62,7 +67,8 @@ class TableContract:
 
 
 def _c(name, fields, file_name=None, min_rows=0, multiline=False, renames=None):
-    return TableContract(name, tuple(fields), file_name, min_rows, multiline, renames or {})
+    source = f"olist_{name}" if file_name else None
+    return TableContract(name, tuple(fields), file_name, min_rows, multiline, renames or {}, source)
 
 
 # ----------------------------------------------------------------------------
@@ -115,7 +121,7 @@ OLIST = {
 
 PIX = _c("bcb_pix", [
     ("AnoMes", L, True), ("Municipio_Ibge", D, True), ("Municipio", S, True), ("Estado_Ibge", D, True),
-    ("Estado", S, True), ("Sigla_Regiao", S, False), ("Regiao", S, True),
+    ("Estado", S, True), ("Sigla_Regiao", S, True), ("Regiao", S, True),
     ("VL_PagadorPF", D, True), ("QT_PagadorPF", L, True), ("VL_PagadorPJ", D, True), ("QT_PagadorPJ", L, True),
     ("VL_RecebedorPF", D, True), ("QT_RecebedorPF", L, True), ("VL_RecebedorPJ", D, True),
     ("QT_RecebedorPJ", L, True), ("QT_PES_PagadorPF", L, True), ("QT_PES_PagadorPJ", L, True),

@@ -1,16 +1,15 @@
 """Batch ingest: landed files -> validated, dated raw partitions.
 
 Every landed business file is read with its contract, validated over all rows
-(or the first ``sample_rows`` for parity with sample validation), checked for
-volume, and only then - when every table passed - written as the
-``ingestion_date`` partition of its raw folder.  API dumps (municipalities,
-census tables, payments panel) follow the same path with their readers.
+(the first ``sample_rows`` before the rest, if given), checked for volume, and
+only then - when every table passed - written as the ``ingestion_date``
+partition of its raw folder.  API dumps (municipalities, census tables,
+payments panel) follow the same path with their readers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +17,10 @@ from pyspark.sql import functions as F
 
 from peerscope.sources import readers as R
 from peerscope.sources.contracts import CENSUS_TABLES, MUNICIPIO, OLIST, PIX, TableContract
+from peerscope.sources.readers import InvalidSource
 from peerscope.sources.sinks import write_raw_partition
 
-
-class InvalidSource(ValueError):
-    """A landed table breaks its contract; nothing of the run is written."""
+__all__ = ["InvalidSource", "TableReport", "ingest_landing"]
 
 
 @dataclass
@@ -31,17 +29,28 @@ class TableReport:
     rows: int
     invalid: int
     low_volume: bool
+    discarded: int = 0  # rows left out by rule (M11)
 
 
 def _check(df: DataFrame, name: str, minimum: int, sample_rows: int | None) -> TableReport:
-    """One pass: total rows and invalid rows (in the sample, or overall)."""
+    """One pass: total rows and invalid rows.
+
+    ``sample_rows``: the head is looked at first, so that a file of the wrong
+    kind fails early; the other rows are validated all the same, because a
+    value that does not fit its type cannot be written.
+    """
     if sample_rows:
         invalid = df.limit(sample_rows).filter(~F.col("_valid")).count()
-        total = df.count()
-    else:
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_valid")).alias("bad")).first()
-        total, invalid = int(r["n"]), int(r["bad"])
-    return TableReport(name, total, invalid, total < minimum)
+        if invalid:
+            return TableReport(name, sample_rows, invalid, False)
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_valid")).alias("bad")).first()
+    return TableReport(name, int(r["n"]), int(r["bad"]), int(r["n"]) < minimum)
+
+
+def landed_files(spark: SparkSession, landing: str) -> dict[str, str]:
+    """File name -> path of the files in a landing folder, listed by Spark (local folder, HDFS or object store)."""
+    paths = [r.path for r in spark.read.format("binaryFile").load(landing).select("path").collect()]
+    return {p.rsplit("/", 1)[-1]: p for p in paths}
 
 
 def ingest_landing(
@@ -57,29 +66,30 @@ def ingest_landing(
     ``censo_<table>.json`` and ``pix.json``.  Unknown files are ignored (K2).
     """
     date = ingestion_date or dt.datetime.now(tz=dt.timezone.utc).date()
-    names = set(os.listdir(landing))
+    names = landed_files(spark, landing)
     staged: list[tuple[str, DataFrame, TableContract | None]] = []
     reports: list[TableReport] = []
 
-    for key, contract in OLIST.items():
+    for contract in OLIST.values():
         if contract.file_name in names:
-            df = R.read_csv_table(spark, os.path.join(landing, contract.file_name), contract)
-            reports.append(_check(df, f"olist_{key}", contract.min_rows, sample_rows))
-            staged.append((f"olist_{key}", df, contract))
+            df = R.read_csv_table(spark, names[contract.file_name], contract)
+            reports.append(_check(df, contract.raw_name, contract.min_rows, sample_rows))
+            staged.append((contract.raw_name, df, contract))
     if "municipios.json" in names:
-        df = R.read_municipios_json(spark, os.path.join(landing, "municipios.json"))
+        df = R.read_municipios_json(spark, names["municipios.json"])
         reports.append(_check(df, "ibge_localidades", MUNICIPIO.min_rows, sample_rows))
         staged.append(("ibge_localidades", df, None))
     for table, minimum in CENSUS_TABLES.items():
         fname = f"censo_{table}.json"
         if fname in names:
-            df = R.read_sidra_json(spark, os.path.join(landing, fname)).withColumn("_valid", F.lit(True))
+            df = R.read_sidra_json(spark, names[fname])
             reports.append(_check(df, f"ibge_censo_{table}", minimum, sample_rows))
             staged.append((f"ibge_censo_{table}", df, None))
     if "pix.json" in names:
-        df, _ = R.read_pix_json(spark, os.path.join(landing, "pix.json"))
-        df = df.withColumn("_valid", F.lit(True))
-        reports.append(_check(df, "bcb_pix", PIX.min_rows, sample_rows))
+        df, discarded = R.read_pix_json(spark, names["pix.json"])
+        report = _check(df, "bcb_pix", PIX.min_rows, sample_rows)
+        report.discarded = int(discarded.first()["descartados"])
+        reports.append(report)
         staged.append(("bcb_pix", df, None))
 
     bad = [r for r in reports if r.invalid]

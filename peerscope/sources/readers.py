@@ -8,23 +8,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from peerscope.functions.columns import sentinel_to_null
 from peerscope.sources.contracts import MUNICIPIO, PIX, SIDRA, TableContract
 
 
+class InvalidSource(ValueError):
+    """A landed file breaks its contract; nothing of the run is written."""
+
+
 def read_csv_table(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """A1: a business CSV as text columns plus ``_valid`` and ``_source_file``.
 
-    ``multiLine`` (needed where quoted fields hold newlines, e.g. review
-    comments) makes a file unsplittable, so it is enabled per contract.
+    Columns are bound by the names in the header, whatever their order; a
+    missing one is an error, further ones are left out.  ``multiLine`` (needed
+    where quoted fields hold newlines, e.g. review comments) makes a file
+    unsplittable, so it is enabled per contract.
     """
-    df = (spark.read.schema(contract.text_schema)
-          .option("header", True).option("escape", '"').option("quote", '"')
-          .option("multiLine", contract.multiline).option("mode", "PERMISSIVE")
+    df = (spark.read.option("header", True).option("escape", '"').option("quote", '"')
+          .option("multiLine", contract.multiline).option("mode", "PERMISSIVE").option("inferSchema", False)
           .csv(path))
-    return df.withColumn("_valid", contract.validity()).withColumn("_source_file", F.col("_metadata.file_path"))
+    names = contract.text_schema.fieldNames()
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise InvalidSource(f"{path}: no column {', '.join(missing)} in the header")
+    df = df.select(*names, F.col("_metadata.file_path").alias("_source_file"))
+    return df.withColumn("_valid", contract.validity()).select(*names, "_valid", "_source_file")
 
 
 def typed_valid_rows(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -84,14 +94,27 @@ def flatten_municipios(nested: DataFrame) -> DataFrame:
     return flat.withColumn("_valid", valid)
 
 
+BAD = "_bad_document"
+
+
+def _documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Records of a JSON dump; a document that does not parse is an error, not an absence of rows."""
+    full = StructType([*schema.fields, StructField(BAD, StringType())])
+    df = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", BAD).json(path))
+    broken = df.filter(F.col(BAD).isNotNull()).limit(1).collect()
+    if broken:
+        raise InvalidSource(f"{path}: not a whole JSON document of the declared shape, from: {broken[0][BAD][:80]!r}")
+    return df.drop(BAD)
+
+
 def read_municipios_json(spark: SparkSession, path: str) -> DataFrame:
     """A2: the municipality API dump (a JSON array of nested records)."""
-    nested = spark.read.schema(MUNICIPIO_JSON).option("multiLine", True).json(path)
-    return flatten_municipios(nested)
+    return flatten_municipios(_documents(spark, path, MUNICIPIO_JSON))
 
 
 def parse_sidra(raw: DataFrame) -> DataFrame:
-    """A3: drop the header record, map sentinels to NULL, keep D5/D6 optional.
+    """A3: drop the header record, map sentinels to NULL, keep D5/D6 optional, check the rest (``_valid``).
 
     The header is recognised by value (its ``V`` is the literal column title
     and its municipality code is not numeric), not by position, because a
@@ -103,32 +126,34 @@ def parse_sidra(raw: DataFrame) -> DataFrame:
     for name in SIDRA.schema.fieldNames():
         c = F.col(name) if name in raw.columns else F.lit(None).cast("string")
         cols.append((sentinel_to_null(c) if name == "V" else c).alias(name))
-    return body.select(*cols)
+    return body.select(*cols).withColumn("_valid", SIDRA.validity())
 
 
 def read_sidra_json(spark: SparkSession, path: str) -> DataFrame:
     """A3: a census table dump (JSON array, first element is the header)."""
-    raw = spark.read.schema(SIDRA.text_schema).option("multiLine", True).json(path)
-    return parse_sidra(raw)
+    return parse_sidra(_documents(spark, path, SIDRA.text_schema))
 
 
-PIX_JSON = StructType([StructField("value", ArrayType(StructType([
-    StructField(n, DoubleType() if n in ("Municipio_Ibge", "Estado_Ibge") else t, True)
-    for n, t, _ in PIX.fields
-])))])
+PIX_JSON = StructType([StructField("value", ArrayType(StructType(PIX.text_schema.fields)))])
 
 
 def read_pix_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A4: OData payload -> rows; rows without municipality or state code drop.
 
-    Returns ``(rows, discarded_count_frame)``; codes delivered as floats
-    (``4311759.0``) become integers.
+    Returns ``(rows, discarded_count_frame)``.  Values are read as text and
+    held against the contract (``_valid``) before they are typed, so a value
+    that does not fit is an invalid row and not a NULL.  Codes delivered as
+    floats (``4311759.0``) become integers.
     """
-    doc = spark.read.schema(PIX_JSON).option("multiLine", True).json(path)
+    doc = _documents(spark, path, PIX_JSON)
+    if not doc.filter(F.col("value").isNotNull()).limit(1).count():
+        raise InvalidSource(f"{path}: no array of records under 'value'")
     rows = doc.select(F.explode("value").alias("r")).select("r.*")
     keep = F.col("Municipio_Ibge").isNotNull() & F.col("Estado_Ibge").isNotNull()
-    kept = rows.filter(keep).withColumn("Municipio_Ibge", F.col("Municipio_Ibge").cast("long")).withColumn(
-        "Estado_Ibge", F.col("Estado_Ibge").cast("long"))
+    codes = ("Municipio_Ibge", "Estado_Ibge")
+    kept = rows.filter(keep).withColumn("_valid", PIX.validity()).select(
+        *[F.col(n).try_cast(t).try_cast("long").alias(n) if n in codes else F.col(n).try_cast(t).alias(n)
+          for n, t, _ in PIX.fields], "_valid")
     discarded = rows.agg(F.count_if(~keep).alias("descartados"))
     return kept, discarded
 

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.operators.quality import QualitySuite
 
 
+class EmptySnapshot(ValueError):
+    """A snapshot of no rows was to be landed."""
+
+
 def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: dt.date | str | None = None,
                         mode: str = "overwrite", batch_id: int | str | None = None) -> str:
     """B1: land a snapshot as ``{root}/{source}/ingestion_date=YYYY-MM-DD``.
@@ -20,6 +26,9 @@ def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: d
     and earlier snapshots stay.  With ``batch_id`` (stream micro-batches)
     each batch is its own sub-partition ``batch_id=...``: a replayed batch
     replaces exactly its own files, so the write is idempotent.
+
+    A snapshot without rows is an error: dynamic overwrite would leave the
+    day's older partition in place.  (A batch may have no valid rows.)
     """
     d = F.lit(str(ingestion_date)).cast("date") if ingestion_date is not None else F.current_date()
     path = f"{root.rstrip('/')}/{source}"
@@ -29,9 +38,12 @@ def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: d
         out = out.withColumn("batch_id", F.lit(str(batch_id)))
         parts.append("batch_id")
         mode = "overwrite"
-    (out.write.mode(mode)
+    rows = Observation(f"raw_{source}_{uuid.uuid4().hex}")
+    (out.observe(rows, F.count(F.lit(1)).alias("n")).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
      .partitionBy(*parts).parquet(path))
+    if batch_id is None and not rows.get["n"]:
+        raise EmptySnapshot(f"{source}: no rows to land; earlier partitions are unchanged")
     return path
 
 
@@ -40,14 +52,18 @@ def qualified_name(layer: str, model: str) -> str:
     return f"{layer}.{model}"
 
 
-def materialize(spark: SparkSession, df: DataFrame, layer: str, model: str, path: str | None = None) -> str:
+def materialize(spark: SparkSession, df: DataFrame, layer: str, model: str, path: str | None = None,
+                descriptions: Mapping[str, str] | None = None) -> str:
     """B2: full-refresh table of a layer (``saveAsTable`` overwrite).
 
     With ``path`` the table is external at that location (shared storage).
+    ``descriptions`` become the comments of the columns they name (Q4).
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     name = qualified_name(layer, model)
-    w = df.write.mode("overwrite").format("parquet")
+    texts = descriptions or {}
+    described = df.select(*[F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in df.columns])
+    w = described.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -66,19 +82,20 @@ def write_all_or_nothing(frames: Mapping[str, DataFrame], suites: Mapping[str, Q
 
 
 def append_new_rows(new: DataFrame, table_path: str, spark: SparkSession, hash_col: str = "row_hash") -> int:
-    """Q1: append only rows whose fingerprint is not stored yet.
+    """Q1: append only rows whose fingerprint is not stored yet, each fingerprint once.
 
     The stored side contributes just its hash column to a left-anti join;
     the number of appended rows is observed during the write (no extra pass).
+    Only a missing path counts as the first load; any other error is raised.
     """
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import Observation
-
+    fresh = new.dropDuplicates([hash_col])
     try:
-        existing = spark.read.parquet(table_path).select(hash_col)
-        fresh = new.join(existing, hash_col, "left_anti")
-    except AnalysisException:  # first load: nothing stored yet
-        fresh = new
-    obs = Observation("append_new_rows")
+        stored = spark.read.parquet(table_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        fresh = fresh.join(stored.select(hash_col), hash_col, "left_anti")
+    obs = Observation(f"append_{uuid.uuid4().hex}")
     fresh.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(table_path)
     return int(obs.get["rows"])

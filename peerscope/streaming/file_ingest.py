@@ -66,7 +66,14 @@ def start_ingest_stream(
     (``availableNow``); a value such as ``"1 minute"`` keeps the stream
     running and picks up each new file as it lands - the streaming
     counterpart of an upload event.
+
+    Rows land in the folder that the layered build reads (``raw_name``).
+    Rejected rows always go to a quarantine, by default beside the raw layer.
+    A file whose header does not name the contract's columns in their order
+    fails the stream.  Without ``ingestion_date`` a batch is dated by its
+    newest file, so a replay on a later day replaces its own partition.
     """
+    quarantine = (quarantine_root or f"{raw_root.rstrip('/')}_quarantine").rstrip("/")
     stats = {"batches": 0, "rows_in": 0, "written": 0, "rejected": 0}
     pattern = glob or contract.file_name or "*.csv"
     # Batch ids restart with a new checkpoint; the checkpoint's identity keeps
@@ -76,6 +83,8 @@ def start_ingest_stream(
     stream_key = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:8]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         batch = batch.persist()  # written to two sinks: read the files once
         good, rejected = _split(batch, contract, whole_file)
         good_typed = contract.typed(good)  # drops _valid / _file
@@ -84,16 +93,15 @@ def start_ingest_stream(
         obs = Observation(f"ingest_{contract.name}_{stream_key}_{batch_id}")
         # idempotent: a replayed micro-batch overwrites its own batch partition
         key = f"{stream_key}-{batch_id:08d}"
-        write_raw_partition(good_typed.observe(obs, F.count(F.lit(1)).alias("n")), raw_root, contract.name,
-                            ingestion_date, batch_id=key)
-        n_bad = 0
-        if quarantine_root:
-            qobs = Observation(f"quarantine_{contract.name}_{stream_key}_{batch_id}")
-            (rejected.drop("_valid").withColumn("batch_id", F.lit(key))
-             .observe(qobs, F.count(F.lit(1)).alias("n"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-             .parquet(f"{quarantine_root.rstrip('/')}/{contract.name}"))
-            n_bad = int(qobs.get["n"])
+        date = ingestion_date or batch.agg(F.to_date(F.max("_modified"))).first()[0]
+        write_raw_partition(good_typed.observe(obs, F.count(F.lit(1)).alias("n")), raw_root, contract.raw_name,
+                            date, batch_id=key)
+        qobs = Observation(f"quarantine_{contract.name}_{stream_key}_{batch_id}")
+        (rejected.drop("_valid", "_modified").withColumn("batch_id", F.lit(key))
+         .observe(qobs, F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+         .parquet(f"{quarantine}/{contract.name}"))
+        n_bad = int(qobs.get["n"])
         n_good = int(obs.get["n"])
         stats["batches"] += 1
         stats["written"] += n_good
@@ -103,9 +111,10 @@ def start_ingest_stream(
 
     stream = (spark.readStream.schema(contract.text_schema)
               .option("header", True).option("escape", '"').option("multiLine", contract.multiline)
-              .option("pathGlobFilter", pattern)
+              .option("enforceSchema", False).option("pathGlobFilter", pattern)
               .csv(landing)
-              .select("*", F.col("_metadata.file_path").alias("_file")))
+              .select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_modification_time").alias("_modified")))
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if processing_time is None else w.trigger(processingTime=processing_time)
     return w.start(), stats
@@ -131,10 +140,17 @@ def ingest_stream(
 
 
 def unrecognised_files(spark: SparkSession, landing: str, known: list[str]) -> DataFrame:
-    """K2: landed files whose name matches no contract (content is not read)."""
+    """K2: landed files whose name matches no table (content is not read).
+
+    ``known`` are file names; like the dispatch, each covers its re-uploads under a further suffix.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
     name = F.element_at(F.split("path", "/"), -1)
-    return files.filter(~name.isin(known)).select("path", name.alias("file_name"))
+    stems = [k.rpartition(".") for k in known]
+    fits = F.lit(False)
+    for stem, dot, ext in stems:
+        fits = fits | (name.startswith(stem or ext) & name.endswith(dot + ext if stem else ""))
+    return files.filter(~fits).select("path", name.alias("file_name"))
 
 
 def stem_glob(file_name: str) -> str:

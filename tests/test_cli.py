@@ -58,8 +58,12 @@ def test_match_and_usage_commands(spark, tmp_dir, capsys, monkeypatch):
     assert cli.main(["match", "--warehouse", wh, "--place", str(target), "--compare"]) == 0
     out = capsys.readouterr().out
     assert "rank" in out and "label" in out and "ticket_medio" in out
+    everyone = prof.count() - 1
+    assert cli.main(["match", "--warehouse", wh, "--place", str(target), "--k", "30"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 1 + min(30, everyone)  # no row is cut from the report
     jobs = os.path.join(tmp_dir, "jobs")
     spark.read.parquet(f"{sf}/events.parquet").select(
-        "ts", (F.col("value") * 2 ** 30).alias("bytes")).write.parquet(jobs)
+        "ts", (F.col("value") * 2 ** 30).alias("bytes"), F.lit("QUERY").alias("job_type"), F.lit("DONE").alias("state")
+    ).write.parquet(jobs)
     assert cli.main(["usage", "--jobs", jobs, "--since", "2024-01-20"]) == 0
     assert "jobs" in capsys.readouterr().out

@@ -100,7 +100,12 @@ def test_joins_and_orphans(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     dim = spark.createDataFrame([(1, "x")], "k int, name string")
     assert J.lookup_join(fact, dim, "k").count() == 3  # left keeps every fact row
-    assert J.lookup_join(fact, dim, "k", max_broadcast_rows=10).count() == 3
+    many = spark.createDataFrame([(1, "x"), (1, "y")], "k int, name string")
+    assert [r.k for r in J.orphans(fact, many, "k").collect()] == [2]  # a repeated parent changes nothing
+    assert J.orphan_count(fact.union(fact), dim, "k").first().failures == 2
+    assert J.orphan_count(fact.filter("k = 1"), dim, "k").first().failures == 0
+    assert sorted((r.k, r.name) for r in J.salted_join(fact.filter("k = 1").union(fact), dim, "k", "v").collect()) == [(1, "x")] * 2
+    assert J.salted_join(fact, dim, "k", "v", how="left").count() == 3
     assert [r.k for r in J.orphans(fact, dim, "k").collect()] == [2]  # NULL child key passes
 
 
@@ -136,3 +141,30 @@ def test_modes_keep_all_null_keys(spark):
     df = spark.createDataFrame([(1, "a", "x"), (1, "a", None), (2, None, None)], "k int, a string, b string")
     got = {r.k: (r.a, r.b) for r in A.modes_by_group(df, ["k"], {"a": "a", "b": "b"}).collect()}
     assert got == {1: ("a", "x"), 2: (None, None)}
+
+
+def test_usage_rollup_counts_finished_queries(spark):
+    rows = [("2024-01-01 10:00:00", 2 ** 40, "QUERY", "DONE"), ("2024-01-01 11:00:00", 2 ** 30, "QUERY", "DONE"),
+            ("2024-01-01 12:00:00", 2 ** 40, "LOAD", "DONE"), ("2024-01-01 13:00:00", 2 ** 40, "QUERY", "RUNNING"),
+            ("2023-12-31 13:00:00", 2 ** 40, "QUERY", "DONE")]
+    df = spark.createDataFrame(rows, "t string, bytes long, job_type string, state string").withColumn("ts", F.col("t").cast("timestamp"))
+    got = A.daily_rollup(df, "ts", "bytes", "2024-01-01 00:00:00").collect()
+    assert [(r.jobs, r.cost, r.gb_billed) for r in got] == [(2, 6.2561, 1025.0)]
+
+
+def test_two_level_indicators_equal_one_level(spark):
+    """Customers are counted once per group, a NULL customer not at all, and the sums are those of one aggregation."""
+    from peerscope.plans.marts import order_kpis
+
+    cols = ("g string, customer_unique_id string, order_status string, total_revenue double, total_freight_value double, "
+            "credit_card_value double, credit_card_installments int, boleto_value double, total_payment_value double, "
+            "is_on_time boolean, review_score int, delivery_days int, approval_days int")
+    rows = [("a", "c1", "delivered", 10.0, 1.0, 11.0, 2, None, 11.0, True, 5, 3, 1), ("a", "c1", "delivered", 20.0, None, None, None, 20.0, 20.0, False, None, 5, None),
+            ("a", "c2", "canceled", 7.0, 1.0, None, None, None, None, None, 1, None, 1), ("a", None, "shipped", None, None, None, None, None, None, None, 4, None, 2),
+            ("b", None, "created", None, None, None, None, None, None, None, None, None, None)]
+    got = {r.g: r for r in order_kpis(spark.createDataFrame(rows, cols), ["g"]).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.total_pedidos, a.pedidos_entregues, a.pedidos_cancelados, a.pedidos_em_andamento, a.clientes_unicos) == (4, 2, 1, 1, 2)
+    assert (a.receita_total, a.ticket_medio, a.frete_medio, a.avg_dias_entrega, a.avg_review_score) == (30.0, 15.0, 1.0, 4.0, 10 / 3)
+    assert (a.share_frete, a.avg_parcelas_cartao, a.taxa_entrega_no_prazo, a.pct_pedidos_com_review) == (1 / 30, 2.0, 0.5, 1.5)
+    assert (b.total_pedidos, b.clientes_unicos, b.ticket_medio, b.taxa_entrega_no_prazo) == (1, 0, None, None)

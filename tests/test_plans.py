@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from peerscope.plans import catalog
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="benchmark tables not present")
@@ -44,7 +45,7 @@ def test_matching_has_no_join(spark):
 
 
 def test_no_cartesian_anywhere(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         if name == "file_stream_ingest":
             continue
         p = plan(fn(spark, SF), "simple")
@@ -61,9 +62,33 @@ def test_order_fact_shuffles_at_scale(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     single = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, \d+\)", p)
-    # customer key: orders, customers, the review window (the join reuses them);
-    # order key: the fact once, plus the final step of each of the three line
-    # aggregates (the joins reuse that partitioning, no extra exchange)
-    assert single.count("customer_id") == 3
+    # customer key: customers and the review window (their join reuses it); then one exchange of each side of the
+    # salted join; order key: the fact once, plus the final step of each of the three line aggregates (the joins
+    # reuse that partitioning, no extra exchange)
+    assert single.count("customer_id") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, _salt#\d+", p)) == 2
     assert single.count("order_id") == 4
-    assert len(re.findall(r"Exchange hashpartitioning", p)) == 11
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 12
+
+
+def test_indicators_read_orders_and_customers_once(spark):
+    p = plan(E.queries()["kpi_by_place_year"](spark, SF))
+    for table in ("orders", "customer"):
+        assert len(re.findall(rf"Location: InMemoryFileIndex \[file:[^]]*/{table}\.parquet", p)) == 1, table
+
+
+def test_quality_suite_scans(spark):
+    p = plan(E.queries()["dq_suite"](spark, SF))
+    assert len(re.findall(r"Location: InMemoryFileIndex \[file:[^]]*/lineitem\.parquet", p)) <= 5
+
+
+def test_no_job_runs_while_a_panel_is_built(spark):
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        spark.read.parquet(f"{SF}/nation.parquet").schema  # reading a footer is a job of its own
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+        catalog.queries()["monthly_panel"](spark, SF)
+        tables = 4  # one footer job a table at most
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) - before <= tables
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

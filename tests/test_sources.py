@@ -34,10 +34,10 @@ def test_contract_dispatch():
 
 
 def test_municipios_json(spark, tmp_dir):
-    full = {"id": 1100015, "nome": "Alta Floresta D'Oeste",
-            "microrregiao": {"id": 11006, "nome": "Cacoal", "mesorregiao": {"id": 1102, "nome": "Leste Rondoniense"}},
-            "regiao-imediata": {"id": 110005, "nome": "Cacoal", "regiao-intermediaria": {
-                "id": 1102, "nome": "Ji-Paraná", "UF": {"id": 11, "sigla": "RO", "nome": "Rondônia",
+    full = {"id": 7700101, "nome": "Vale d'Agua",
+            "microrregiao": {"id": 77001, "nome": "Serra", "mesorregiao": {"id": 7701, "nome": "Planalto"}},
+            "regiao-imediata": {"id": 770001, "nome": "Serra", "regiao-intermediaria": {
+                "id": 7701, "nome": "Vau", "UF": {"id": 77, "sigla": "XY", "nome": "Provincia",
                                                         "regiao": {"id": 1, "sigla": "N", "nome": "Norte"}}}}}
     no_micro = dict(full, id=2, microrregiao=None)
     broken = {"id": 3, "nome": "X"}
@@ -45,7 +45,7 @@ def test_municipios_json(spark, tmp_dir):
     with open(p, "w", encoding="utf-8") as f:
         json.dump([full, no_micro, broken], f)
     rows = {r.id_municipio: r for r in R.read_municipios_json(spark, p).collect()}
-    assert rows[1100015].uf_sigla == "RO" and rows[1100015].mesorregiao_nome == "Leste Rondoniense"
+    assert rows[7700101].uf_sigla == "XY" and rows[7700101].mesorregiao_nome == "Planalto"
     assert rows[2].microrregiao_id is None and rows[2]._valid
     assert not rows[3]._valid
 
@@ -55,20 +55,20 @@ def test_sidra_header_and_sentinels(spark, tmp_dir):
     header["V"] = "Valor"
     base = {"NC": "6", "NN": "Município", "MC": "45", "MN": "Pessoas", "D1N": "X", "D2C": "93", "D2N": "Pop",
             "D3C": "2022", "D3N": "2022", "D4C": "6794", "D4N": "Total"}
-    rows = [header, dict(base, D1C="1100015", V="21494"), dict(base, D1C="1100023", V="-"),
-            dict(base, D1C="1100031", V="...", D5C="1", D5N="a")]
+    rows = [header, dict(base, D1C="7700101", V="1234"), dict(base, D1C="7700102", V="-"),
+            dict(base, D1C="7700103", V="...", D5C="1", D5N="a")]
     p = os.path.join(tmp_dir, "sidra.json")
     with open(p, "w", encoding="utf-8") as f:
         json.dump(rows, f)
     out = {r.D1C: r for r in R.read_sidra_json(spark, p).collect()}
-    assert set(out) == {"1100015", "1100023", "1100031"}
-    assert out["1100015"].V == "21494" and out["1100023"].V is None and out["1100031"].V is None
-    assert out["1100015"].D5C is None and out["1100031"].D5N == "a"
+    assert set(out) == {"7700101", "7700102", "7700103"}
+    assert out["7700101"].V == "1234" and out["7700102"].V is None and out["7700103"].V is None
+    assert out["7700101"].D5C is None and out["7700103"].D5N == "a"
 
 
 def test_pix_payload(spark, tmp_dir):
     rec = {n: 1 for n, _, _ in K.PIX.fields}
-    rec.update(AnoMes=202211, Municipio_Ibge=4311759.0, Estado_Ibge=43.0, Municipio="X", Estado="RS",
+    rec.update(AnoMes=202211, Municipio_Ibge=7700104.0, Estado_Ibge=43.0, Municipio="X", Estado="RS",
                Sigla_Regiao="S", Regiao="SUL", VL_PagadorPF=1.5, VL_PagadorPJ=2.0, VL_RecebedorPF=1.0,
                VL_RecebedorPJ=3.0)
     p = os.path.join(tmp_dir, "pix.json")
@@ -76,7 +76,7 @@ def test_pix_payload(spark, tmp_dir):
         json.dump({"value": [rec, dict(rec, Municipio_Ibge=None), dict(rec, Estado_Ibge=None)]}, f)
     kept, discarded = R.read_pix_json(spark, p)
     r = kept.first()
-    assert kept.count() == 1 and r.Municipio_Ibge == 4311759 and discarded.first().descartados == 2
+    assert kept.count() == 1 and r.Municipio_Ibge == 7700104 and discarded.first().descartados == 2
 
 
 def test_raw_partitions_latest_snapshot_and_rerun(spark, tmp_dir):
@@ -148,3 +148,97 @@ def test_batch_writes_are_idempotent(spark, tmp_dir):
     got = spark.read.parquet(os.path.join(root, "s"))
     assert got.count() == 3
     assert sorted(r.batch_id for r in got.select("batch_id").distinct().collect()) == ["a-7", "b-7"]
+
+
+def _write(path, text):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_dir):
+    import pytest
+
+    c = K.OLIST["category_translation"]
+    p = _write(os.path.join(tmp_dir, "a.csv"), "product_category_name_english,more,product_category_name\ntoys,1,brinquedos\n")
+    r = R.read_csv_table(spark, p, c).first()
+    assert (r.product_category_name, r.product_category_name_english, r._valid) == ("brinquedos", "toys", True)
+    p = _write(os.path.join(tmp_dir, "b.csv"), "product_category_name,other\nbrinquedos,toys\n")
+    with pytest.raises(R.InvalidSource, match="product_category_name_english"):
+        R.read_csv_table(spark, p, c)
+
+
+def _pix(**changes):
+    rec = {n: 1 for n, _, _ in K.PIX.fields} | dict(AnoMes=202211, Municipio_Ibge=7700104.0, Estado_Ibge=77.0, Municipio="X",
+                                                    Estado="XY", Sigla_Regiao="S", Regiao="SUL")
+    return rec | changes
+
+
+def test_payment_values_that_do_not_fit_are_invalid(spark, tmp_dir):
+    records = [_pix(), _pix(VL_PagadorPF=None), _pix(QT_PagadorPF="many"), _pix(QT_PagadorPF=3.5), _pix(Sigla_Regiao=None)]
+    p = _write(os.path.join(tmp_dir, "pix.json"), json.dumps({"value": records}))
+    rows, _ = R.read_pix_json(spark, p)
+    assert [r._valid for r in rows.collect()] == [True, False, False, False, False]
+
+
+def test_broken_documents_are_errors(spark, tmp_dir):
+    import pytest
+
+    whole = json.dumps({"value": [_pix(), _pix()]})
+    for text in (whole[: len(whole) // 2], "{}", '{"value": 3}'):
+        with pytest.raises(R.InvalidSource):
+            R.read_pix_json(spark, _write(os.path.join(tmp_dir, f"{abs(hash(text))}.json"), text))
+    with pytest.raises(R.InvalidSource):
+        R.read_sidra_json(spark, _write(os.path.join(tmp_dir, "s.json"), '[{"NC": "6", "NN"'))
+
+
+def test_census_rows_without_a_required_field_are_invalid(spark, tmp_dir):
+    row = {n: "1" for n, _, _ in K.SIDRA.fields}
+    p = _write(os.path.join(tmp_dir, "s.json"), json.dumps([row, {k: v for k, v in row.items() if k != "D2C"}]))
+    assert sorted(r._valid for r in R.read_sidra_json(spark, p).collect()) == [False, True]
+
+
+def test_bad_rows_behind_the_sample_stop_the_ingest(spark, tmp_dir):
+    import pytest
+
+    from peerscope.sources.ingest import InvalidSource, ingest_landing
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "olist_sellers_dataset.csv"),
+           "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,a,SP\ns2,2,b,SP\ns3,notzip,c,SP\n")
+    with pytest.raises(InvalidSource):
+        ingest_landing(spark, land, os.path.join(tmp_dir, "raw"), "2024-01-01", sample_rows=2)
+    assert not os.path.exists(os.path.join(tmp_dir, "raw"))
+
+
+def test_append_takes_each_fingerprint_once_and_raises_other_errors(spark, tmp_dir):
+    import pytest
+
+    path = os.path.join(tmp_dir, "tbl")
+    batch = spark.createDataFrame([(1, "h1"), (1, "h1"), (2, "h2")], "x int, row_hash string")
+    assert W.append_new_rows(batch, path, spark) == 2
+    other = os.path.join(tmp_dir, "other")
+    spark.createDataFrame([(1,)], "x int").write.parquet(other)
+    with pytest.raises(Exception, match="row_hash"):
+        W.append_new_rows(batch, other, spark)
+    assert spark.read.parquet(other).count() == 1
+
+
+def test_empty_snapshot_is_an_error(spark, tmp_dir):
+    import pytest
+
+    root = os.path.join(tmp_dir, "raw")
+    df = spark.createDataFrame([(1,)], "x int")
+    W.write_raw_partition(df, root, "s", "2024-01-01")
+    with pytest.raises(W.EmptySnapshot):
+        W.write_raw_partition(df.filter("x > 1"), root, "s", "2024-01-01")
+    assert spark.read.parquet(os.path.join(root, "s")).count() == 1
+
+
+def test_marts_carry_descriptions(spark, tmp_dir):
+    from peerscope.operators.quality import undocumented_columns
+    from peerscope.plans import marts as M
+    from peerscope.plans.descriptions import DESCRIPTIONS
+    assert set(M.KPI_COLUMNS) | set(M.CENSUS_COLUMNS) | set(M.PIX_ADDITIVE) <= set(DESCRIPTIONS)
+    df = spark.createDataFrame([(1, 2)], "id_municipio int, ano int")
+    assert undocumented_columns(spark, W.materialize(spark, df, "marts_t", "m2", os.path.join(tmp_dir, "m2"), DESCRIPTIONS)) == []

@@ -26,7 +26,7 @@ def test_ingest_twice_only_new_files(spark, tmp_dir):
     write(os.path.join(land, "sellers_3.csv"), ["s5,5000,recife,PE\n"])
     r2 = ingest_stream(spark, land, c, raw, ck, q, glob="sellers_*.csv", ingestion_date="2024-01-01")
     assert (r2.rows_written, r2.rows_rejected) == (1, 2)
-    ids = sorted(r.seller_id for r in spark.read.parquet(os.path.join(raw, "sellers")).collect())
+    ids = sorted(r.seller_id for r in spark.read.parquet(os.path.join(raw, "olist_sellers")).collect())
     assert ids == ["s1", "s2", "s5"]
     assert spark.read.parquet(os.path.join(q, "sellers")).count() == 2
     # K4: rewriting a seen file under the same name is not picked up again
@@ -34,8 +34,7 @@ def test_ingest_twice_only_new_files(spark, tmp_dir):
     r3 = ingest_stream(spark, land, c, raw, ck, q, glob="sellers_*.csv")
     assert r3.rows_written == 0
     # K2: files with no contract are listed, not read
-    unk = [r.file_name for r in unrecognised_files(spark, land, ["sellers_1.csv", "sellers_2.csv",
-                                                                 "sellers_3.csv"]).collect()]
+    unk = [r.file_name for r in unrecognised_files(spark, land, ["sellers.csv"]).collect()]
     assert unk == ["notes.txt"]
     assert r1.low_volume  # below the declared minimum volume: warning (M8)
 
@@ -59,7 +58,7 @@ def test_dispatch_all_tables(spark, tmp_dir):
     write(os.path.join(land, "olist_sellers_dataset_2.csv"), ["s2,2000,rio,RJ\n"])  # re-upload, new name
     third = ingest_all_streams(spark, land, raw, ck, ingestion_date="2024-01-02")
     assert third["sellers"].rows_written == 1
-    geo = spark.read.parquet(os.path.join(raw, "geolocation")).first()
+    geo = spark.read.parquet(os.path.join(raw, "olist_geolocation")).first()
     assert geo.geolocation_zip_code_prefix == 1037  # typed by the contract
 
 
@@ -71,7 +70,7 @@ def test_new_checkpoint_does_not_overwrite(spark, tmp_dir):
     ingest_stream(spark, land, c, raw, os.path.join(tmp_dir, "ck1"), glob="sellers_*.csv", ingestion_date="2024-01-01")
     # K4: reprocessing from a new checkpoint re-reads the folder; batch 0 of the new stream is its own partition
     ingest_stream(spark, land, c, raw, os.path.join(tmp_dir, "ck2"), glob="sellers_*.csv", ingestion_date="2024-01-01")
-    assert spark.read.parquet(os.path.join(raw, "sellers")).count() == 2
+    assert spark.read.parquet(os.path.join(raw, "olist_sellers")).count() == 2
 
 
 def test_continuous_stream_picks_up_new_files(spark, tmp_dir):
@@ -89,4 +88,34 @@ def test_continuous_stream_picks_up_new_files(spark, tmp_dir):
     finally:
         q.stop()
     assert stats["written"] == 2
-    assert spark.read.parquet(os.path.join(raw, "sellers")).count() == 2
+    assert spark.read.parquet(os.path.join(raw, "olist_sellers")).count() == 2
+
+
+def test_rejects_are_kept_without_a_named_quarantine(spark, tmp_dir):
+    land, raw, ck = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    write(os.path.join(land, "sellers_1.csv"), ["s1,1000,sp,SP\n", "s2,notanumber,x,SP\n"])
+    r = ingest_stream(spark, land, K.OLIST["sellers"], raw, ck, glob="sellers_*.csv")
+    assert (r.rows_in, r.rows_written, r.rows_rejected) == (2, 0, 2)
+    assert spark.read.parquet(raw + "_quarantine/sellers").count() == 2
+
+
+def test_batch_is_dated_by_its_newest_file(spark, tmp_dir):
+    land, raw, ck = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    write(os.path.join(land, "sellers_1.csv"), ["s1,1000,sp,SP\n"])
+    os.utime(os.path.join(land, "sellers_1.csv"), (1704110400, 1704110400))  # 2024-01-01 12:00 UTC
+    ingest_stream(spark, land, K.OLIST["sellers"], raw, ck, glob="sellers_*.csv")
+    assert [str(r.ingestion_date) for r in spark.read.parquet(os.path.join(raw, "olist_sellers")).collect()] == ["2024-01-01"]
+
+
+def test_swapped_header_fails_the_stream(spark, tmp_dir):
+    import pytest
+
+    land, raw, ck = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    with open(os.path.join(land, "sellers_1.csv"), "w", encoding="utf-8") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_state,seller_city\ns1,1000,SP,sao paulo\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_stream(spark, land, K.OLIST["sellers"], raw, ck, glob="sellers_*.csv")
+    assert not os.path.exists(os.path.join(raw, "olist_sellers"))
