@@ -10,6 +10,8 @@ from peerscope.plans import benchmark_tables as B
 from peerscope.plans import families as M
 from peerscope.plans import ingest_queries as K
 from peerscope.plans import matching_queries as X
+from peerscope.plans import model_queries as Q
+from peerscope.plans import model_sql
 from peerscope.plans import oracle_sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +61,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
     "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),
     "place_labels": (M.place_labels, S.PLACE_LABELS),
+    **{name: (query, model_sql.ORACLE_SQL[name]) for name, query in Q.QUERIES.items()},
 }
 
 

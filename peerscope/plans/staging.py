@@ -67,13 +67,13 @@ def stg_olist_orders(raw: DataFrame, ts_type: str = TS) -> DataFrame:
     )
 
 
-def stg_olist_order_items(raw: DataFrame) -> DataFrame:
+def stg_olist_order_items(raw: DataFrame, ts_type: str = TS) -> DataFrame:
     """P3."""
     d = _dedup(raw, "order_items")
     return d.select(
         "row_hash", concat_key("order_id", "order_item_id").alias("order_item_pk"),
         "order_id", "order_item_id", "product_id", "seller_id",
-        safe_cast("shipping_limit_date", TS).alias("shipping_limit_date"), "price", "freight_value",
+        safe_cast("shipping_limit_date", ts_type).alias("shipping_limit_date"), "price", "freight_value",
     )
 
 
@@ -86,14 +86,14 @@ def stg_olist_order_payments(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_olist_order_reviews(raw: DataFrame) -> DataFrame:
+def stg_olist_order_reviews(raw: DataFrame, ts_type: str = TS) -> DataFrame:
     """P5."""
     d = _dedup(raw, "order_reviews")
     return d.select(
         "row_hash", concat_key("review_id", "order_id").alias("review_pk"),
         "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
-        safe_cast("review_creation_date", TS).alias("review_creation_date"),
-        safe_cast("review_answer_timestamp", TS).alias("review_answer_timestamp"),
+        safe_cast("review_creation_date", ts_type).alias("review_creation_date"),
+        safe_cast("review_answer_timestamp", ts_type).alias("review_answer_timestamp"),
     )
 
 
