@@ -1,42 +1,69 @@
-"""Connected components of an edge list by alternating large-star and small-star steps."""
+"""Connected components of an edge list: union-find inside partitions, joined by pointer jumps between them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from peerscope.llm.shared import stage
+from peerscope.operators.joins import salted_join
 
-SALTS = 8
 MAX_STEPS = 60
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str, spread: str, salts: int = SALTS, how: str = "inner") -> DataFrame:
-    """Equality join in which ``big``'s rows of one key are spread over ``salts`` tasks; ``small`` is copied to each."""
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [on, "_salt"], how).drop("_salt")
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every node of a partition's edges with the smallest node it is linked to there.
+
+    ``home``: the node's own partition (edges are dealt by ``a``), so this is its only parent; ``moved``: a pointer of
+    this partition has just jumped.
+    """
+    parent: dict = {}
+    home: set = set()
+    moved, schema = False, None
+
+    def root(x):
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        schema = batch.schema
+        for a, b, m in zip(*(batch[c].to_pylist() for c in ("a", "b", "m")), strict=True):
+            home.add(a)
+            if m is not None:
+                moved, b = True, m
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    found = [(x, root(x)) for x in list(parent)]
+    found = [(x, r) for x, r in found if x != r]
+    if found:
+        kind = schema.field("a").type
+        yield pa.record_batch({"a": pa.array([x for x, _ in found], kind), "b": pa.array([r for _, r in found], kind),
+                               "home": pa.array([x in home for x, _ in found], pa.bool_()),
+                               "moved": pa.array([moved] * len(found), pa.bool_())})
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b): root is the smallest node reachable, itself included.
 
-    Null ends and loops link nothing.  Every step shuffles the edges by node with the neighbours of a hub spread, and is
-    staged in the shared folder; nothing but an edge count and a checksum reaches the driver.
+    Null ends and loops link nothing.  A step deals the edges by their larger end, contracts each partition to a
+    forest, stages it in the shared folder, and lets every pointer jump to its parent's parent; a hub's pointers are
+    spread over several tasks.  Only two flags reach the driver.
     """
-    current = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
+    kind = edges.schema["a"].dataType
+    current = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(None).cast(kind).alias("m"))
+    name = kind.simpleString()
     for _ in range(MAX_STEPS):
-        both = current.union(current.select("b", "a")).toDF("u", "v")
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = salted_join(both, lowest, "u", "v").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = salted_join(large, lowest, "a", "b")
-        small = joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .union(lowest.select("a", F.col("m").alias("b"))).distinct()
-        current = stage(small, "edges")
-        now = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
-            roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-            return roots.union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = now
+        stars = stage(current.repartition("a").mapInArrow(_contract, f"a {name}, b {name}, home boolean, moved boolean"), "stars")
+        parents = stars.filter("home").select(F.col("a").alias("b"), F.col("b").alias("m"))
+        current = salted_join(stars.select("a", "b"), parents, "b", "a", "left").select("a", "b", "m")
+        if stars.filter("moved OR NOT home").isEmpty() and current.filter("m IS NOT NULL").isEmpty():
+            forest = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return forest.union(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
     raise RuntimeError(f"components did not settle in {MAX_STEPS} steps")

@@ -10,7 +10,7 @@ A large node whose classes are alike (versions of one text), or that is still la
 pairs to finish.  Its classes form a crowd instead.  The crowd's common shingles P are those of a quarter of a sample
 of it; each class is linked to the classes nearest to P, and a class x left outside the main component can then only be
 similar to a class y that (i) is short enough for the P-shingles of both to suffice, 7 min(|x∩P|, |y∩P|) >= 3 (|x|+|y|),
-or (ii) has a shingle outside P in common with x.  Both are equality joins, and the two cases are all there are whatever
+or (ii) has a shingle outside P in common with x, which only the rarest of them need to tell.  Both are equality joins, and the two cases are all there are whatever
 P is: so a crowd of any size is finished without its pairs, and no link is lost to P.
 
 Candidates are confirmed on the full shingle sets of the texts in two rounds: first each class's best candidates, then
@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from peerscope.llm.components import connected_components, salted_join
+from peerscope.llm.components import connected_components
 from peerscope.llm.shared import byte_texts, hidden, mix, stage, table, window_hashes, word_hashes
+from peerscope.operators.joins import salted_join
 
 WORDS = 5
 PERCENT = 75
@@ -35,8 +36,9 @@ TREES = 6
 BRANCHES = 2
 DEPTH = 6
 SMALL_NODE = 32
-ALIKE = 0.3  # mean share of min-hashes in common with the node's first class, from which on a large node is a crowd
+ALIKE = 0.4  # mean share of min-hashes that two classes of a large node have in common, from which on it is a crowd
 LEAST_MATCHES = 77  # of 128 min-hashes; a similarity of 0.75 falls below with a chance of 1 in 20,000
+GROUP_ROWS = 16_384
 SAMPLE = 64
 CENTRES = 8
 
@@ -135,47 +137,71 @@ def _matches_of(rows: DataFrame, keep: str) -> DataFrame:
     return rows.select("set", keep, "sig", "other").mapInArrow(matches, f"set binary, {keep} {kind}, est int")
 
 
+def _compared(group: pa.Table) -> pa.Table:
+    """(a, b, est): the classes of each small node compared exhaustively; ``group`` holds many nodes."""
+    group = group.sort_by([("node", "ascending"), ("set", "ascending")])
+    node = group["node"].to_numpy()
+    sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
+    starts = np.flatnonzero(np.diff(node, prepend=node[0] - 1))
+    left, right, est = [], [], []
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
+        x = sigs[start:end]
+        equal = (x[:, None, :] == x[None, :, :]).sum(axis=2)
+        i, j = np.nonzero(np.triu(equal >= LEAST_MATCHES, 1))
+        left.append(i + start)
+        right.append(j + start)
+        est.append(equal[i, j])
+    sets = group["set"].combine_chunks()
+    return pa.table({"a": sets.take(pa.array(np.concatenate(left))), "b": sets.take(pa.array(np.concatenate(right))),
+                     "est": pa.array(np.concatenate(est), pa.int32())})
+
+
 def _consensus(group: pa.Table) -> pa.Table:
-    """The most frequent min-hash at each coordinate of a bounded sample of a node."""
+    """The most frequent min-hash at each coordinate of a bounded sample of a node, and the sample's mean likeness."""
     sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
     mode = np.array([(v := np.unique(c, return_counts=True))[0][v[1].argmax()] for c in sigs.T], dtype=np.uint16)
-    return pa.table({"node": group["node"].slice(0, 1), "other": pa.array([mode.tobytes()], pa.binary())})
+    equal = (sigs[:, None, :] == sigs[None, :, :]).mean(axis=2)[np.triu_indices(len(sigs), 1)]
+    return pa.table({"node": group["node"].slice(0, 1), "other": pa.array([mode.tobytes()], pa.binary()), "likeness": pa.array([equal.mean()])})
 
 
 def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig)."""
     roots = F.array(*[F.xxhash64(F.lit(t), F.lit(c), _min_hash(F.lit(c))) for t in range(TREES) for c in range(t * BRANCHES, (t + 1) * BRANCHES)])
-    rows = _shared_nodes(sigs.select("set", F.explode(roots).alias("node")))
+    # the first two levels at once: nearly every class shares some min-hash with strangers, few share two
+    rows = _shared_nodes(_branch(sigs.select("set", "sig", F.explode(roots).alias("node"))))
     small, crowds = [], []
-    for level in range(1, DEPTH + 1):
+    for level in range(2, DEPTH + 1):
         small.append(rows.filter(F.col("n") <= SMALL_NODE).select("node", "set"))
         large = rows.filter(F.col("n") > SMALL_NODE).select("node", "set")
         if large.isEmpty():
             break
         large = stage(large.join(sigs, "set").select("node", "set", "sig"), "large-nodes")
-        if level == DEPTH:
-            crowds.append(large)
-            break
-        first = large.groupBy("node").agg(F.min(F.struct("set", "sig"))["sig"].alias("other"))
-        likeness = _matches_of(salted_join(large, first, "node", "set"), "node").groupBy("node").agg(F.avg("est").alias("est"))
-        alike = stage(likeness.filter(F.col("est") >= ALIKE * COORDINATES).select("node", F.lit(True).alias("alike")), "alike")
-        marked = salted_join(large, alike, "node", "set", how="left")
-        crowds.append(marked.filter("alike").select("node", "set", "sig"))
-        rows = _shared_nodes(_branch(marked.filter("alike IS NULL")))
-    members = _union(small).join(sigs, "set")
-    pairs = members.alias("x").join(members.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.set") < F.col("y.set"))) \
-        .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"), F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b"))
-    candidates = stage(_alike(pairs).distinct(), "candidates")
+        nth = F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("set")))
+        sample = large.withColumn("nth", nth).filter(F.col("nth") <= 16).drop("nth")
+        modes = sample.groupBy("node").applyInArrow(_consensus, "node long, other binary, likeness double")
+        if level < DEPTH:
+            modes = stage(modes, "modes")
+        crowded = modes.filter(F.col("likeness") >= ALIKE) if level < DEPTH else modes
+        marked = salted_join(large, crowded.select("node", "other"), "node", "set", how="left")
+        crowds.append(marked.filter("other IS NOT NULL"))
+        if level < DEPTH:
+            rows = _shared_nodes(_branch(marked.filter("other IS NULL")))
+    members = _union(small)
+    groups = max(1, members.count() // GROUP_ROWS)
+    pairs = members.join(sigs, "set").withColumn("part", F.pmod("node", F.lit(groups))) \
+        .groupBy("part").applyInArrow(_compared, "a binary, b binary, est int")
+    candidates = stage(pairs.distinct(), "candidates")
     if not crowds:
         return candidates, candidates.limit(0).select(F.col("a").alias("crowd"), F.col("b").alias("set"))
-    crowded = _union(crowds)
+    crowded = stage(_union(crowds), "crowded")
     # nodes of one crowd in different trees agree on the class nearest to their consensus: it names the crowd
-    nth = F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("set")))
-    modes = crowded.withColumn("nth", nth).filter(F.col("nth") <= 16).drop("nth") \
-        .groupBy("node").applyInArrow(_consensus, "node long, other binary")
-    nearest = _matches_of(salted_join(crowded, modes, "node", "set"), "node").groupBy("node") \
-        .agg(F.max(F.struct("est", "set"))["set"].alias("crowd"))
-    return candidates, stage(salted_join(crowded, nearest, "node", "set").select("crowd", "set").distinct(), "crowds")
+    nearest = _matches_of(crowded, "node").groupBy("node").agg(F.max(F.struct("est", "set"))["set"].alias("crowd"))
+    members = stage(salted_join(crowded, nearest, "node", "set").select("crowd", "set").distinct(), "crowds")
+    # a crowd that holds another's name is the same crowd
+    names = members.select("crowd").distinct().withColumnRenamed("crowd", "set")
+    merged = connected_components(members.join(names, "set").select(F.col("crowd").alias("a"), F.col("set").alias("b")))
+    named = salted_join(members, merged.withColumnRenamed("node", "crowd"), "crowd", "set", how="left")
+    return candidates, stage(named.select(F.coalesce("root", "crowd").alias("crowd"), "set").distinct(), "crowds")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -215,8 +241,8 @@ def profiles(crowds: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _with_sigs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    for end, other in (("a", "b"), ("b", "a")):
-        pairs = salted_join(pairs, sigs.select(F.col("set").alias(end), F.col("sig").alias(f"sig_{end}")), end, other)
+    for end in ("a", "b"):
+        pairs = pairs.join(sigs.select(F.col("set").alias(end), F.col("sig").alias(f"sig_{end}")), end)
     return pairs
 
 
@@ -233,17 +259,33 @@ def star_pairs(crowd: DataFrame, sigs: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _rare_extras(crowd: DataFrame) -> DataFrame:
+    """(crowd, set, shingle): enough of each class's shingles outside P, rarest first, to meet whatever it is similar to.
+
+    A similar class shares at least t = 0.75 n - inside of the e shingles outside P (similar sets are no smaller than
+    0.75 n), so one of any e - t + 1 of them; a shingle no other class of the crowd has meets nothing and is not listed.
+    """
+    every = crowd.select("crowd", "set", F.explode("extra").alias("shingle"))
+    common = every.groupBy("crowd", "shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    needed = F.greatest(F.lit(1), F.ceil(F.col("n") * (PERCENT / 100) - 1e-6) - F.col("inside"))
+    of_set = W.partitionBy("crowd", "set")
+    listed = every.join(common, ["crowd", "shingle"]) \
+        .withColumn("nth", F.row_number().over(of_set.orderBy("classes", "shingle"))) \
+        .withColumn("shared", F.count(F.lit(1)).over(of_set))
+    slots = crowd.select("crowd", "set", (F.size("extra") - needed + 1).alias("slots"), F.size("extra").alias("extras"))
+    kept = listed.join(slots, ["crowd", "set"]).filter(F.col("nth") <= F.col("slots") - (F.col("extras") - F.col("shared")))
+    return stage(kept.select("crowd", "set", "shingle"), "rare")
+
+
 def stray_pairs(crowd: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
     """(a, b): what the classes outside a crowd's main component may still be similar to (cases i and ii above)."""
     named = crowd.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     main = named.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("size")) \
         .groupBy("crowd").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
     strays = salted_join(named, main, "crowd", "set").filter("root <> main").select(
-        "crowd", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("inside").alias("inside_a"), F.col("extra").alias("extra_a"),
-        F.col("root").alias("root_a"))
+        "crowd", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("inside").alias("inside_a"), F.col("root").alias("root_a"))
     strays = stage(strays, "strays")
-    other = named.select("crowd", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("inside").alias("inside_b"), "extra",
-                         F.col("root").alias("root_b"))
+    other = named.select("crowd", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("inside").alias("inside_b"), F.col("root").alias("root_b"))
 
     def step(n: Column) -> Column:
         return F.floor(F.log(n) / F.log(F.lit(1.02)))
@@ -252,9 +294,11 @@ def stray_pairs(crowd: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFram
     highest = F.least(F.col("n_a") / (PERCENT / 100), (7 * F.col("inside_a") - 3 * F.col("n_a")) / 3) * 1.001
     short = strays.filter(highest >= lowest).select("crowd", "a", "n_a", "inside_a", "root_a", F.explode(F.sequence(step(lowest), step(highest))).alias("step"))
     enough = 7 * F.least("inside_a", "inside_b") >= 3 * (F.col("n_a") + F.col("n_b"))
-    first = other.drop("extra").withColumn("step", step(F.col("n_b"))).join(short, ["crowd", "step"]).filter((F.col("root_a") != F.col("root_b")) & enough)
-    second = other.select("crowd", "b", "root_b", F.explode("extra").alias("shingle")) \
-        .join(strays.select("crowd", "a", "root_a", F.explode("extra_a").alias("shingle")), ["crowd", "shingle"]).filter("root_a <> root_b")
+    first = other.withColumn("step", step(F.col("n_b"))).join(short, ["crowd", "step"]).filter((F.col("root_a") != F.col("root_b")) & enough)
+    rare = _rare_extras(crowd)
+    second = rare.join(other.select("crowd", F.col("b").alias("set"), "root_b"), ["crowd", "set"]).withColumnRenamed("set", "b") \
+        .join(rare.join(strays.select("crowd", F.col("a").alias("set"), "root_a"), ["crowd", "set"]).withColumnRenamed("set", "a"), ["crowd", "shingle"]) \
+        .filter("root_a <> root_b")
     pairs = first.select("a", "b").union(second.select("a", "b")).distinct()
     return _alike(_with_sigs(pairs, sigs)).select("a", "b").distinct()
 
@@ -273,7 +317,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = texts.select(F.col("set").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("set").alias("b"), F.col("text").alias("text_b"))
-    whole = salted_join(salted_join(pairs.select("a", "b"), left, "a", "b"), right, "b", "a")
+    whole = pairs.select("a", "b").join(left, "a").join(right, "b")  # staged sides: Spark splits a hot key itself
     return stage(whole.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a binary, b binary"), "links")
 
 
@@ -316,7 +360,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     labelled = reps.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     lowest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = stage(salted_join(labelled, lowest, "root", "set").select("set", "component_id"), "components")
-    joined = salted_join(sets.select("doc_id", F.col("body").alias("text_hash"), "n_shingles", "set"), of_class, "set", "text_hash", how="left")
+    joined = sets.select("doc_id", F.col("body").alias("text_hash"), "n_shingles", "set").join(of_class, "set", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
