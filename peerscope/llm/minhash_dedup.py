@@ -197,11 +197,12 @@ def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # nodes of one crowd in different trees agree on the class nearest to their consensus: it names the crowd
     nearest = _matches_of(crowded, "node").groupBy("node").agg(F.max(F.struct("est", "set"))["set"].alias("crowd"))
     members = stage(salted_join(crowded, nearest, "node", "set").select("crowd", "set").distinct(), "crowds")
-    # a crowd that holds another's name is the same crowd
+    # a crowd that holds another's name, or is held by it, takes the smallest such name: few crowds of one kind are left
     names = members.select("crowd").distinct().withColumnRenamed("crowd", "set")
-    merged = connected_components(members.join(names, "set").select(F.col("crowd").alias("a"), F.col("set").alias("b")))
-    named = salted_join(members, merged.withColumnRenamed("node", "crowd"), "crowd", "set", how="left")
-    return candidates, stage(named.select(F.coalesce("root", "crowd").alias("crowd"), "set").distinct(), "crowds")
+    held = members.join(names, "set").select("crowd", "set")
+    lowest = held.union(held.select("set", "crowd")).toDF("crowd", "name").groupBy("crowd").agg(F.min("name").alias("name"))
+    named = salted_join(members, lowest, "crowd", "set")
+    return candidates, stage(named.select(F.least("crowd", "name").alias("crowd"), "set").distinct(), "crowds")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -356,7 +357,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rest = _different(candidates.select("a", "b"), roots).union(stray_pairs(crowd, roots, sigs)).distinct()
     rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        roots = connected_components(links.union(_confirmed(rest, texts)))
+        more = _confirmed(rest, texts)
+        if not more.isEmpty():
+            roots = connected_components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     labelled = reps.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     lowest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = stage(salted_join(labelled, lowest, "root", "set").select("set", "component_id"), "components")
