@@ -48,9 +48,10 @@ def _check(df: DataFrame, name: str, minimum: int, sample_rows: int | None) -> T
 
 
 def landed_files(spark: SparkSession, landing: str) -> dict[str, str]:
-    """File name -> path of the files in a landing folder, listed by Spark (local folder, HDFS or object store)."""
-    paths = [r.path for r in spark.read.format("binaryFile").load(landing).select("path").collect()]
-    return {p.rsplit("/", 1)[-1]: p for p in paths}
+    """Name -> path of the files and folders of pages in a landing folder (local folder, HDFS or object store)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(folder)}
 
 
 def ingest_landing(
@@ -63,7 +64,8 @@ def ingest_landing(
     """Ingest every recognised file of a landing folder, all or nothing.
 
     Recognised: the business CSVs by file name, ``municipios.json``,
-    ``censo_<table>.json`` and ``pix.json``.  Unknown files are ignored (K2).
+    ``censo_<table>.json`` and ``pix.json``; each is one file or a folder of
+    files, at any depth.  Unknown names are ignored (K2).
     """
     date = ingestion_date or dt.datetime.now(tz=dt.timezone.utc).date()
     names = landed_files(spark, landing)

@@ -22,13 +22,14 @@ def read_csv_table(spark: SparkSession, path: str, contract: TableContract) -> D
     """A1: a business CSV as text columns plus ``_valid`` and ``_source_file``.
 
     Columns are bound by the names in the header, whatever their order; a
-    missing one is an error, further ones are left out.  ``multiLine`` (needed
+    missing one is an error, further ones are left out.  The files of a folder
+    share one header; another one among them is an error.  ``multiLine`` (needed
     where quoted fields hold newlines, e.g. review comments) makes a file
     unsplittable, so it is enabled per contract.
     """
     df = (spark.read.option("header", True).option("escape", '"').option("quote", '"')
           .option("multiLine", contract.multiline).option("mode", "PERMISSIVE").option("inferSchema", False)
-          .csv(path))
+          .option("enforceSchema", False).option("recursiveFileLookup", True).csv(path))
     names = contract.text_schema.fieldNames()
     missing = [n for n in names if n not in df.columns]
     if missing:
@@ -98,10 +99,13 @@ BAD = "_bad_document"
 
 
 def _documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Records of a JSON dump; a document that does not parse is an error, not an absence of rows."""
+    """Records of a JSON dump, one file or a folder of pages at any depth.
+
+    A document that does not parse is an error, not an absence of rows.
+    """
     full = StructType([*schema.fields, StructField(BAD, StringType())])
     df = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", BAD).json(path))
+          .option("columnNameOfCorruptRecord", BAD).option("recursiveFileLookup", True).json(path))
     broken = df.filter(F.col(BAD).isNotNull()).limit(1).collect()
     if broken:
         raise InvalidSource(f"{path}: not a whole JSON document of the declared shape, from: {broken[0][BAD][:80]!r}")

@@ -242,3 +242,30 @@ def test_marts_carry_descriptions(spark, tmp_dir):
     assert set(M.KPI_COLUMNS) | set(M.CENSUS_COLUMNS) | set(M.PIX_ADDITIVE) <= set(DESCRIPTIONS)
     df = spark.createDataFrame([(1, 2)], "id_municipio int, ano int")
     assert undocumented_columns(spark, W.materialize(spark, df, "marts_t", "m2", os.path.join(tmp_dir, "m2"), DESCRIPTIONS)) == []
+
+
+def test_folders_of_pages_are_ingested(spark, tmp_dir):
+    import pytest
+
+    from peerscope.sources.ingest import InvalidSource, ingest_landing
+    land, raw = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    census = {n: "1" for n, _, _ in K.SIDRA.fields}
+    os.makedirs(os.path.join(land, "pix.json", "more"))
+    os.makedirs(os.path.join(land, "censo_9514.json"))
+    os.makedirs(os.path.join(land, "olist_sellers_dataset.csv"))
+    _write(os.path.join(land, "pix.json", "1.json"), json.dumps({"value": [_pix(), _pix()]}))
+    _write(os.path.join(land, "pix.json", "more", "2.json"), json.dumps({"value": [_pix(Estado_Ibge=None), _pix()]}))
+    for page in ("a", "b"):
+        _write(os.path.join(land, "censo_9514.json", f"{page}.json"), json.dumps([census]))
+        _write(os.path.join(land, "olist_sellers_dataset.csv", f"{page}.csv"),
+               f"seller_id,seller_zip_code_prefix,seller_city,seller_state\n{page},1,x,SP\n")
+    reports = {r.source: (r.rows, r.discarded) for r in ingest_landing(spark, land, raw, "2024-01-01")}
+    assert reports == {"bcb_pix": (3, 1), "ibge_censo_9514": (2, 0), "olist_sellers": (2, 0)}
+    assert {s: spark.read.parquet(os.path.join(raw, s)).count() for s in reports} == {s: n for s, (n, _) in reports.items()}
+    _write(os.path.join(land, "olist_sellers_dataset.csv", "c.csv"),
+           "seller_id,seller_zip_code_prefix,seller_state,seller_city\nc,1,SP,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_landing(spark, land, os.path.join(tmp_dir, "raw2"), "2024-01-01")
+    os.makedirs(empty := os.path.join(tmp_dir, "landing2", "pix.json"))
+    with pytest.raises(InvalidSource):
+        ingest_landing(spark, os.path.dirname(empty), os.path.join(tmp_dir, "raw3"), "2024-01-01")
