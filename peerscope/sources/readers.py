@@ -122,15 +122,16 @@ def parse_sidra(raw: DataFrame) -> DataFrame:
 
     The header is recognised by value (its ``V`` is the literal column title
     and its municipality code is not numeric), not by position, because a
-    distributed read has no first row.
+    distributed read has no first row.  Any other record whose code is missing
+    or not a number is invalid.
     """
-    is_header = (F.col("V") == F.lit("Valor")) | F.col("D1C").try_cast("long").isNull()
-    body = raw.filter(~F.coalesce(is_header, F.lit(False)))
+    coded = F.col("D1C").try_cast("long").isNotNull()
+    body = raw.filter(~F.col("V").eqNullSafe("Valor") | coded)
     cols = []
     for name in SIDRA.schema.fieldNames():
         c = F.col(name) if name in raw.columns else F.lit(None).cast("string")
         cols.append((sentinel_to_null(c) if name == "V" else c).alias(name))
-    return body.select(*cols).withColumn("_valid", SIDRA.validity())
+    return body.select(*cols).withColumn("_valid", SIDRA.validity() & coded)
 
 
 def read_sidra_json(spark: SparkSession, path: str) -> DataFrame:

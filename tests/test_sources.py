@@ -269,3 +269,17 @@ def test_folders_of_pages_are_ingested(spark, tmp_dir):
     os.makedirs(empty := os.path.join(tmp_dir, "landing2", "pix.json"))
     with pytest.raises(InvalidSource):
         ingest_landing(spark, os.path.dirname(empty), os.path.join(tmp_dir, "raw3"), "2024-01-01")
+
+
+def test_census_rows_with_a_bad_code_stop_the_ingest(spark, tmp_dir):
+    import pytest
+
+    from peerscope.sources.ingest import InvalidSource, ingest_landing
+    row = {n: "1" for n, _, _ in K.SIDRA.fields}
+    header = {n: n for n in row} | {"V": "Valor"}
+    bad = [dict(row, D1C=None), dict(row, D1C="x1"), {k: v for k, v in row.items() if k != "D1C"}, dict(row, D1C=None, V=None)]
+    os.makedirs(land := os.path.join(tmp_dir, "landing"))
+    p = _write(os.path.join(land, "censo_9514.json"), json.dumps([header, row, dict(row, V=None), *bad]))
+    assert sorted(r._valid for r in R.read_sidra_json(spark, p).collect()) == [False] * 4 + [True] * 2
+    with pytest.raises(InvalidSource):
+        ingest_landing(spark, land, os.path.join(tmp_dir, "raw"), "2024-01-01")
