@@ -148,11 +148,13 @@ def read_pix_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     Returns ``(rows, discarded_count_frame)``.  Values are read as text and
     held against the contract (``_valid``) before they are typed, so a value
     that does not fit is an invalid row and not a NULL.  Codes delivered as
-    floats (``4311759.0``) become integers.
+    floats (``4311759.0``) become integers.  Every page needs its ``value``
+    array; one without (an error document) is an error.
     """
     doc = _documents(spark, path, PIX_JSON)
-    if not doc.filter(F.col("value").isNotNull()).limit(1).count():
-        raise InvalidSource(f"{path}: no array of records under 'value'")
+    pages = doc.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("bad")).first()
+    if not pages["n"] or pages["bad"]:
+        raise InvalidSource(f"{path}: {pages['bad']} of {pages['n']} documents without an array of records under 'value'")
     rows = doc.select(F.explode("value").alias("r")).select("r.*")
     keep = F.col("Municipio_Ibge").isNotNull() & F.col("Estado_Ibge").isNotNull()
     codes = ("Municipio_Ibge", "Estado_Ibge")

@@ -283,3 +283,15 @@ def test_census_rows_with_a_bad_code_stop_the_ingest(spark, tmp_dir):
     assert sorted(r._valid for r in R.read_sidra_json(spark, p).collect()) == [False] * 4 + [True] * 2
     with pytest.raises(InvalidSource):
         ingest_landing(spark, land, os.path.join(tmp_dir, "raw"), "2024-01-01")
+
+
+def test_an_error_document_among_pages_is_an_error(spark, tmp_dir):
+    import pytest
+
+    for i, text in enumerate(('{"error": "busy"}', '{"value": null}')):
+        os.makedirs(pages := os.path.join(tmp_dir, f"pix{i}.json"))
+        _write(os.path.join(pages, "1.json"), json.dumps({"value": [_pix()]}))
+        assert R.read_pix_json(spark, pages)[0].count() == 1
+        _write(os.path.join(pages, "2.json"), text)
+        with pytest.raises(R.InvalidSource, match="1 of 2"):
+            R.read_pix_json(spark, pages)
