@@ -7,7 +7,9 @@ encoded in parallel and put together in order.  Chunks whose overlap has no comm
 letters, say) are joined into one piece, so the result is exact for any text.  Only boundaries after a character
 other than white space count: there a piece's end cannot change how its last white space matches.
 
-A shorter text is its own only chunk and is encoded where it is read, without a shuffle.
+A shorter text goes the same way inside the task that reads it, without a shuffle: ``pieces`` cuts it into chunks of
+``OVERLAP`` characters that overlap by a quarter, stitches them, and its pieces are encoded one by one.  The pieces of
+a long text are cut once more like that where they are encoded.
 """
 
 from __future__ import annotations
@@ -71,6 +73,21 @@ def boundaries(text: str, pattern: str, start: int, stop: int, last: bool) -> li
     return found
 
 
+def pieces(text: str, pattern: str, chunk: int, overlap: int) -> list[str]:
+    """``text`` cut at pre-token boundaries where neighbouring chunks meet; behind a chunk that meets none, not cut."""
+    cuts, tail = [0], set()
+    for first in range(0, len(text), chunk):
+        end = first + chunk + overlap
+        found = boundaries(text[first:end], pattern, 0, chunk + overlap, first + chunk >= len(text))
+        if first:
+            met = next((first + b for b in found if b < overlap and b in tail), None)
+            if met is None:
+                break
+            cuts.append(met)
+        tail = {b - chunk for b in found if b >= chunk}
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
+
 def _cut(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(row, doc_id, chunk, last, slice) of the long texts."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +134,11 @@ def stitched_pieces(docs: DataFrame, pattern: str, chunk: int, overlap: int) ->
         .select("row", "doc_id", "piece", F.array_join(F.col("parts.part"), "").alias("part"))
 
 
-def _encode_rows(rows: DataFrame, keep: list[str], text: str, path: str, pattern: str, digest: bool) -> DataFrame:
-    """``keep`` plus ids and decoded bytes of ``text``, or plus n_tokens and both digests."""
+def _encode_rows(rows: DataFrame, keep: list[str], text: str, path: str, pattern: str, overlap: int, digest: bool) -> DataFrame:
+    """``keep`` plus ids and decoded bytes of ``text``, or plus n_tokens and both digests; piece by piece."""
+    def encoded(bpe, value: str | None) -> list[int]:
+        return [i for piece in pieces(value or "", pattern, max(1, overlap), overlap // 4) for i in bpe.encode_ordinary(piece)]
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _encoding(path, pattern)
         decimal = _decimals(bpe.n_vocab)
@@ -128,14 +148,14 @@ def _encode_rows(rows: DataFrame, keep: list[str], text: str, path: str, pattern
             if digest:
                 counts, shas, raws = [], [], []
                 for t in texts:
-                    ids = bpe.encode_ordinary(t or "")
+                    ids = encoded(bpe, t)
                     counts.append(len(ids))
                     shas.append(hashlib.sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest())
                     raws.append(hashlib.sha256(bpe.decode_bytes(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(raws, pa.string())],
                                                  names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
             else:
-                ids = [bpe.encode_ordinary(t or "") for t in texts]
+                ids = [encoded(bpe, t) for t in texts]
                 raws = [bpe.decode_bytes(x) for x in ids]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.list_(pa.int32())), pa.array(raws, pa.binary())],
                                                  names=[*keep, "ids", "decoded"])
@@ -156,11 +176,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     path, pattern = path or default_ranks(), pattern or default_pattern()
     docs = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     long = F.length("text") > chunk
-    short = _encode_rows(docs.filter(~long), ["doc_id"], "text", path, pattern, digest)
+    short = _encode_rows(docs.filter(~long), ["doc_id"], "text", path, pattern, overlap, digest)
     rows = docs.withColumn("row", F.monotonically_increasing_id()).filter(long).select("row", "doc_id", "text")
-    pieces = _encode_rows(stitched_pieces(rows, pattern, chunk, overlap), ["row", "doc_id", "piece"], "part", path, pattern, False)
+    parts = _encode_rows(stitched_pieces(rows, pattern, chunk, overlap), ["row", "doc_id", "piece"], "part", path, pattern, overlap, False)
     # pieces are whole characters, so their bytes are text again
-    whole = pieces.groupBy("row").agg(
+    whole = parts.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.sort_array(F.collect_list(F.struct("piece", "ids", F.decode("decoded", "UTF-8").alias("bytes")))).alias("p")) \
         .select("doc_id", F.flatten("p.ids").alias("ids"), F.array_join("p.bytes", "").alias("decoded"))

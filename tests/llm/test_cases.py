@@ -77,6 +77,17 @@ def test_bpe_runs_without_a_common_boundary(spark, text):
     assert got.ids == whole.encode_ordinary(text) and bytes(got.decoded).decode() == text
 
 
+def test_bpe_short_texts_are_encoded_by_stitched_pieces(spark):
+    whole = bpe._encoding(bpe.default_ranks(), bpe.default_pattern())
+    texts = [("It's 12 o'clock,\n\n  she'll say 漢字 🙂.. " * 700)[:n] for n in (1024, 1400, 5000, 20_000)] + ["b " * 900 + "a" * 3000 + " c" * 900]
+    for text in texts:
+        cut = bpe.pieces(text, bpe.default_pattern(), 1024, 256)
+        assert "".join(cut) == text and [i for p in cut for i in whole.encode_ordinary(p)] == whole.encode_ordinary(text)
+        assert (len(cut) > 1) == (len(text) > 1024)
+    got = bpe.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.ids for r in got} == dict(enumerate(map(whole.encode_ordinary, texts)))
+
+
 def test_bpe_empty_table(empty):
     assert bpe.encode_documents(empty, digest=True).collect() == []
 
