@@ -2,7 +2,7 @@
 
 Texts become training sequences of at most ``capacity`` words.  A text longer than that is cut: its full pieces fill
 a bin each, its rest is packed.  A bin takes at most one piece of a source and of a duplicate cluster, so no sequence
-holds two texts of one source or two copies.  Pieces come largest first; open bins are ordered by the room they have
+holds two texts of one source or two copies (with ``near``, two near copies).  Pieces come largest first; open bins are ordered by the room they have
 left and carry bitmaps of their sources and clusters; the search starts at the first bin with enough room and goes on
 to the next larger ones until a compatible bin is found, which is the tightest.  None: a new bin.
 
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from peerscope.llm.minhash_dedup import near_duplicates
 from peerscope.llm.shared import stage, table
 
 CAPACITY = 2048
@@ -66,19 +67,27 @@ def best_fit(sizes: Sequence[int], sources: Sequence[object], clusters: Sequence
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, key: str = "doc_id",
-                   text: str = "text", source: str = "source", cluster: str | None = None) -> DataFrame:
+                   text: str = "text", source: str = "source", cluster: str | None = None, near: bool = False) -> DataFrame:
     """doc_id, piece, start_word, n_words, bin_id, bin_offset, source: where each piece of each text goes.
 
     Words are runs of bytes other than 0x20 and 0x09-0x0D.  ``cluster`` names a column of duplicate clusters; without
-    it equal texts are one.  Null and empty texts are pieces of 0 words; they and null sources conflict with nothing.
+    it equal texts are one, or with ``near`` the components of ``near_duplicates``, rows without an id included.  Null and empty texts are pieces of 0 words; they and null sources conflict with nothing.
     Repeated rows are packed each for itself, in different bins.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    kind = F.col(cluster).cast("string") if cluster else F.concat_ws("/", F.xxhash64(text), F.octet_length(text))
-    rows = stage(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), words.alias("size"),
-        F.col(source).cast("string").alias("source"), F.when(words > 0, kind).alias("cluster")), "pack-rows")
+    docs = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(text).alias("text"),
+        F.col(source).cast("string").alias("source"), (F.col(cluster).cast("string") if cluster else F.lit(None).cast("string")).alias("named"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    kind = F.col("named") if cluster else F.concat_ws("/", F.xxhash64("text"), F.octet_length("text"))
+    if near and not cluster:
+        docs = stage(docs, "pack-texts")
+        found = near_duplicates(docs, "row").select(F.col("doc_id").alias("row"), F.col("component_id").cast("string").alias("kind"))
+        rows = docs.select("row", "doc_id", words.alias("size"), "source").join(found, "row", "left")
+        rows = rows.select("row", "doc_id", "size", "source", F.when(F.col("size") > 0, F.col("kind")).alias("cluster"))
+    else:
+        rows = docs.select("row", "doc_id", words.alias("size"), "source", F.when(words > 0, kind).alias("cluster"))
+    rows = stage(rows, "pack-rows")
     shards = max(1, math.ceil(rows.count() / shard_rows))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -99,4 +108,5 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int =
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    """Where each piece of each document goes; a bin takes one of a group of near copies."""
+    return pack_documents(table(spark, sf_dir, "documents"), near=True)
