@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from peerscope.llm import ann, bpe, kdtree, line_dedup, minhash_dedup, packing, sharding, substring_dedup, toxicity, url_filter
+from peerscope.llm import (
+    ann, bpe, hard_negatives, kdtree, line_dedup, minhash_dedup, packing, sequence_packing, sharding, substring_dedup, toxicity, url_filter,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -16,10 +18,14 @@ QUERIES = {
     "op8_topk": kdtree.op8_topk,
     "op9_near_dedup": minhash_dedup.op9_near_dedup,
     "op10_sharding": sharding.op10_sharding,
-    "pipeline": corpus_pipeline.run,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_sequence_packing": sequence_packing.op13_sequence_packing,
 }
 
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
     "op8_topk": kdtree.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }
