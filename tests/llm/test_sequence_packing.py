@@ -72,7 +72,7 @@ def test_word_by_word_equals_the_tokenizer(monkeypatch, block):
     monkeypatch.setattr(packing, "BLOCK", block)
     monkeypatch.setattr(packing, "KNOWN_WORDS", 40)
     rng, t, path = random.Random(4), tokenizer(), packing.default_tokenizer()
-    letters = ["a", "B", "'s", "'", "!", "9", " ", "\n", "\t", "\r", " ", "́", "é", "ς", "Σ", "İ", "漢", "\x1c", "​", "<|endoftext|>", "ﬁ"]
+    letters = ["a", "B", "'s", "'", "!", "9", " ", "\n", "\t", "\r", " ", "́", "é", "ς", "Σ", "İ", "漢", "\x1c", "​", "<|endoftext|>", "ﬁ", ".", "..", "?!", "$%&*", ",", ":;"]
     for text in TEXTS + ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(400)]:
         ids = np.frombuffer(packing.encoded(text, path), dtype=packing._width(path)).tolist()
         assert ids == t.encode(text or "", add_special_tokens=False).ids, repr(text)
