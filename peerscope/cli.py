@@ -36,18 +36,21 @@ def cmd_ingest(a) -> int:
 
 
 def cmd_stream(a) -> int:
-    """Keep one file stream per business table running until interrupted."""
+    """Keep one file stream per business table running until interrupted.
+
+    Between two looks at the streams, files uploaded again under their old names are landed.
+    """
     from peerscope.sources.contracts import OLIST
-    from peerscope.streaming.file_ingest import start_ingest_stream, stem_glob
+    from peerscope.streaming.file_ingest import ingest_changed, start_ingest_stream, stem_glob
 
     spark = _session()
-    queries = []
-    for c in OLIST.values():
-        q, _ = start_ingest_stream(spark, a.landing, c, a.raw, f"{a.checkpoint.rstrip('/')}/{c.name}",
-                                   a.quarantine, glob=stem_glob(c.file_name), processing_time=a.every)
-        queries.append(q)
+    tables = [(c, f"{a.checkpoint.rstrip('/')}/{c.name}", stem_glob(c.file_name)) for c in OLIST.values()]
+    queries = [start_ingest_stream(spark, a.landing, c, a.raw, checkpoint, a.quarantine, glob=glob, processing_time=a.every)[0]
+               for c, checkpoint, glob in tables]
     try:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(a.again):
+            for c, checkpoint, glob in tables:
+                ingest_changed(spark, a.landing, c, a.raw, checkpoint, a.quarantine, glob=glob)
     finally:
         for q in queries:
             q.stop()
@@ -119,6 +122,7 @@ def main(argv=None) -> int:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--quarantine")
     st.add_argument("--every", default="1 minute")
+    st.add_argument("--again", type=float, default=600.0, help="seconds between two searches for files uploaded again")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--warehouse", required=True)

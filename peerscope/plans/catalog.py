@@ -58,6 +58,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "match_place_six": (X.match_place_six, S.MATCH_PLACE_SIX),
     "match_comparison_long": (X.match_comparison_long, S.MATCH_COMPARISON_LONG),
     "file_stream_ingest": (K.file_stream_ingest, S.FILE_STREAM_INGEST),
+    "staged_publish": (K.staged_publish, S.STAGED_PUBLISH),
+    "stream_corrections": (K.stream_corrections, S.STREAM_CORRECTIONS),
     "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
     "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),
     "place_labels": (M.place_labels, S.PLACE_LABELS),

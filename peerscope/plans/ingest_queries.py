@@ -1,4 +1,4 @@
-"""File-stream ingest over a landing folder written from a benchmark table."""
+"""Ingest over landing folders written from the benchmark tables: streams, corrections, runs that fail."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from peerscope.session import checkpoint_dir
-from peerscope.sources.contracts import TableContract
+from peerscope.sources.contracts import OLIST, TableContract
+from peerscope.sources.ingest import InvalidSource, ingest_landing
+from peerscope.sources.publish import Folders
 from peerscope.streaming.file_ingest import ingest_stream
 
 CUSTOMER = TableContract("customer", (
@@ -32,3 +34,90 @@ def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                   quarantine_root=f"{base}/quarantine")
     raw = spark.read.parquet(f"{base}/raw/customer")
     return raw.select(*[F.col(n) for n, _, _ in CUSTOMER.fields])
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _land_run(df: DataFrame, landing: str, contract: TableContract) -> None:
+    """One source of a landing folder, as a folder of CSV files."""
+    df.select(*contract.text_schema.fieldNames()).write.mode("overwrite").option("header", True).option("escape", '"') \
+        .csv(f"{landing}/{contract.file_name}")
+
+
+def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the raw layer holds after a good run, after one whose last table has no rows, and after its repetition.
+
+    ``customer`` lands as two sources, later runs with another city; ``phase`` numbers the runs.
+    """
+    base, root = _folder(spark, "runs"), sf_dir.rstrip("/")
+    customer, part = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("customer", "part"))
+    key = F.col("c_custkey").cast("string")
+
+    def customers(city: str) -> DataFrame:
+        return customer.select(key.alias("customer_id"), key.alias("customer_unique_id"), F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
+                               F.lit(city).alias("customer_city"), F.col("c_mktsegment").alias("customer_state"))
+
+    translation = part.select(F.col("p_type").alias("product_category_name"), F.lower("p_type").alias("product_category_name_english")).distinct()
+    seen = []
+    for phase, (city, words) in enumerate((("first", translation), ("second", translation.filter("false")), ("second", translation)), 1):
+        _land_run(customers(city), f"{base}/landing", OLIST["customers"])
+        _land_run(words, f"{base}/landing", OLIST["category_translation"])
+        try:
+            ingest_landing(spark, f"{base}/landing", f"{base}/raw", "2024-01-01")
+        except InvalidSource:
+            if phase != 2:
+                raise
+        raw = spark.read.parquet(f"{base}/raw/olist_customers").select(
+            F.lit(phase).alias("phase"), F.col("customer_id").cast("long").alias("customer_id"), "customer_zip_code_prefix", "customer_city")
+        raw.write.parquet(f"{base}/seen/phase={phase}")
+        seen.append(spark.read.parquet(f"{base}/seen/phase={phase}"))
+    return seen[0].union(seen[1]).union(seen[2])
+
+
+def _upload(spark: SparkSession, df: DataFrame, base: str, names: str, files: int = 3) -> None:
+    """Rows as ``files`` CSV files with fixed names in the landing folder, as an upload would leave them."""
+    aside, folders = f"{base}/aside-{uuid.uuid4().hex}", Folders(spark)
+    df.repartition(files).write.option("header", True).option("escape", '"').csv(aside)
+    written = [f for f in folders.children(aside) if f.endswith(".csv")]
+    for i, path in enumerate(written):
+        target = f"{base}/landing/{names}-{i}.csv"
+        if folders.exists(target):
+            folders.delete(target)
+        folders.move(path, target)
+
+
+def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1-K4: raw and quarantine rows of good, reordered, invalid and misnamed files, of which some are uploaded again.
+
+    ``customer`` lands in files of four kinds, two files a micro-batch.  The invalid files are corrected under their old
+    names, the good ones get new balances, and the last micro-batch is replayed as if the stream had died before its
+    commit.
+    """
+    base, rows = _folder(spark, "corrections"), spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    names = [n for n, _, _ in CUSTOMER.fields]
+    kind = F.pmod(F.col("c_custkey"), F.lit(4))
+
+    def of(n: int, *columns) -> DataFrame:
+        return rows.filter(kind == n).select(*(columns or names))
+
+    def run() -> None:
+        ingest_stream(spark, f"{base}/landing", CUSTOMER, f"{base}/raw", f"{base}/checkpoint", f"{base}/quarantine", glob="*.csv", max_files=2)
+
+    _upload(spark, of(0), base, "good")
+    _upload(spark, of(1, *reversed(names), F.lit("x").alias("more")), base, "reordered")
+    _upload(spark, of(2).withColumn("c_acctbal", F.lit("n/a")), base, "invalid")
+    _upload(spark, of(3).withColumnRenamed("c_acctbal", "balance"), base, "misnamed")
+    run()
+    _upload(spark, of(0).withColumn("c_acctbal", F.col("c_acctbal") + 1), base, "good")
+    _upload(spark, of(2), base, "invalid")
+    run()
+    folders = Folders(spark)
+    folders.delete(max(folders.children(f"{base}/checkpoint/commits"), key=lambda c: int(c.rsplit("/", 1)[1])))
+    run()
+    raw = spark.read.parquet(f"{base}/raw/customer").select(F.lit("raw").alias("place"), "c_custkey", "c_acctbal", F.lit("").alias("reason"))
+    aside = spark.read.parquet(f"{base}/quarantine/customer")
+    key = F.coalesce(F.col("c_custkey"), F.split("_line", ",")[0]).try_cast("long")  # none: a header line
+    reason = F.regexp_replace("_reason", "^[0-9]+ ", "")
+    return raw.union(aside.select(F.lit("quarantine"), key.alias("k"), F.lit(None).cast("double"), reason).filter("k IS NOT NULL"))

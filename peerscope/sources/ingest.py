@@ -1,24 +1,24 @@
 """Batch ingest: landed files -> validated, dated raw partitions.
 
-Every landed business file is read with its contract, validated over all rows
-(the first ``sample_rows`` before the rest, if given), checked for volume, and
-only then - when every table passed - written as the ``ingestion_date``
-partition of its raw folder.  API dumps (municipalities, census tables,
-payments panel) follow the same path with their readers.
+Every landed file is read once: its rows are typed and written aside while the same pass counts them, the ones that
+break the contract and the ones left out by rule.  Only when every table of the run passed are all of them published
+together as the ``ingestion_date`` partition of their raw folders; a run that fails leaves the raw layer as it was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.operators.quality import observe_discards
 from peerscope.sources import readers as R
 from peerscope.sources.contracts import CENSUS_TABLES, MUNICIPIO, OLIST, PIX, TableContract
+from peerscope.sources.publish import StagedRun
 from peerscope.sources.readers import InvalidSource
-from peerscope.sources.sinks import write_raw_partition
 
 __all__ = ["InvalidSource", "TableReport", "ingest_landing"]
 
@@ -32,19 +32,40 @@ class TableReport:
     discarded: int = 0  # rows left out by rule (M11)
 
 
-def _check(df: DataFrame, name: str, minimum: int, sample_rows: int | None) -> TableReport:
-    """One pass: total rows and invalid rows.
+@dataclass
+class Landed:
+    """One source as landed: contract columns, ``_valid``, and perhaps ``_discarded`` and a text of what is broken."""
+
+    source: str
+    path: str
+    rows: DataFrame
+    minimum: int
+    contract: TableContract | None = None  # still to be typed
+
 
-    ``sample_rows``: the head is looked at first, so that a file of the wrong
-    kind fails early; the other rows are validated all the same, because a
-    value that does not fit its type cannot be written.
+def _stage(run: StagedRun, landed: Landed, date: dt.date | str, sample_rows: int | None) -> TableReport:
+    """Write a source aside in one pass that also counts its rows, invalid rows and discarded rows.
+
+    ``sample_rows``: the head is looked at before, so that a large file of the
+    wrong kind fails early; all rows are validated all the same.
     """
+    df = landed.rows
+    broken = F.col(R.BAD) if R.BAD in df.columns else F.lit(None).cast("string")
+    left_out = F.col("_discarded") if "_discarded" in df.columns else F.lit(False)
+    invalid = ~left_out & ~F.col("_valid")
     if sample_rows:
-        invalid = df.limit(sample_rows).filter(~F.col("_valid")).count()
-        if invalid:
-            return TableReport(name, sample_rows, invalid, False)
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_valid")).alias("bad")).first()
-    return TableReport(name, int(r["n"]), int(r["bad"]), int(r["n"]) < minimum)
+        bad = df.limit(sample_rows).filter(invalid).count()
+        if bad:
+            return TableReport(landed.source, sample_rows, bad, False)
+    counted, counts = observe_discards(df, f"ingest_{landed.source}_{uuid.uuid4().hex}", left_out,
+                                       invalid=F.count_if(invalid), broken=F.max(broken))
+    kept = counted.filter(~left_out)
+    typed = landed.contract.typed(kept) if landed.contract else kept.drop("_valid", "_discarded", R.BAD)
+    n = run.write_partition(typed, landed.source, date, counts)
+    found = counts.get
+    if found["broken"] is not None:
+        raise R.broken_document(landed.path, found["broken"])
+    return TableReport(landed.source, n, int(found["invalid"]), n < landed.minimum, int(found["discarded"]))
 
 
 def landed_files(spark: SparkSession, landing: str) -> dict[str, str]:
@@ -65,39 +86,30 @@ def ingest_landing(
 
     Recognised: the business CSVs by file name, ``municipios.json``,
     ``censo_<table>.json`` and ``pix.json``; each is one file or a folder of
-    files, at any depth.  Unknown names are ignored (K2).
+    files, at any depth.  Unknown names are ignored (K2).  A broken document,
+    an invalid row or a source without rows stops the run, and nothing of it is
+    published.
     """
     date = ingestion_date or dt.datetime.now(tz=dt.timezone.utc).date()
-    names = landed_files(spark, landing)
-    staged: list[tuple[str, DataFrame, TableContract | None]] = []
-    reports: list[TableReport] = []
-
-    for contract in OLIST.values():
-        if contract.file_name in names:
-            df = R.read_csv_table(spark, names[contract.file_name], contract)
-            reports.append(_check(df, contract.raw_name, contract.min_rows, sample_rows))
-            staged.append((contract.raw_name, df, contract))
-    if "municipios.json" in names:
-        df = R.read_municipios_json(spark, names["municipios.json"])
-        reports.append(_check(df, "ibge_localidades", MUNICIPIO.min_rows, sample_rows))
-        staged.append(("ibge_localidades", df, None))
-    for table, minimum in CENSUS_TABLES.items():
-        fname = f"censo_{table}.json"
-        if fname in names:
-            df = R.read_sidra_json(spark, names[fname])
-            reports.append(_check(df, f"ibge_censo_{table}", minimum, sample_rows))
-            staged.append((f"ibge_censo_{table}", df, None))
-    if "pix.json" in names:
-        df, discarded = R.read_pix_json(spark, names["pix.json"])
-        report = _check(df, "bcb_pix", PIX.min_rows, sample_rows)
-        report.discarded = int(discarded.first()["descartados"])
-        reports.append(report)
-        staged.append(("bcb_pix", df, None))
-
-    bad = [r for r in reports if r.invalid]
-    if bad:
-        raise InvalidSource(f"invalid rows, nothing written: {[(r.source, r.invalid) for r in bad]}")
-    for name, df, contract in staged:
-        out = contract.typed(df) if contract is not None else df.drop("_valid")
-        write_raw_partition(out, raw_root, name, date)
+    with StagedRun(spark, raw_root) as run:
+        reports = [_stage(run, landed, date, sample_rows) for landed in recognised(spark, landing)]
+        bad = [r for r in reports if r.invalid]
+        if bad:
+            raise InvalidSource(f"invalid rows, nothing written: {[(r.source, r.invalid) for r in bad]}")
+        empty = [r.source for r in reports if not r.rows]
+        if empty:
+            raise InvalidSource(f"no rows, nothing written: {empty}")
+        if reports:
+            run.publish()
     return reports
+
+
+def recognised(spark: SparkSession, landing: str) -> list[Landed]:
+    """The sources found in a landing folder, by file name."""
+    paths = landed_files(spark, landing)
+    out = [Landed(c.raw_name, paths[c.file_name], R.read_csv_table(spark, paths[c.file_name], c), c.min_rows, c)
+           for c in OLIST.values() if c.file_name in paths]
+    dumps = [("municipios.json", "ibge_localidades", R.municipios_rows, MUNICIPIO.min_rows),
+             *((f"censo_{t}.json", f"ibge_censo_{t}", R.sidra_rows, n) for t, n in CENSUS_TABLES.items()),
+             ("pix.json", "bcb_pix", R.pix_rows, PIX.min_rows)]
+    return out + [Landed(source, paths[name], read(spark, paths[name]), minimum) for name, source, read, minimum in dumps if name in paths]

@@ -87,6 +87,7 @@ def flatten_municipios(nested: DataFrame) -> DataFrame:
         macro.getField("nome").alias("macroregiao_nome"),
         micro.getField("id").alias("microrregiao_id"), micro.getField("nome").alias("microrregiao_nome"),
         meso.getField("id").alias("mesorregiao_id"), meso.getField("nome").alias("mesorregiao_nome"),
+        *[F.col(c) for c in nested.columns if c == BAD],
     )
     required = [F.col(c).isNotNull() for c in MUNICIPIO.required]
     valid = required[0]
@@ -99,22 +100,32 @@ BAD = "_bad_document"
 
 
 def _documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Records of a JSON dump, one file or a folder of pages at any depth.
-
-    A document that does not parse is an error, not an absence of rows.
-    """
+    """Records of a JSON dump, one file or a folder of pages at any depth; ``BAD`` holds what does not parse."""
     full = StructType([*schema.fields, StructField(BAD, StringType())])
-    df = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", BAD).option("recursiveFileLookup", True).json(path))
-    broken = df.filter(F.col(BAD).isNotNull()).limit(1).collect()
+    return (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD).option("recursiveFileLookup", True).json(path))
+
+
+def broken_document(path: str, text: str) -> InvalidSource:
+    return InvalidSource(f"{path}: not a whole JSON document of the declared shape, from: {text[:80]!r}")
+
+
+def _whole(rows: DataFrame, path: str) -> DataFrame:
+    """The rows, if every document parsed: one that does not is an error, not an absence of rows."""
+    broken = rows.filter(F.col(BAD).isNotNull()).limit(1).collect()
     if broken:
-        raise InvalidSource(f"{path}: not a whole JSON document of the declared shape, from: {broken[0][BAD][:80]!r}")
-    return df.drop(BAD)
+        raise broken_document(path, broken[0][BAD])
+    return rows.drop(BAD)
+
+
+def municipios_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A2: flat municipality records with ``_valid`` and ``BAD``, nothing checked yet."""
+    return flatten_municipios(_documents(spark, path, MUNICIPIO_JSON))
 
 
 def read_municipios_json(spark: SparkSession, path: str) -> DataFrame:
     """A2: the municipality API dump (a JSON array of nested records)."""
-    return flatten_municipios(_documents(spark, path, MUNICIPIO_JSON))
+    return _whole(municipios_rows(spark, path), path)
 
 
 def parse_sidra(raw: DataFrame) -> DataFrame:
@@ -131,38 +142,60 @@ def parse_sidra(raw: DataFrame) -> DataFrame:
     for name in SIDRA.schema.fieldNames():
         c = F.col(name) if name in raw.columns else F.lit(None).cast("string")
         cols.append((sentinel_to_null(c) if name == "V" else c).alias(name))
+    cols += [F.col(c) for c in raw.columns if c == BAD]
     return body.select(*cols).withColumn("_valid", SIDRA.validity() & coded)
 
 
+def sidra_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A3: census records with ``_valid`` and ``BAD``, nothing checked yet."""
+    return parse_sidra(_documents(spark, path, SIDRA.text_schema))
+
+
 def read_sidra_json(spark: SparkSession, path: str) -> DataFrame:
     """A3: a census table dump (JSON array, first element is the header)."""
-    return parse_sidra(_documents(spark, path, SIDRA.text_schema))
+    return _whole(sidra_rows(spark, path), path)
 
 
+NO_ARRAY = "no array of records under 'value'"
 PIX_JSON = StructType([StructField("value", ArrayType(StructType(PIX.text_schema.fields)))])
 
 
+def pix_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A4: payment records with ``_valid``, ``_discarded`` and ``BAD``, nothing checked yet.
+
+    Values are read as text and held against the contract (``_valid``) before
+    they are typed, so a value that does not fit is an invalid row and not a
+    NULL.  Codes delivered as floats (``4311759.0``) become integers.
+    ``_discarded`` marks the records without municipality or state code.  A page
+    without its ``value`` array is one row that only has ``BAD``.
+    """
+    doc = _documents(spark, path, PIX_JSON)
+    said = F.coalesce(F.col(BAD), F.lit(NO_ARRAY))
+    rows = doc.select(F.when(F.col(BAD).isNotNull() | F.col("value").isNull(), said).alias(BAD), F.explode_outer("value").alias("r"))
+    rows = rows.filter(F.col(BAD).isNotNull() | F.col("r").isNotNull()).select(BAD, "r.*")  # an empty array has no rows
+    lost = F.col(BAD).isNull() & (F.col("Municipio_Ibge").isNull() | F.col("Estado_Ibge").isNull())
+    codes = ("Municipio_Ibge", "Estado_Ibge")
+    return rows.withColumn("_valid", PIX.validity()).withColumn("_discarded", lost).select(
+        *[F.col(n).try_cast(t).try_cast("long").alias(n) if n in codes else F.col(n).try_cast(t).alias(n)
+          for n, t, _ in PIX.fields], "_valid", "_discarded", BAD)
+
+
 def read_pix_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A4: OData payload -> rows; rows without municipality or state code drop.
 
-    Returns ``(rows, discarded_count_frame)``.  Values are read as text and
-    held against the contract (``_valid``) before they are typed, so a value
-    that does not fit is an invalid row and not a NULL.  Codes delivered as
-    floats (``4311759.0``) become integers.  Every page needs its ``value``
-    array; one without (an error document) is an error.
+    Returns ``(rows, discarded_count_frame)``.  Every page needs its ``value``
+    array; one without (an error document) is an error, and so is an empty
+    folder.
     """
     doc = _documents(spark, path, PIX_JSON)
-    pages = doc.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("bad")).first()
+    pages = doc.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("bad"), F.max(BAD).alias("text")).first()
+    if pages["text"] is not None:
+        raise broken_document(path, pages["text"])
     if not pages["n"] or pages["bad"]:
         raise InvalidSource(f"{path}: {pages['bad']} of {pages['n']} documents without an array of records under 'value'")
-    rows = doc.select(F.explode("value").alias("r")).select("r.*")
-    keep = F.col("Municipio_Ibge").isNotNull() & F.col("Estado_Ibge").isNotNull()
-    codes = ("Municipio_Ibge", "Estado_Ibge")
-    kept = rows.filter(keep).withColumn("_valid", PIX.validity()).select(
-        *[F.col(n).try_cast(t).try_cast("long").alias(n) if n in codes else F.col(n).try_cast(t).alias(n)
-          for n, t, _ in PIX.fields], "_valid")
-    discarded = rows.agg(F.count_if(~keep).alias("descartados"))
-    return kept, discarded
+    rows = pix_rows(spark, path)
+    kept = rows.filter(~F.col("_discarded")).drop("_discarded", BAD)
+    return kept, rows.agg(F.count_if("_discarded").alias("descartados"))
 
 
 # ------------------------------------------------------------ partitioned raw

@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.operators.quality import QualitySuite
-
-
-class EmptySnapshot(ValueError):
-    """A snapshot of no rows was to be landed."""
+from peerscope.sources import publish
+from peerscope.sources.publish import EmptySnapshot
 
 
 def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: dt.date | str | None = None,
@@ -71,14 +69,19 @@ def materialize(spark: SparkSession, df: DataFrame, layer: str, model: str, path
 
 
 def write_all_or_nothing(frames: Mapping[str, DataFrame], suites: Mapping[str, QualitySuite],
-                         root: str, ingestion_date=None) -> list[str]:
-    """Validate every table first; write only when all pass.
+                         root: str, ingestion_date: dt.date | str | None = None) -> list[str]:
+    """Check every table first, write all of them aside, and publish them together.
 
-    A failed gate raises before any write, so no partial run is published.
+    A failed gate, an empty table or a failed write leaves the raw layer as it was.
     """
-    for name, suite in suites.items():
+    for suite in suites.values():
         suite.enforce()
-    return [write_raw_partition(df, root, name, ingestion_date) for name, df in frames.items()]
+    if not frames:
+        return []
+    spark = next(iter(frames.values())).sparkSession
+    date = ingestion_date or dt.datetime.now(tz=dt.timezone.utc).date()
+    publish.write_all_or_nothing(spark, frames, root, date)
+    return [f"{root.rstrip('/')}/{name}" for name in frames]
 
 
 def append_new_rows(new: DataFrame, table_path: str, spark: SparkSession, hash_col: str = "row_hash") -> int:
