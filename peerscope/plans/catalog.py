@@ -59,6 +59,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "match_comparison_long": (X.match_comparison_long, S.MATCH_COMPARISON_LONG),
     "file_stream_ingest": (K.file_stream_ingest, S.FILE_STREAM_INGEST),
     "staged_publish": (K.staged_publish, S.STAGED_PUBLISH),
+    "gated_refresh": (K.gated_refresh, S.GATED_REFRESH),
     "stream_corrections": (K.stream_corrections, S.STREAM_CORRECTIONS),
     "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
     "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
+from peerscope.operators.quality import Check, QualityGateError, QualitySuite
 from peerscope.session import checkpoint_dir
 from peerscope.sources.contracts import OLIST, TableContract
 from peerscope.sources.ingest import InvalidSource, ingest_landing
 from peerscope.sources.publish import Folders
+from peerscope.sources.tables import AuditedTables
 from peerscope.streaming.file_ingest import ingest_stream
 
 CUSTOMER = TableContract("customer", (
@@ -121,3 +123,34 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.coalesce(F.col("c_custkey"), F.split("_line", ",")[0]).try_cast("long")  # none: a header line
     reason = F.regexp_replace("_reason", "^[0-9]+ ", "")
     return raw.union(aside.select(F.lit("quarantine"), key.alias("k"), F.lit(None).cast("double"), reason).filter("k IS NOT NULL"))
+
+
+def gated_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 + M10: what two tables serve after a good build, after one whose second table fails its gate, and after the next.
+
+    The tables are balances by customer and by nation; ``state`` also shows the version that the last build replaced.
+    """
+    warehouse, customer = f"{_folder(spark, 'gated')}/wh", spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
+    balances = {"first": F.abs("c_acctbal"), "failed": F.abs("c_acctbal") + 1, "second": F.abs("c_acctbal") + 2}
+
+    def states(tables: AuditedTables, state: str, read) -> DataFrame:
+        one = read("staging", "by_customer").select(F.lit(state).alias("state"), F.lit("customer").alias("level"), F.col("c_custkey").alias("id"), "cents")
+        return one.union(read("marts", "by_nation").select(F.lit(state), F.lit("nation"), "c_nationkey", "cents"))
+
+    out = []
+    for build, balance in balances.items():
+        with AuditedTables(spark, warehouse, catalog=False) as tables:
+            rows = tables.write(customer.select("c_custkey", "c_nationkey", F.round(balance * 100).cast("long").alias("cents")), "staging", "by_customer")
+            sums = rows.groupBy("c_nationkey").agg(F.sum("cents").alias("cents"))
+            sums = tables.write(sums.withColumn("cents", -F.col("cents")) if build == "failed" else sums, "marts", "by_nation")
+            try:
+                tables.audit(QualitySuite("by_nation", sums, [Check("positive", "expression", expression="cents >= 0")]))
+                tables.publish()
+            except QualityGateError:
+                if build != "failed":
+                    raise
+        if build != "first":
+            served = states(tables, f"after {build}", lambda layer, model: spark.read.parquet(tables.path(layer, model)))
+            served.write.parquet(f"{warehouse}_seen/{build}")
+            out.append(spark.read.parquet(f"{warehouse}_seen/{build}"))
+    return out[0].union(out[1]).union(states(tables, "replaced", tables.previous))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from peerscope.operators.quality import QualitySuite
 from peerscope.sources import publish
 from peerscope.sources.publish import EmptySnapshot
+from peerscope.sources.tables import qualified_name, with_comments
 
 
 def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: dt.date | str | None = None,
@@ -45,23 +46,16 @@ def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: d
     return path
 
 
-def qualified_name(layer: str, model: str) -> str:
-    """L2: layer -> schema naming."""
-    return f"{layer}.{model}"
-
-
 def materialize(spark: SparkSession, df: DataFrame, layer: str, model: str, path: str | None = None,
                 descriptions: Mapping[str, str] | None = None) -> str:
-    """B2: full-refresh table of a layer (``saveAsTable`` overwrite).
+    """B2: full-refresh table of a layer (``saveAsTable`` overwrite), without a gate; builds use ``AuditedTables``.
 
     With ``path`` the table is external at that location (shared storage).
     ``descriptions`` become the comments of the columns they name (Q4).
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     name = qualified_name(layer, model)
-    texts = descriptions or {}
-    described = df.select(*[F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in df.columns])
-    w = described.write.mode("overwrite").format("parquet")
+    w = with_comments(df, descriptions).write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
