@@ -6,6 +6,8 @@ appear only where the limit is the feature (the newest-days report).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from peerscope.plans import intermediate as I
 from peerscope.plans.benchmark_tables import (
     items, payments, place_dim, products, read, tables, to_double,
 )
+from peerscope.session import checkpoint_dir
+from peerscope.sources.append import append_new_rows
 
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 
@@ -375,12 +379,15 @@ EVENT_HASH_COLS = ["event_id", "user_id", "event_type", "props"]
 
 
 def incremental_append(spark, sf_dir):
-    """Q1: rows of a new batch whose fingerprint is not stored yet."""
+    """Q1: two batches are appended one after the other; of the second, only the rows not stored yet are added."""
     ev = read(spark, sf_dir, "events").withColumn("row_hash", row_hash(*EVENT_HASH_COLS))
     ts_type = ev.schema["ts"].dataType
-    existing = ev.filter(F.col("ts") < F.lit("2024-01-20").cast(ts_type)).select("row_hash")
-    batch = ev.filter(F.col("ts") >= F.lit("2024-01-15").cast(ts_type))
-    return batch.join(existing, "row_hash", "left_anti").select("event_id", "user_id", "event_type", "row_hash")
+    path = f"{checkpoint_dir(spark)}/append-{uuid.uuid4().hex}/events"
+    append_new_rows(ev.filter(F.col("ts") < F.lit("2024-01-20").cast(ts_type)), path, spark)
+    append_new_rows(ev.filter(F.col("ts") >= F.lit("2024-01-15").cast(ts_type)), path, spark)
+    stored = spark.read.parquet(path)
+    second = stored.select(F.max("append_id")).scalar()
+    return stored.filter(F.col("append_id") == second).select("event_id", "user_id", "event_type", "row_hash")
 
 
 def freshness_query(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Writers (B1-B3, Q1)."""
+"""Writers (B1-B3; Q1 is in ``append``)."""
 
 from __future__ import annotations
 
@@ -6,15 +6,17 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.operators.quality import QualitySuite
 from peerscope.sources import publish
+from peerscope.sources.append import append_new_rows
 from peerscope.sources.publish import EmptySnapshot
 from peerscope.sources.tables import qualified_name, with_comments
 
+__all__ = ["EmptySnapshot", "append_new_rows", "materialize", "qualified_name", "write_all_or_nothing", "write_raw_partition"]
+
 
 def write_raw_partition(df: DataFrame, root: str, source: str, ingestion_date: dt.date | str | None = None,
                         mode: str = "overwrite", batch_id: int | str | None = None) -> str:
@@ -76,23 +78,3 @@ def write_all_or_nothing(frames: Mapping[str, DataFrame], suites: Mapping[str, Q
     date = ingestion_date or dt.datetime.now(tz=dt.timezone.utc).date()
     publish.write_all_or_nothing(spark, frames, root, date)
     return [f"{root.rstrip('/')}/{name}" for name in frames]
-
-
-def append_new_rows(new: DataFrame, table_path: str, spark: SparkSession, hash_col: str = "row_hash") -> int:
-    """Q1: append only rows whose fingerprint is not stored yet, each fingerprint once.
-
-    The stored side contributes just its hash column to a left-anti join;
-    the number of appended rows is observed during the write (no extra pass).
-    Only a missing path counts as the first load; any other error is raised.
-    """
-    fresh = new.dropDuplicates([hash_col])
-    try:
-        stored = spark.read.parquet(table_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
-        fresh = fresh.join(stored.select(hash_col), hash_col, "left_anti")
-    obs = Observation(f"append_{uuid.uuid4().hex}")
-    fresh.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(table_path)
-    return int(obs.get["rows"])
