@@ -187,18 +187,16 @@ def common_business_schema(sources: Mapping[str, tuple[DataFrame, DataFrame]], p
     """Q3: plug-in business sources on one monthly schema.
 
     Each source is its adapter's rows (party, month, order key, revenue) and a
-    lookup party -> place.  A source is reduced per party, month and order
-    before it meets the lookup, so wide or hot parties are never shuffled
-    whole; a second level makes one row per order and place (an order may
-    have several parties), the third counts orders and sums revenue.
+    lookup party -> place.  The lookup comes first (broadcast when small; else
+    both sides come straight from their shuffles, and AQE splits a hot party),
+    then one aggregation makes one row per order and place (an order may have
+    several parties), and another, on its counts, sums them up.
     """
     from functools import reduce
 
     parts = []
     for name, (rows, places) in sources.items():
-        reduced = rows.groupBy(party, month, order_key).agg(F.sum(revenue).alias(revenue))
-        per_order = reduced.join(places.select(party, place), party).groupBy(place, month, order_key).agg(
-            F.sum(revenue).alias(revenue))
+        per_order = rows.join(places.select(party, place), party).groupBy(place, month, order_key).agg(F.sum(revenue).alias(revenue))
         parts.append(per_order.withColumn("fonte", F.lit(name)))
     both = reduce(lambda a, b: a.unionByName(b), parts)
     agg = both.groupBy(place, month, "fonte").agg(

@@ -3,7 +3,8 @@
 All joins are equi-joins and none is hinted: a side under ``spark.sql.autoBroadcastJoinThreshold`` by its measured
 size is broadcast by Spark, others are sort-merge joins.  AQE splits a skewed partition only where both sides come
 straight from a shuffle of their own; where a side comes out of an aggregation or a window, or a further join would
-have to be shuffled again for the split, ``salted_join`` divides the hot key instead.
+have to be shuffled again for the split, the hot key is divided instead: by ``skew_join``, which finds the hot keys with a
+heavy-hitter sketch and copies only their rows of the other side, or by ``salted_join``, which copies a small side whole.
 """
 
 from __future__ import annotations
@@ -31,6 +32,41 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], sprea
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+HEAVY_KEYS = 32  # keys a heavy-hitter sketch reports
+TRACKED_KEYS = 4096  # keys it keeps counts of
+HEAVY_SHARE = 1 / 128  # of all rows, from which on a key is divided
+
+
+def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> Column:
+    """The keys with at least ``share`` of the rows as one array, a scalar subquery over the key column alone.
+
+    A sketch of fixed size counts the frequent keys in one pass (its counts are
+    off by less than rows / ``TRACKED_KEYS``, so every heavy key is found); the
+    subquery runs with the query that uses it, not while the plan is built.
+    """
+    top = F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS}, {TRACKED_KEYS})")
+    counts = df.select(key).agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
+    enough = F.greatest(F.lit(2), F.ceil(F.col("n") * share))
+    return counts.select(F.transform(F.filter("top", lambda t: t["count"] >= enough), lambda t: t["item"])).scalar()
+
+
+def skew_join(big: DataFrame, small: DataFrame, on: str, spread: str, how: str = "inner", salts: int = SALTS,
+              keys_of: DataFrame | None = None, share: float = HEAVY_SHARE) -> DataFrame:
+    """Equality join that divides only the heavy keys of ``big``, by the hash of ``spread``, over ``salts`` tasks.
+
+    Of ``small`` only the rows of heavy keys are copied; all other rows join as
+    in a plain join.  ``keys_of``: a cheaper frame with the same distribution of
+    the key, if ``big`` is dear to compute.  ``how`` is inner or left.
+    """
+    heavy = heavy_keys(big if keys_of is None else keys_of, on, share)
+    is_heavy = F.coalesce(F.array_contains(heavy, F.col(on)), F.lit(False))
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    left = big.withColumn("_salt", F.when(is_heavy, salt).otherwise(F.lit(0)))
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = small.withColumn("_salt", F.explode(copies))
+    return left.join(right, [on, "_salt"], how).drop("_salt")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,

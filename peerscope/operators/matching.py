@@ -9,7 +9,7 @@ Plan of one match
 4. distances ``||L^T (x - t)||`` to the target vector ``t`` as plain column
    arithmetic with literals: no join, no Python per row, whole-stage codegen;
 5. the 10th percentile of the other candidates' distances (F15) - exact,
-   by counting value ranges that narrow down to the wanted ranks;
+   from a rank sketch and an exact count of what its bracket holds;
 6. top-k by (distance, id) with ``TakeOrderedAndProject`` (H1), ratio to
    the p10 and a label (N5, N6).
 """
@@ -17,11 +17,12 @@ Plan of one match
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import similarity_label
@@ -29,6 +30,8 @@ from peerscope.operators.aggregates import covariance_matrix
 from peerscope.operators.filters import complete_cases, require_min_rows
 from peerscope.operators.setops import stack_with_role
 from peerscope.operators.topk import top_k
+from peerscope.session import checkpoint_dir
+from peerscope.sources.publish import Folders
 
 # The six matching features and the one expressed in percent.
 FEATURES = (
@@ -123,47 +126,82 @@ def fit_metric(df: DataFrame, features: Sequence[str] = FEATURES, ridge: float =
 
 
 # ------------------------------------------------------------------ percentile
+SKETCH_SIZE = 16_384  # values a sketch keeps at least: up to so many are found from it exactly
+RANK_MARGIN = 0.002  # of all ranks; five times the error of a sketch of this size
+
+
 def exact_percentile(df: DataFrame, col: str, p: float) -> float | None:
     """Linear-interpolated percentile of ``col`` (F15), exact, one distributed path for any size.
 
     Same definition as ``numpy.percentile``: position ``p * (n - 1)`` in the
-    sorted non-NULL values, interpolated between its two neighbours.
-
-    Each pass splits the value range that holds a wanted rank into
-    ``PERCENTILE_STEPS`` equal steps and counts, with map-side combine, the
-    rows of each step with its smallest and largest value.  A step of one
-    value is the answer; otherwise its two ends are the next, strictly
-    smaller range.  No task holds or sorts the values, and at most
-    ``PERCENTILE_STEPS`` counts reach the driver.
+    sorted non-NULL values, interpolated between its two neighbours; a NaN among
+    the values makes it NaN.
+
+    The first pass over ``df`` counts its values and sketches their ranks (KLL);
+    the sketch brackets both neighbours between two values.  The second pass
+    counts what lies below the bracket and writes aside what lies in it, less
+    than half a percent of the values, in which both are then found in the same
+    way.  No task holds or sorts the values, and only a few numbers reach the
+    driver.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n, low, high = vals.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    n, nans, sketch = _sketch(vals)
     if not n:
         return None
+    if nans:
+        return math.nan
     pos = p * (n - 1)
     below = int(math.floor(pos))
-    above = min(below + 1, n - 1)
-    found = {r: _at_rank(vals, r, n, low, high) for r in sorted({below, above})}
-    return found[below] + (found[above] - found[below]) * (pos - below)
-
-
-PERCENTILE_STEPS = 4096
-
-
-def _at_rank(vals: DataFrame, rank: int, n: int, low: float, high: float) -> float:
-    """The value at a 0-based rank of ``v``, whose ``n`` values in [low, high] the rank counts from."""
-    v = F.col("v")
-    while low < high:
-        width = high / 2 - low / 2  # halves: the full range of doubles has no width
-        step = F.floor((v / 2 - F.lit(low / 2)) / F.lit(width) * F.lit(float(PERCENTILE_STEPS - 1))) if width else v
-        steps = vals.filter((v >= F.lit(low)) & (v <= F.lit(high))).groupBy(step.alias("step")).agg(
-            F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
-        for s in sorted(steps, key=lambda s: s["low"]):
-            if rank < s["n"]:
-                low, high = s["low"], s["high"]
-                break
-            rank -= s["n"]
-    return float(low)
+    low, high = _at_rank(vals, below, min(below + 1, n - 1), n, sketch)
+    return low if low == high else low + (high - low) * (pos - below)
+
+
+def _sketch(vals: DataFrame) -> tuple[int, int, bytearray]:
+    """One pass: number of values and of NaNs, and a sketch of their ranks (its size is fixed)."""
+    return tuple(vals.agg(F.count("v"), F.count_if(F.isnan("v")), F.kll_sketch_agg_double("v", SKETCH_SIZE)).first())
+
+
+def _quantiles(spark: SparkSession, sketch: bytearray, shares: Sequence[float]) -> list[float]:
+    """Values of a sketch at shares of all ranks; no job, the one row is folded."""
+    at = F.array(*[F.lit(min(1.0, max(0.0, float(s)))) for s in shares])
+    return spark.sql("SELECT 1").select(F.kll_sketch_get_quantile_double(F.lit(bytes(sketch)), at)).first()[0]
+
+
+def _at_rank(vals: DataFrame, first: int, last: int, n: int, sketch: bytearray) -> tuple[float, float]:
+    """The values at two neighbouring 0-based ranks of the ``n`` values.
+
+    Only what lies strictly between the bracket's ends is written aside, so
+    values that are repeated any number of times do not keep it large.
+    """
+    spark, margin, v = vals.sparkSession, RANK_MARGIN, F.col("v")
+    while n > SKETCH_SIZE:
+        low, high = _quantiles(spark, sketch, [first / n - margin, last / n + margin])
+        low = -math.inf if first <= margin * n else low
+        high = math.inf if last >= n - 1 - margin * n else high
+        path = f"{checkpoint_dir(spark)}/percentile-{uuid.uuid4().hex}"
+        inside = (v > low) & (v < high)
+        counts = Observation(f"percentile_{uuid.uuid4().hex}")
+        vals.observe(counts, F.count_if(v < low).alias("under"), F.count_if(v == low).alias("low"), F.count_if(inside).alias("inside"),
+                     F.count_if(v == high).alias("high")).filter(inside).write.parquet(path)
+        starts = counts.get["under"] + counts.get["low"]
+        ends = starts + counts.get["inside"]
+        try:
+            if counts.get["under"] <= first and last < ends + (counts.get["high"] if high > low else 0):
+                if last < starts:
+                    return low, low
+                if first >= ends:
+                    return high, high
+                a, b = max(first, starts) - starts, min(last, ends - 1) - starts
+                found = (high, high)
+                if ends > starts:
+                    bracket = spark.read.schema("v double").parquet(path)
+                    found = _at_rank(bracket, a, b, ends - starts, _sketch(bracket)[2])
+                return low if first < starts else found[0], high if last >= ends else found[1]
+        finally:
+            Folders(spark).delete(path)
+        margin *= 4  # the sketch was further off than it should be
+    found = _quantiles(spark, sketch, [(first + 0.5) / n, (last + 0.5) / n])  # it holds every value
+    return found[0], found[1]
 
 
 # -------------------------------------------------------------------- matching

@@ -30,9 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from peerscope.functions.columns import day_diff, is_present, on_time_flag, to_money
+from peerscope.functions.columns import is_present, to_money
 from peerscope.operators.dedup import latest_per_key
-from peerscope.operators.joins import salted_join
+from peerscope.operators.joins import skew_join
 from peerscope.plans import intermediate as I
 from peerscope.plans.marts import KPI_COLUMNS, order_kpis
 
@@ -125,10 +125,10 @@ def fact_orders(t: dict[str, DataFrame]) -> DataFrame:
         F.col("o_orderdate").alias("order_purchase_timestamp"),
     )
     # Customer and review are both one row per customer and are joined first;
-    # the orders meet them once, salted by order, so a customer with a third
-    # of the orders is divided.  Then comes the one join keyed by order (the
-    # line aggregate is already partitioned by it).
-    j = (salted_join(o, cust.join(rev, "customer_id", "left"), "customer_id", "order_id")
+    # the orders meet them once, and a customer with many orders is divided.
+    # Then comes the one join keyed by order (the line aggregate is already
+    # partitioned by it).
+    j = (skew_join(o, cust.join(rev, "customer_id", "left"), "customer_id", "order_id")
          .join(lines_agg, "order_id", "left"))
     purchase = F.col("order_purchase_timestamp")
     estimated = purchase + F.expr(f"INTERVAL {ESTIMATE_DAYS} DAYS")
@@ -139,10 +139,7 @@ def fact_orders(t: dict[str, DataFrame]) -> DataFrame:
         F.col("first_ship").alias("order_approved_at"),
         delivered_at.alias("order_delivered_customer_date"),
         estimated.alias("order_estimated_delivery_date"),
-        day_diff(purchase, "first_ship").alias("approval_days"),
-        day_diff(purchase, estimated).alias("estimated_delivery_days"),
-        day_diff(purchase, delivered_at).alias("delivery_days"),
-        on_time_flag(delivered_at, estimated).alias("is_on_time"),
+        *I.delivery_measures(purchase, F.col("first_ship"), estimated, delivered_at),
         "total_payment_value", "credit_card_value", "credit_card_installments", "boleto_value",
         "voucher_value", "payment_types_count",
         "items_count", "unique_products_count", "unique_sellers_count", "total_price",

@@ -16,7 +16,7 @@ from peerscope.functions.columns import (
 )
 from peerscope.operators.aggregates import distinct_counts, long_to_wide, mode_by_group, modes_by_group, pivot_agg
 from peerscope.operators.dedup import latest_per_key
-from peerscope.operators.joins import lookup_join, star_join
+from peerscope.operators.joins import lookup_join, salted_join, skew_join, star_join
 
 # Payment types of the business source (pivot columns).
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
@@ -211,6 +211,12 @@ def int_bcb_pix_municipio(pix: DataFrame, strict_dates: bool = True) -> DataFram
     )
 
 
+def delivery_measures(purchased: str | Column, approved: str | Column, estimated: str | Column, delivered: str | Column) -> list[Column]:
+    """The order fact's durations in days and whether delivery kept its date."""
+    return [day_diff(purchased, approved).alias("approval_days"), day_diff(purchased, estimated).alias("estimated_delivery_days"),
+            day_diff(purchased, delivered).alias("delivery_days"), on_time_flag(delivered, estimated).alias("is_on_time")]
+
+
 def int_fact_orders(
     orders: DataFrame,
     customers: DataFrame,
@@ -219,12 +225,15 @@ def int_fact_orders(
     items_agg: DataFrame,
     reviews_agg: DataFrame,
     review_key: str = "order_id",
+    order_keys: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order (E4 star join, J6 x3, C6).
 
+    Customers meet their zip code first, so the orders move twice: once by
+    customer, where customers with many orders are divided (``order_keys`` is
+    any cheaper frame with the orders' ``customer_id``), and once by order.
     Children are pre-aggregated to one row per order, so the left joins
-    cannot fan out; their hash partitioning on ``order_id`` is reused by
-    the joins, so only the order side is shuffled.
+    cannot fan out; their hash partitioning on ``order_id`` is reused.
     """
     c = customers.select("customer_id", "customer_unique_id", "customer_zip_code_prefix",
                          "customer_state", "customer_city")
@@ -233,8 +242,8 @@ def int_fact_orders(
         F.col("geolocation_lat").alias("customer_lat"),
         F.col("geolocation_lng").alias("customer_lng"),
     )
-    base = orders.join(c, "customer_id", "inner")
-    base = lookup_join(base, g, "customer_zip_code_prefix", "left")
+    c = salted_join(c, g, "customer_zip_code_prefix", "customer_id", how="left")  # one row a zip code: small
+    base = skew_join(orders, c, "customer_id", "order_id", keys_of=order_keys)
     joined = star_join(base, [
         (payments_agg, "order_id", "left"),
         (items_agg, "order_id", "left"),
@@ -246,10 +255,7 @@ def int_fact_orders(
         p, "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
         "order_estimated_delivery_date",
         "customer_zip_code_prefix", "customer_state", "customer_city", "customer_lat", "customer_lng",
-        day_diff(p, "order_approved_at").alias("approval_days"),
-        day_diff(p, "order_estimated_delivery_date").alias("estimated_delivery_days"),
-        day_diff(p, "order_delivered_customer_date").alias("delivery_days"),
-        on_time_flag("order_delivered_customer_date", "order_estimated_delivery_date").alias("is_on_time"),
+        *delivery_measures(p, "order_approved_at", "order_estimated_delivery_date", "order_delivered_customer_date"),
         "total_payment_value", "credit_card_value", "credit_card_installments", "boleto_value",
         "voucher_value", "debit_card_value", "not_defined_value", "payment_types_count",
         "items_count", "unique_products_count", "unique_sellers_count", "total_price",

@@ -79,7 +79,8 @@ def _places(t) -> DataFrame:
 def _fact(t, geo: DataFrame) -> DataFrame:
     return I.int_fact_orders(
         _orders(t), _customers(t), geo, I.int_olist_order_payments_agg(STAGING["stg_order_payments"](t)),
-        I.int_olist_order_items_agg(STAGING["stg_order_items"](t), STAGING["stg_products"](t)), _reviews(t))
+        I.int_olist_order_items_agg(STAGING["stg_order_items"](t), STAGING["stg_products"](t)), _reviews(t),
+        order_keys=R.landed(t, R.ORDERS))
 
 
 def _mart(t) -> DataFrame:

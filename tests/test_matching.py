@@ -105,3 +105,43 @@ def test_comparison_long_and_result_table(spark):
     assert t.value == pytest.approx(df.filter("id = 0").first().f3 * 100)
     tab = MT.result_table(res, "id", "name", "uf").collect()
     assert [r["rank"] for r in tab] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("kind", ["normal", "few values", "two values", "one value", "mostly one", "with infinities", "tiny and huge"])
+def test_percentile_beyond_the_sketch(spark, monkeypatch, kind):
+    """More values than a sketch holds: brackets, ties on both sides of a rank, extreme values."""
+    monkeypatch.setattr(MT, "SKETCH_SIZE", 64)
+    monkeypatch.setattr(MT, "RANK_MARGIN", 0.05)
+    rng = np.random.default_rng(3)
+    n = 3000
+    x = {"normal": rng.normal(size=n), "few values": rng.integers(0, 7, n).astype(float), "two values": np.repeat([1.0, 2.0], n // 2),
+         "one value": np.full(n, 5.0), "mostly one": np.where(rng.random(n) < 0.9, 3.0, rng.normal(size=n)),
+         "with infinities": np.concatenate((np.full(40, -np.inf), rng.normal(size=n - 80), np.full(40, np.inf))),
+         "tiny and huge": np.exp(rng.normal(0, 100, n)) * rng.choice([-1, 1], n)}[kind]
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(x)], "v double").repartition(4)
+    for p in (0.0, 0.0003, 0.1, 0.5, 0.77, 0.9999, 1.0):
+        ranked = np.sort(x)
+        pos = p * (n - 1)
+        low, high = ranked[int(pos)], ranked[min(int(pos) + 1, n - 1)]
+        want = low if low == high else low + (high - low) * (pos - int(pos))
+        assert MT.exact_percentile(df, "v", p) == pytest.approx(want, rel=1e-12)
+
+
+def test_percentile_takes_two_passes(spark, tmp_dir, monkeypatch):
+    import os
+
+    monkeypatch.setattr(MT, "SKETCH_SIZE", 1024)
+    path = os.path.join(tmp_dir, "values")
+    spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    want = np.percentile([r.v for r in df.collect()], 10)
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def scans():
+        found = store.executionsList()
+        return sum(path in found.apply(i).physicalPlanDescription() for i in range(found.size()))
+
+    before = scans()
+    assert MT.exact_percentile(df, "v", 0.1) == pytest.approx(want, rel=1e-12)
+    assert scans() - before == 2
+    assert MT.exact_percentile(df.union(spark.createDataFrame([(float("nan"),)], "v double")), "v", 0.1) != want

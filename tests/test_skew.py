@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from peerscope.operators import joins
 from peerscope.operators.aggregates import distinct_counts, mode_by_group
 from peerscope.operators.dedup import latest_per_key
 
@@ -77,3 +78,73 @@ def test_exact_sums_under_skew(skewed):
     want = dict(con.execute(
         "SELECT k, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM s GROUP BY k").fetchall())
     assert got == want
+
+
+# --- joins that divide heavy keys only -----------------------------------------
+
+def test_heavy_keys_are_found_and_no_others(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "warm").when(F.col("id") % 7 == 2, None)
+                                    .otherwise(F.col("id").cast("string")).alias("k"))
+    keys = spark.range(1).select(joins.heavy_keys(df, "k").alias("h")).first().h
+    assert {k for k in keys if k is not None} == {"hot", "warm"}
+    assert spark.range(1).select(joins.heavy_keys(df.filter("false"), "k").alias("h")).first().h in (None, [])
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_the_plain_join(spark, how):
+    big = spark.range(6000).select(F.col("id").alias("o"), F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 1, None)
+                                   .otherwise(F.col("id") % 4000).alias("k"))
+    small = spark.range(0, 3000, 1).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = small.union(spark.createDataFrame([(7, -1), (None, 5)], "k long, v long"))  # a hot key twice, and a null
+    got, want = joins.skew_join(big, small, "k", "o", how), big.join(small, "k", how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_only_heavy_keys_are_copied_and_divided(spark):
+    """A third of the rows has one key: its rows go to several tasks, and of the other side one row is copied."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(24_000).select(F.col("id").alias("o"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+        small = spark.range(24_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+
+        def most(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+        divided = joins.skew_join(big, small, "k", "o")
+        assert most(big.join(small, "k")) > 8000 and most(divided) < 4000
+        copies = divided._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate explode" in copies
+        heavy = joins.heavy_keys(big, "k")
+        n = small.select(F.when(F.array_contains(heavy, F.col("k")), 8).otherwise(1).alias("n")).agg(F.sum("n")).first()[0]
+        assert n == 24_000 + 7
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_order_fact_with_a_hot_customer_and_a_hot_zip(spark, monkeypatch):
+    """P24 on the fixture with a customer who holds a third of the orders: the same rows, joined once by customer."""
+    from peerscope.plans import intermediate as I
+    from peerscope.plans.layers import LayeredBuild
+    from tests.fixture_raw import build
+
+    raw = build(spark)
+    one = raw["olist_orders"].first()
+    more = spark.range(60).select(F.concat(F.lit("hot"), "id").alias("order_id"), F.lit(one.customer_id).alias("customer_id"))
+    rest = raw["olist_orders"].filter(F.col("order_id") == one.order_id).drop("order_id", "customer_id")
+    hot = raw["olist_orders"].unionByName(more.crossJoin(rest))
+    b = LayeredBuild(spark, enforce=False)
+    models = b.run(dict(raw, olist_orders=hot))
+    asked = []
+    monkeypatch.setattr(I, "skew_join", lambda big, small, on, spread, **k: asked.append(on) or joins.skew_join(big, small, on, spread, **k))
+    fact = I.int_fact_orders(*(models[n] for n in (
+        "stg_olist_orders", "stg_olist_customers", "int_olist_geolocation", "int_olist_order_payments_agg",
+        "int_olist_order_items_agg", "int_olist_order_reviews_agg")))
+    assert asked == ["customer_id"]
+    plain = models["stg_olist_orders"].join(models["stg_olist_customers"].select("customer_id", "customer_unique_id"), "customer_id")
+    assert sorted((r.order_id, r.customer_unique_id) for r in fact.collect()) == sorted((r.order_id, r.customer_unique_id) for r in plain.collect())
+    assert fact.filter(F.col("customer_id") == one.customer_id).count() > 60
