@@ -59,11 +59,17 @@ def cmd_stream(a) -> int:
 
 def cmd_build(a) -> int:
     from peerscope.plans.layers import LayeredBuild
-    from peerscope.sources.contracts import RAW_SOURCES
+    from peerscope.sources.contracts import RAW_SOURCES, SNAPSHOT_SOURCES
+    from peerscope.sources.publish import finish_publishing
     from peerscope.sources.readers import SourceRegistry
 
     spark = _session()
-    raw = SourceRegistry(spark, a.raw).register(RAW_SOURCES)
+    finish_publishing(spark, a.raw)
+    registry = SourceRegistry(spark, a.raw, a.min_share)
+    raw = registry.register(RAW_SOURCES, SNAPSHOT_SOURCES)
+    for source, choice in registry.chosen.items():
+        for value, reason in choice.passed_over:
+            print(f"warn {source}: snapshot {value} passed over ({reason}), {choice.value} taken")
     b = LayeredBuild(spark, enforce=True, enforce_volume=not a.no_volume_tests, materialize_layers=True,
                      warehouse=a.warehouse)
     b.run(raw, profile_year=a.year)
@@ -128,6 +134,7 @@ def main(argv=None) -> int:
     b.add_argument("--warehouse", required=True)
     b.add_argument("--year", type=int, default=2018)
     b.add_argument("--no-volume-tests", action="store_true")
+    b.add_argument("--min-share", type=float, default=0.0, help="a newest snapshot below this share of the one before is passed over")
     m = sub.add_parser("match")
     m.add_argument("--warehouse", required=True)
     m.add_argument("--place", type=int, required=True)

@@ -13,6 +13,7 @@ from peerscope.plans import matching_queries as X
 from peerscope.plans import model_queries as Q
 from peerscope.plans import model_sql
 from peerscope.plans import oracle_sql as S
+from peerscope.plans import source_queries as R
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +65,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "staging_orders": (M.staging_orders, S.STAGING_ORDERS),
     "staging_customers": (M.staging_customers, S.STAGING_CUSTOMERS),
     "place_labels": (M.place_labels, S.PLACE_LABELS),
+    **{name: (query, getattr(S, name.upper())) for name, query in R.QUERIES.items()},
     **{name: (query, model_sql.ORACLE_SQL[name]) for name, query in Q.QUERIES.items()},
 }
 

@@ -153,6 +153,8 @@ RAW_SOURCES = (
     "olist_geolocation", "olist_products", "olist_sellers",
     "bcb_pix", "ibge_localidades", "ibge_censo_9514", "ibge_censo_10295", "ibge_censo_9936",
 )
+# Those of which staging takes the newest snapshot only.
+SNAPSHOT_SOURCES = ("bcb_pix", "ibge_localidades", "ibge_censo_9514", "ibge_censo_10295", "ibge_censo_9936")
 # ----------------------------------------------------------------------------
 
 

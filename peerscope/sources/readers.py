@@ -6,12 +6,17 @@ rows distributed; validation is a column predicate over every row.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from peerscope.functions.columns import sentinel_to_null
 from peerscope.sources.contracts import MUNICIPIO, PIX, SIDRA, TableContract
+from peerscope.sources.publish import Folders
 
 
 class InvalidSource(ValueError):
@@ -207,12 +212,70 @@ def read_partitioned(spark: SparkSession, root: str, partition_col: str = "inges
     return df
 
 
+@dataclass(frozen=True)
+class SnapshotChoice:
+    """The snapshot that a reader takes, and the newer ones it passes over, with the reason."""
+
+    path: str
+    value: str
+    rows: int
+    passed_over: tuple[tuple[str, str], ...] = ()
+
+
+def snapshot_values(spark: SparkSession, root: str, partition_col: str = "ingestion_date") -> list[str]:
+    """Partition values of a source, newest first, from the folder listing alone."""
+    names = (p.rsplit("/", 1)[1] for p in Folders(spark).children(root))
+    return sorted((n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}=")), reverse=True)
+
+
+def _rows_by_footers(spark: SparkSession, path: str) -> int | str:
+    """Rows of a snapshot; no column is read, so the counts come from the files' footers.  A text says why there are none."""
+    try:
+        return spark.read.parquet(path).count()
+    except (PySparkException, Py4JJavaError) as e:  # a footer that is none is not converted to a Spark error
+        return f"unreadable: {e.getCondition() if isinstance(e, PySparkException) else type(e).__name__}"
+
+
+def choose_snapshot(spark: SparkSession, root: str, partition_col: str = "ingestion_date", min_rows: int = 1,
+                    min_share: float = 0.0) -> SnapshotChoice | None:
+    """The newest snapshot with ``min_rows`` rows and ``min_share`` of the rows of the one before it.
+
+    Decided from the folder listing and footers: normally two snapshots'
+    footers are looked at and no data.  An unreadable, empty or shrunken newest
+    snapshot is passed over.  None: there is no valid snapshot.
+    """
+    values, passed = snapshot_values(spark, root, partition_col), []
+    rows: dict[str, int | str] = {}
+
+    def count(value: str) -> int | str:
+        if value not in rows:
+            rows[value] = _rows_by_footers(spark, f"{root.rstrip('/')}/{partition_col}={value}")
+        return rows[value]
+
+    for i, value in enumerate(values):
+        n = count(value)
+        older = next((m for v in values[i + 1:] if isinstance(m := count(v), int) and m >= min_rows), 0) if min_share else 0
+        if isinstance(n, str):
+            passed.append((value, n))
+        elif n < min_rows or n < min_share * older:
+            passed.append((value, f"{n} rows"))
+        else:
+            return SnapshotChoice(f"{root.rstrip('/')}/{partition_col}={value}", value, n, tuple(passed))
+    return None
+
+
 class SourceRegistry:
-    """Logical source name -> raw folder, registered as temp views."""
+    """Logical source name -> raw folder, registered as temp views.
+
+    ``min_share``: a newest snapshot with less than this share of the rows of
+    the one before it counts as broken (T11).
+    """
 
-    def __init__(self, spark: SparkSession, raw_root: str):
+    def __init__(self, spark: SparkSession, raw_root: str, min_share: float = 0.0):
         self.spark = spark
         self.raw_root = raw_root.rstrip("/")
+        self.min_share = min_share
+        self.chosen: dict[str, SnapshotChoice] = {}
 
     def path(self, source: str) -> str:
         return f"{self.raw_root}/{source}"
@@ -220,10 +283,20 @@ class SourceRegistry:
     def read(self, source: str) -> DataFrame:
         return read_partitioned(self.spark, self.path(source))
 
-    def register(self, sources) -> dict[str, DataFrame]:
+    def read_snapshot(self, source: str, partition_col: str = "ingestion_date") -> DataFrame:
+        """The newest valid snapshot alone; older ones are neither listed as files nor read."""
+        choice = choose_snapshot(self.spark, self.path(source), partition_col, min_share=self.min_share)
+        if choice is None:
+            raise InvalidSource(f"{self.path(source)}: no readable snapshot with rows")
+        self.chosen[source] = choice
+        df = self.spark.read.option("basePath", self.path(source)).parquet(choice.path)
+        return df.withColumn(partition_col, F.col(partition_col).cast("date"))
+
+    def register(self, sources, snapshots=()) -> dict[str, DataFrame]:
+        """Views ``raw_<source>``; of the sources among ``snapshots`` only the newest valid snapshot."""
         out = {}
         for s in sources:
-            df = self.read(s)
+            df = self.read_snapshot(s) if s in snapshots else self.read(s)
             df.createOrReplaceTempView(f"raw_{s}")
             out[s] = df
         return out
@@ -244,3 +317,28 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, corrupt_col:
     df = (spark.read.schema(full).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", corrupt_col).json(path))
     return df.withColumn("_valid", F.col(corrupt_col).isNull())
+
+
+def read_jsonl_variant(spark: SparkSession, path: str) -> DataFrame:
+    """Q5: JSON lines of any shape: ``record`` (a VARIANT, every field kept), ``_bad`` (the text of a line that is no object), ``_valid``.
+
+    Blank lines are left out.  Fields that no schema names survive in
+    ``record``; ``bind_fields`` types the ones a consumer knows.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("record", F.try_parse_json("value"))
+    ok = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
+    return lines.select(F.when(ok, F.col("record")).alias("record"), F.when(~ok, F.col("value")).alias("_bad"), ok.alias("_valid"))
+
+
+def bind_fields(df: DataFrame, schema: StructType, record: str = "record") -> DataFrame:
+    """Declared fields of a VARIANT record as typed columns; a value that does not fit its type is NULL."""
+    fields = [F.try_variant_get(F.col(record), f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return df.select("*", *fields)
+
+
+def observed_fields(df: DataFrame, record: str = "record") -> DataFrame:
+    """(field, type, n): the top-level fields that records have and the types observed in each."""
+    rows = df.select(F.col(record).alias("record"))
+    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("record").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)  # precisions and nested shapes left aside
+    return fields.groupBy(F.col("key").alias("field"), kind.alias("type")).agg(F.count(F.lit(1)).alias("n"))
