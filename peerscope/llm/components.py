@@ -12,6 +12,7 @@ from peerscope.operators.joins import salted_join
 
 MAX_STEPS = 60
 JUMPS = 3  # pointer jumps a step: chains shorten eightfold
+EDGES_A_TASK = 500_000
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,15 +52,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Null ends and loops link nothing.  A step deals the edges by their larger end, contracts each partition to a
     forest, stages it in the shared folder, and lets every pointer jump to its parent's parent several times; a hub's
-    pointers are spread over several tasks.  Only two flags reach the driver.
+    pointers are spread over several tasks.  A partition takes about ``EDGES_A_TASK`` edges, so what fits one task is
+    done in one step.  Only counts and two flags reach the driver.
     """
     name = edges.schema["a"].dataType.simpleString()
     current = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = stage(current, "edges")
+    parts = -(-current.count() // EDGES_A_TASK)
     for _ in range(MAX_STEPS):
-        stars = stage(current.repartition("a").mapInArrow(_contract, f"a {name}, b {name}, home boolean"), "stars")
+        stars = stage((current.repartition(1) if parts <= 1 else current.repartition(parts, "a")).mapInArrow(_contract, f"a {name}, b {name}, home boolean"), "stars")
         parents = stars.filter("home").select(F.col("a").alias("b"), F.col("b").alias("m"))
         current = stars.select("a", "b")
-        if stars.filter("NOT home").isEmpty() and current.join(parents, "b", "left_semi").isEmpty():
+        if parts <= 1 or stars.filter("NOT home").isEmpty() and current.join(parents, "b", "left_semi").isEmpty():
             forest = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return forest.union(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         for _ in range(JUMPS):

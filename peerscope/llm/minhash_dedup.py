@@ -13,8 +13,12 @@ similar to a class y that (i) is short enough for the P-shingles of both to suff
 or (ii) has a shingle outside P in common with x, which only the rarest of them need to tell.  Both are equality joins, and the two cases are all there are whatever
 P is: so a crowd of any size is finished without its pairs, and no link is lost to P.
 
-Candidates are confirmed on the full shingle sets of the texts in two rounds: first each class's best candidates, then
-every candidate that would still join two components.
+A large crowd is recognised before the trees: its classes share one of a few min-hashes.  Only ``STAND_INS`` of its
+classes go through the trees, and what meets one of them there becomes a member of the crowd.
+
+Candidates are confirmed on the full shingle sets of the texts: first each class's best candidates, then a crowd's strays
+against the hubs of its main component, then, in rounds, the most alike few of all pairs that would still join the same two
+components; pairs of components that are one by then are dropped.
 """
 
 from __future__ import annotations
@@ -41,6 +45,12 @@ LEAST_MATCHES = 77  # of 128 min-hashes; a similarity of 0.75 falls below with a
 GROUP_ROWS = 16_384
 SAMPLE = 64
 CENTRES = 8
+HUBS = 32  # classes of a crowd's main component that its strays are held against first
+CROWD_CLASSES = 256  # classes with one min-hash, from which on they are looked at as a crowd before the trees
+CROWD_COORDINATES = 3
+STAND_INS = 256  # classes that stand for a crowd in the trees
+LEAST_NEAR = 26  # of 128 min-hashes, from which on a class that meets a stand-in is held against the whole crowd
+FIRST_TRIES = 4  # pairs of two components confirmed in the first round, four times as many in each further one
 
 _FACTOR = mix(np.arange(COORDINATES, dtype=np.uint64), 21) | np.uint64(1)
 _SHIFT = mix(np.arange(COORDINATES, dtype=np.uint64), 22)
@@ -138,16 +148,21 @@ def _matches_of(rows: DataFrame, keep: str) -> DataFrame:
 
 
 def _compared(group: pa.Table) -> pa.Table:
-    """(a, b, est): the classes of each small node compared exhaustively; ``group`` holds many nodes."""
+    """(a, b, est): the classes of each small node compared exhaustively; ``group`` holds many nodes.
+
+    A pair with a crowd's stand-in needs fewer equal min-hashes.
+    """
     group = group.sort_by([("node", "ascending"), ("set", "ascending")])
     node = group["node"].to_numpy()
     sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
     starts = np.flatnonzero(np.diff(node, prepend=node[0] - 1))
+    stands = group["stands"].to_numpy()
     left, right, est = [], [], []
     for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
         x = sigs[start:end]
         equal = (x[:, None, :] == x[None, :, :]).sum(axis=2)
-        i, j = np.nonzero(np.triu(equal >= LEAST_MATCHES, 1))
+        least = np.where(stands[start:end, None] | stands[None, start:end], LEAST_NEAR, LEAST_MATCHES)
+        i, j = np.nonzero(np.triu(equal >= least, 1))
         left.append(i + start)
         right.append(j + start)
         est.append(equal[i, j])
@@ -164,8 +179,67 @@ def _consensus(group: pa.Table) -> pa.Table:
     return pa.table({"node": group["node"].slice(0, 1), "other": pa.array([mode.tobytes()], pa.binary()), "likeness": pa.array([equal.mean()])})
 
 
+def _sampled(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """The ``n`` rows of each ``by`` with the smallest hashes of their set; each task only ships its own smallest."""
+    nth = F.row_number().over(W.partitionBy(by).orderBy(F.xxhash64("set"), "set"))
+    return rows.withColumn("nth", nth).filter(F.col("nth") <= n).drop("nth")
+
+
+def _crowded_nodes(large: DataFrame) -> DataFrame:
+    """(node, other) of the nodes of (node, set, sig) whose classes are alike, with their most frequent min-hashes."""
+    modes = _sampled(large, "node", 16).groupBy("node").applyInArrow(_consensus, "node long, other binary, likeness double")
+    return modes.filter(F.col("likeness") >= ALIKE).select("node", "other")
+
+
+def recognise(sigs: DataFrame) -> DataFrame | None:
+    """Staged (crowd, set) of the classes of large crowds, each class once, before any tree; None: there is no such crowd.
+
+    Nearly all versions of one text share its min-hash at any coordinate, and all but a few at one of three.  Groups by
+    these min-hashes that have a class in common are one crowd, named by its smallest class.
+    """
+    coordinates = [F.lit(COORDINATES - 1 - c) for c in range(CROWD_COORDINATES)]
+    rows = sigs.select("set", "sig", F.explode(F.array(*[F.xxhash64(c, _min_hash(c)) for c in coordinates])).alias("node"))
+    sizes = stage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD_CLASSES).select("node"), "frequent")
+    if sizes.isEmpty():
+        return None
+    frequent = salted_join(rows, sizes, "node", "set")
+    crowded = stage(_crowded_nodes(frequent).select("node"), "crowded-groups")
+    if crowded.isEmpty():
+        return None
+    of_class = salted_join(frequent.select("node", "set"), crowded, "node", "set").groupBy("set").agg(F.sort_array(F.collect_set("node")).alias("nodes"))
+    of_class = stage(of_class, "recognised")
+    together = of_class.select(F.col("nodes")[0].alias("a"), F.explode("nodes").alias("b")).distinct()
+    roots = connected_components(together)
+    first = of_class.select("set", F.col("nodes")[0].alias("node"))
+    named = salted_join(first, roots, "node", "set", "left").select("set", F.coalesce("root", "node").alias("root"))
+    names = named.groupBy("root").agg(F.min("set").alias("crowd"))
+    return stage(salted_join(named, names, "root", "set").select("crowd", "set"), "crowd-members")
+
+
+def find_candidates(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged (a, b, est) candidates and staged (crowd, set) of all crowds, from (set, sig).
+
+    Of a crowd recognised beforehand only some stand-ins go through the trees; whatever meets one of them there is held
+    against the whole crowd, as a member of it.  Crowds that meet are one.
+    """
+    known = recognise(sigs)
+    if known is None:
+        return grow_trees(sigs.withColumn("stands", F.lit(False)))
+    stand_ins = stage(_sampled(known, "crowd", STAND_INS), "stand-ins")
+    others = sigs.join(known, "set", "left_anti").withColumn("stands", F.lit(False))
+    candidates, crowds = grow_trees(stage(others.union(sigs.join(stand_ins.select("set"), "set").withColumn("stands", F.lit(True))), "tree-classes"))
+    by_stand_in = stand_ins.select(F.col("crowd").alias("known"), "set")
+    near = _union([candidates.join(by_stand_in.withColumnRenamed("set", end), end).select(F.col("known").alias("crowd"), F.col(other).alias("set"))
+                   for end, other in (("a", "b"), ("b", "a"))])
+    rows = stage(known.union(crowds).union(near).distinct(), "all-crowds")
+    links = rows.join(by_stand_in, "set").select(F.col("crowd").alias("a"), F.col("known").alias("b"))
+    names = connected_components(links.distinct())
+    one = salted_join(rows, names.withColumnRenamed("node", "crowd"), "crowd", "set", "left").select(F.coalesce("root", "crowd").alias("crowd"), "set")
+    return candidates.filter(F.col("est") >= LEAST_MATCHES), stage(one.distinct(), "crowds")
+
+
 def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig)."""
+    """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig, stands)."""
     roots = F.array(*[F.xxhash64(F.lit(t), F.lit(c), _min_hash(F.lit(c))) for t in range(TREES) for c in range(t * BRANCHES, (t + 1) * BRANCHES)])
     # the first two levels at once: nearly every class shares some min-hash with strangers, few share two
     rows = _shared_nodes(_branch(sigs.select("set", "sig", F.explode(roots).alias("node"))))
@@ -173,11 +247,10 @@ def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for level in range(2, DEPTH + 1):
         small.append(rows.filter(F.col("n") <= SMALL_NODE).select("node", "set"))
         large = rows.filter(F.col("n") > SMALL_NODE).select("node", "set")
+        large = stage(large.join(sigs, "set").select("node", "set", "sig"), "large-nodes")
         if large.isEmpty():
             break
-        large = stage(large.join(sigs, "set").select("node", "set", "sig"), "large-nodes")
-        nth = F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("set")))
-        sample = large.withColumn("nth", nth).filter(F.col("nth") <= 16).drop("nth")
+        sample = _sampled(large, "node", 16)
         modes = sample.groupBy("node").applyInArrow(_consensus, "node long, other binary, likeness double")
         if level < DEPTH:
             modes = stage(modes, "modes")
@@ -191,9 +264,9 @@ def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = members.join(sigs, "set").withColumn("part", F.pmod("node", F.lit(groups))) \
         .groupBy("part").applyInArrow(_compared, "a binary, b binary, est int")
     candidates = stage(pairs.distinct(), "candidates")
-    if not crowds:
+    crowded = stage(_union(crowds), "crowded") if crowds else None
+    if crowded is None or crowded.isEmpty():
         return candidates, candidates.limit(0).select(F.col("a").alias("crowd"), F.col("b").alias("set"))
-    crowded = stage(_union(crowds), "crowded")
     # nodes of one crowd in different trees agree on the class nearest to their consensus: it names the crowd
     nearest = _matches_of(crowded, "node").groupBy("node").agg(F.max(F.struct("est", "set"))["set"].alias("crowd"))
     members = stage(salted_join(crowded, nearest, "node", "set").select("crowd", "set").distinct(), "crowds")
@@ -222,8 +295,7 @@ def _common(group: pa.Table) -> pa.Table:
 def profiles(crowds: DataFrame, texts: DataFrame) -> DataFrame:
     """Staged (crowd, set, n, inside, common, extra): of each class its size, its shingles in P, |P| and those outside P."""
     rows = crowds.join(texts, "set").select("crowd", "set", "text")
-    nth = F.row_number().over(W.partitionBy("crowd").orderBy(F.xxhash64("set")))
-    common = rows.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE).drop("nth") \
+    common = _sampled(crowds, "crowd", SAMPLE).join(texts, "set").select("crowd", "text") \
         .groupBy("crowd").applyInArrow(_common, "crowd binary, common binary")
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,14 +350,23 @@ def _rare_extras(crowd: DataFrame) -> DataFrame:
     return stage(kept.select("crowd", "set", "shingle"), "rare")
 
 
-def stray_pairs(crowd: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(a, b): what the classes outside a crowd's main component may still be similar to (cases i and ii above)."""
-    named = crowd.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+def _with_roots(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """Crowd members (crowd, set, n, inside, common) with their component."""
+    members = crowd.select("crowd", "set", "n", "inside", "common")
+    return members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+
+
+def strays_of(named: DataFrame) -> DataFrame:
+    """Staged (crowd, a, n_a, inside_a, root_a, main) of the classes outside their crowd's main component, the largest."""
     main = named.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("size")) \
         .groupBy("crowd").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
-    strays = salted_join(named, main, "crowd", "set").filter("root <> main").select(
-        "crowd", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("inside").alias("inside_a"), F.col("root").alias("root_a"))
-    strays = stage(strays, "strays")
+    return stage(salted_join(named, main, "crowd", "set").filter("root <> main").select(
+        "crowd", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("inside").alias("inside_a"), F.col("root").alias("root_a"), "main"), "strays")
+
+
+def stray_pairs(crowd: DataFrame, named: DataFrame, strays: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b, est): what the classes outside a crowd's main component may still be similar to (cases i and ii above)."""
+    strays = strays.drop("main")
     other = named.select("crowd", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("inside").alias("inside_b"), F.col("root").alias("root_b"))
 
     def step(n: Column) -> Column:
@@ -301,7 +382,7 @@ def stray_pairs(crowd: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFram
         .join(rare.join(strays.select("crowd", F.col("a").alias("set"), "root_a"), ["crowd", "set"]).withColumnRenamed("set", "a"), ["crowd", "shingle"]) \
         .filter("root_a <> root_b")
     pairs = first.select("a", "b").union(second.select("a", "b")).distinct()
-    return _alike(_with_sigs(pairs, sigs)).select("a", "b").distinct()
+    return _alike(_with_sigs(pairs, sigs)).distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -322,12 +403,51 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stage(whole.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a binary, b binary"), "links")
 
 
-def _different(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose ends lie in different components."""
+def _different(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
+    """The pairs (a, b, root_a, root_b, ...) whose ends lie in different components."""
     for end in ("a", "b"):
         known = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
         pairs = salted_join(pairs, known, end, "b" if end == "a" else "a", how="left")
-    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    pairs = pairs.withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")})
+    return pairs.filter("root_a <> root_b").select("a", "b", "root_a", "root_b", *more)
+
+
+def hub_pairs(named: DataFrame, strays: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b): the strays of the crowds with the most alike of ``HUBS`` classes of the main component, nearest to P."""
+    near = F.col("inside") / (F.col("n") + F.col("common") - F.col("inside"))
+    mains = strays.select("crowd", "main").distinct()
+    hubs = salted_join(named, mains, "crowd", "set").filter("root = main") \
+        .withColumn("nth", F.row_number().over(W.partitionBy("crowd").orderBy(near.desc(), "set"))) \
+        .filter(F.col("nth") <= HUBS).select("crowd", F.col("set").alias("b"))
+    found = _alike(_with_sigs(salted_join(strays.select("crowd", "a"), hubs, "crowd", "a"), sigs))
+    both = found.union(found.select("b", "a", "est")).join(strays.select("a").distinct(), "a", "left_semi")
+    best = both.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy(F.desc("est"), "b"))).filter(F.col("nth") <= FIRST_TRIES)
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components once ``links`` are added."""
+    return connected_components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+
+def confirm_in_rounds(rest: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """The components after all pairs (a, b, est) that could still join two of them were held against the full texts.
+
+    A link between two components is enough: of their pairs the most alike few are confirmed first, then four times as
+    many, and so on; pairs of components that are one by then are dropped.
+    """
+    tries = FIRST_TRIES
+    while True:
+        left = _different(rest, roots, "est")
+        order = W.partitionBy("x", "y").orderBy(F.desc("est"), "a", "b")
+        ends = left.withColumns({"x": F.least("root_a", "root_b"), "y": F.greatest("root_a", "root_b")})
+        ranked = stage(ends.withColumn("nth", F.row_number().over(order)).select("a", "b", "est", "nth"), "rest")
+        if ranked.isEmpty():
+            return roots
+        links = _confirmed(ranked.filter(F.col("nth") <= tries), texts)
+        rest, tries = ranked.filter(F.col("nth") > tries).select("a", "b", "est"), tries * 4
+        if not links.isEmpty():
+            roots = _merged(roots, links)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,21 +465,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = some.groupBy("set").agg(F.min(F.struct("doc_id", "body", "sig")).alias("rep"))
     classes = stage(classes.select("set", "rep.doc_id", "rep.body", "rep.sig"), "classes")
     sigs, reps = classes.select("set", "sig"), classes.select("set", "doc_id", "body")
-    candidates, crowds = grow_trees(sigs)
+    candidates, crowds = find_candidates(sigs)
     wanted = candidates.select("a").union(candidates.select("b")).union(crowds.select("set")).toDF("set").distinct().join(reps, "set")
     named = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     texts = stage(named.join(wanted, ["doc_id", "body"]).groupBy("set").agg(F.min("text").alias("text")), "texts")
-    crowd = profiles(crowds, texts)
+    crowd = None if crowds.isEmpty() else profiles(crowds, texts)
     best = candidates.groupBy("b").agg(F.max(F.struct("est", "a"))["a"].alias("a")).select("a", "b")
-    tried = stage(best.union(star_pairs(crowd, sigs)).distinct(), "tried")
+    tried = stage(best if crowd is None else best.union(star_pairs(crowd, sigs)).distinct(), "tried")
     links = _confirmed(tried, texts)
     roots = connected_components(links)
-    rest = _different(candidates.select("a", "b"), roots).union(stray_pairs(crowd, roots, sigs)).distinct()
-    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, texts)
-        if not more.isEmpty():
-            roots = connected_components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    untried = candidates
+    strays = None if crowd is None else strays_of(named := _with_roots(crowd, roots))
+    if strays is not None and not strays.isEmpty():
+        hubs = stage(hub_pairs(named, strays, sigs).join(tried, ["a", "b"], "left_anti"), "hub-pairs")
+        found = _confirmed(hubs, texts)
+        if not found.isEmpty():
+            roots = _merged(roots, found)
+            strays = strays_of(named := _with_roots(crowd, roots))
+        tried = tried.union(hubs)
+        if not strays.isEmpty():
+            untried = untried.union(stray_pairs(crowd, named, strays, sigs)).distinct()
+    roots = confirm_in_rounds(untried.join(tried, ["a", "b"], "left_anti"), roots, texts)
     labelled = reps.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     lowest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = stage(salted_join(labelled, lowest, "root", "set").select("set", "component_id"), "components")
