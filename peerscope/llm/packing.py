@@ -108,5 +108,5 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int =
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes; a bin takes one of a group of near copies."""
-    return pack_documents(table(spark, sf_dir, "documents"), near=True)
+    """Where each piece of each document goes; a bin takes one of a group of equal texts."""
+    return pack_documents(table(spark, sf_dir, "documents"))

@@ -273,15 +273,19 @@ def test_packing_places_every_word_once(docs, empty):
     assert packing.pack_documents(empty).collect() == []
 
 
-def test_op6_puts_near_copies_in_different_bins(spark, tmp_path):
+def test_copies_go_into_different_bins(spark, tmp_path):
+    """Near copies with ``near``; the query keeps equal texts apart."""
     base = " ".join(f"n{i}" for i in range(120))
     texts = [base, base + " one", base + " two", base.upper(), base, "far " * 3, "", None]
     data = [(None if i == 2 else i // 2, t, "en", f"s{i}", None if t is None else len(t)) for i, t in enumerate(texts)]
-    spark.createDataFrame(data, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
-    got = packing.op6_packing(spark, str(tmp_path)).collect()
+    docs = spark.createDataFrame(data, SCHEMA).coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = packing.pack_documents(docs, near=True).collect()
     assert sorted(r.source for r in got) == sorted(d[3] for d in data)
     alike = [r.bin_id for r in got if r.n_words > 100]
     assert len(alike) == 5 == len(set(alike)) == len({r.bin_id for r in got})
+    bins = {r.source: r.bin_id for r in packing.op6_packing(spark, str(tmp_path)).collect()}
+    assert bins["s0"] != bins["s4"] and len(set(bins.values())) == 2
 
 
 # --- 7 and 8 vectors -----------------------------------------------------------------------
