@@ -1,13 +1,15 @@
 """A stated query set against all vectors, in blocks: packing, pairing of blocks, merging of each query's best rows.
 
 Vectors are packed where they are read, up to ``BLOCK_ROWS`` of one dimension a block, and staged.  Query rows come
-from the same blocks, so a row knows itself by (block, place).  Blocks are dealt over ``lanes``; each lane gets a
-copy of every query block, so a task holds one block pair (tile) at a time and queries travel ``lanes`` times,
-whatever the number of vectors.  Per query only its k best rows of a tile leave the task.
+from the same blocks, so a row knows itself by (block, place).  Query blocks and blocks meet in a grid of tasks: a query
+block goes to every column of its row, a block to every row of its column, so both are copied about sqrt(tasks) times
+at most, whatever their number and that of the shuffle partitions.  A task holds one block pair (tile) at a time and
+takes its queries in strips.  Per query only its k best rows of a tile leave the task.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
@@ -22,6 +24,7 @@ from peerscope.llm.shared import stage
 
 BLOCK_ROWS = 8192
 OPEN_QUERY_BLOCKS = 64
+STRIP = 256  # queries of a tile at a time
 
 Build = Callable[[np.ndarray, np.ndarray], dict | None]
 
@@ -71,15 +74,22 @@ def pack(vectors: DataFrame, build: Build, name: str, vec_id: str, embedding: st
     return stage(rows.mapInArrow(packed, "block long, dim int, payload binary"), name)
 
 
+def grid(query_blocks: int, blocks: int, tasks: int) -> tuple[int, int]:
+    """(rows, columns) of a grid of at most about ``tasks`` cells that copies as few blocks as possible."""
+    columns = min(max(1, blocks), tasks, max(1, round(math.sqrt(tasks * max(1, blocks) / max(1, query_blocks)))))
+    return min(max(1, query_blocks), max(1, tasks // columns)), columns
+
+
 def best_of_tiles(blocks: DataFrame, every: int, k: int,
-                  search: Callable[[dict, dict, list], None], score_type: str, lanes: int | None = None) -> DataFrame:
+                  search: Callable[[dict, dict, list], None], score_type: str, tasks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k best candidates over all tiles, ties to the smaller vec_id.
 
     ``search(queries, candidates, best)`` updates ``best``, a (scores, ids) pair for each query, with one tile; what
     earlier tiles of the same task found is in it, so a bound goes on from tile to tile.
     """
     spark = blocks.sparkSession
-    lanes = lanes or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = blocks.count()
+    rows, columns = grid(n, n, tasks or 2 * spark.sparkContext.defaultParallelism)
 
     def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,16 +125,21 @@ def best_of_tiles(blocks: DataFrame, every: int, k: int,
                     open_blocks[origin] = asked, [none] * len(asked["at"])
                 open_blocks.move_to_end(origin)
                 asked, best = open_blocks[origin]
-                search(asked | {"own": asked["at"] if origin == block else np.full(len(asked["at"]), -1)}, candidates, best)
+                whole = asked | {"own": asked["at"] if origin == block else np.full(len(asked["at"]), -1)}
+                for start in range(0, len(best), STRIP):
+                    part = slice(start, start + STRIP)
+                    some = best[part]
+                    search({c: x[part] for c, x in whole.items()}, candidates, some)
+                    best[part] = some
                 if len(open_blocks) > OPEN_QUERY_BLOCKS:
                     yield done(next(iter(open_blocks)))
         for origin in list(open_blocks):
             yield done(origin)
 
-    every_lane = F.sequence(F.lit(0), F.lit(lanes - 1))
-    asked = blocks.mapInArrow(queries, "`from` long, dim int, queries binary").withColumn("lane", F.explode(every_lane))
-    dealt = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
-    found = asked.join(dealt, ["lane", "dim"]).select("from", "queries", "block", "payload") \
+    across = F.transform(F.sequence(F.lit(0), F.lit(columns - 1)), lambda j: F.pmod(F.xxhash64("from"), F.lit(rows)) * columns + j)
+    down = F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: i * columns + F.pmod(F.xxhash64("block"), F.lit(columns)))
+    asked = blocks.mapInArrow(queries, "`from` long, dim int, queries binary").withColumn("cell", F.explode(across))
+    found = asked.join(blocks.withColumn("cell", F.explode(down)), ["cell", "dim"]).select("from", "queries", "block", "payload") \
         .mapInArrow(tiles, f"row long, query_id long, vec_id long, score {score_type}")
     order = W.partitionBy("row", "query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \

@@ -24,8 +24,10 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_substring_dedup": substring_dedup.SQL,
     "op4_line_dedup": line_dedup.SQL,
     "op8_topk": kdtree.SQL,
+    "op9_near_dedup": minhash_dedup.SQL,
     "op11_vector_codes": vector_codes.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
 }

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from peerscope.llm.blocks import STRIP, grid
 from peerscope.llm.shared import stage, table
 from peerscope.llm.vector_codes import LONG, usable, vectors_of, whole_numbers
 
@@ -38,7 +39,6 @@ NEGATIVES = 10
 LOW, HIGH = 30, 90  # a negative's score, in percent of the positive's
 BLOCK_ROWS = 8192
 ANCHOR_ROWS = 2048  # of an anchor block, about
-STRIP = 256
 LEVELS = (1, 4, 16)
 SLACK = 1e-5  # of the product of two lengths: far above the rounding of the float summaries
 EXACT = float(1 << 53)
@@ -253,12 +253,6 @@ def anchor_blocks(blocks: DataFrame, every: int, anchor_rows: int) -> DataFrame:
     return stage(dealt.groupBy("anchor_block", "dim").applyInArrow(gathered, "anchor_block long, dim int, anchors binary"), "anchor-blocks")
 
 
-def grid(anchor_blocks_: int, blocks: int, tasks: int) -> tuple[int, int]:
-    """(rows, columns) of a grid of at most about ``tasks`` cells that copies as few blocks as possible."""
-    columns = min(max(1, blocks), tasks, max(1, round(math.sqrt(tasks * max(1, blocks) / max(1, anchor_blocks_)))))
-    return min(max(1, anchor_blocks_), max(1, tasks // columns)), columns
-
-
 def tiles(anchors: DataFrame, blocks: DataFrame, k: int, find: Callable[[dict, dict, list, int], None]) -> DataFrame:
     """(row, anchor_id, window, id, score): the best rows that ``find`` gathers in each window of each anchor.
 

@@ -3,7 +3,8 @@
 A shard is a block of vectors of whole numbers, split at the median of its widest dimension down to leaves of at most
 ``LEAF`` rows; every node has the tight bounding box of its rows.  The largest product a box allows, the sum over
 dimensions of max(q*low, q*high), bounds all rows below a node.  Each query goes through a tree best-first and stops
-when the best bound left is below its k-th score, which goes on from shard to shard of a task.
+when the best bound left is below its k-th score, which goes on from shard to shard of a task.  Where doubles can't hold
+the products exactly, bounds are rounded outwards and leaves are scored in Python integers.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ EVERY = 50
 LEAF = 256
 SCALE = 256
 EXACT = float(1 << 53)
+OUTWARDS = 1e-9  # of the sum of the products' sizes: far above the rounding of doubles
 LONG = (1 << 63) - 1
 
 
@@ -53,9 +55,12 @@ def tree(ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF) -> dict | None:
 def search_tree(asked: dict, c: dict, best: list, k: int = K) -> None:
     """All queries of a block through one shard's tree."""
     q, points, ids, nodes = asked["points"], c["points"], c["ids"], c["_nodes"].tolist()
-    if np.abs(q).max() * np.abs(points).max() * q.shape[1] >= EXACT:
-        return _search_wide(asked, c, best, k)
-    bounds = np.maximum(q, 0) @ c["_high"].T + np.minimum(q, 0) @ c["_low"].T
+    exact = np.abs(q).max() * np.abs(points).max() * q.shape[1] < EXACT
+    with np.errstate(over="ignore", invalid="ignore"):
+        bounds = np.maximum(q, 0) @ c["_high"].T + np.minimum(q, 0) @ c["_low"].T
+        if not exact:
+            bounds += OUTWARDS * (np.abs(q) @ np.maximum(np.abs(c["_high"]), np.abs(c["_low"])).T)
+            bounds[~np.isfinite(bounds)] = np.inf
     for i, own in enumerate(asked["own"].tolist()):
         scores, found = best[i]
         kth = scores[k - 1] if len(scores) == k else -np.inf
@@ -67,24 +72,18 @@ def search_tree(asked: dict, c: dict, best: list, k: int = K) -> None:
                 heapq.heappush(queue, (-bound[left], left))
                 heapq.heappush(queue, (-bound[right], right))
                 continue
-            product = points[start:end] @ q[i]
-            if start <= own < end:
-                product[own - start] = -np.inf
-            at = np.flatnonzero((product >= kth) & (product > -np.inf))
+            product = (points[start:end] @ q[i]).astype(np.int64) if exact else _held(points[start:end], q[i])
+            at = np.flatnonzero((product >= kth) & (np.arange(start, end) != own))
             if len(at):
-                scores, found = merge((scores, found), product[at].astype(np.int64), ids[start:end][at], k)
+                scores, found = merge((scores, found), product[at], ids[start:end][at], k)
                 kth = scores[k - 1] if len(scores) == k else -np.inf
         best[i] = scores, found
 
 
-def _search_wide(asked: dict, c: dict, best: list, k: int) -> None:
-    """Products that doubles can't hold exactly: whole-number arithmetic on every row, scores held to 64 bits."""
-    points = [[int(x) for x in row] for row in c["points"]]
-    for i, own in enumerate(asked["own"].tolist()):
-        query = [int(x) for x in asked["points"][i]]
-        product = [max(-LONG, min(LONG, sum(a * b for a, b in zip(query, row, strict=True)))) for row in points]
-        keep = np.array([j for j in range(len(points)) if j != own], dtype=np.int64)
-        best[i] = merge(best[i], np.array(product, dtype=np.int64)[keep], c["ids"][keep], k)
+def _held(points: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Products in whole numbers of any size, held to 64 bits."""
+    q = [int(x) for x in query]
+    return np.array([max(-LONG, min(LONG, sum(a * int(b) for a, b in zip(q, row, strict=True)))) for row in points], dtype=np.int64)
 
 
 def top_products(vectors: DataFrame, k: int = K, every: int = EVERY, vec_id: str = "vec_id",

@@ -517,3 +517,25 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(words[i : i + 4], ' ') AS shingle FROM texts, range(1, greatest(2, len(words) - 3)) t(i) WHERE len(words) > 0
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS shared FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.r <> y.r GROUP BY a, b) p
+  JOIN sizes m ON m.r = a JOIN sizes n ON n.r = b WHERE 100 * shared >= 75 * (m.n + n.n - shared)
+), reached(a, b) AS (
+  SELECT r, r FROM texts UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), components AS (
+  SELECT a AS r, min(doc_id) AS component_id FROM reached JOIN texts ON texts.r = reached.b GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM texts JOIN components USING (r) LEFT JOIN sizes USING (r)
+"""

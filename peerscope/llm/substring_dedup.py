@@ -199,3 +199,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT r, s, array_to_string(words[s : s + 34], ' ') AS run FROM texts, range(1, greatest(1, len(words) - 33)) t(s)
+), repeated AS (
+  SELECT r, s FROM windows WHERE run IN (SELECT run FROM windows GROUP BY run HAVING count(*) > 1)
+), covered AS (
+  SELECT r, list(DISTINCT p) AS places FROM (SELECT r, unnest(range(s, s + 35)) AS p FROM repeated) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM texts LEFT JOIN covered USING (r)
+"""

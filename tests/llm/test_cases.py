@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from peerscope.llm import ann, bpe, kdtree, line_dedup, minhash_dedup, packing, sharding, substring_dedup, toxicity, url_filter
+from peerscope.llm import ann, blocks, bpe, kdtree, line_dedup, minhash_dedup, packing, sharding, substring_dedup, toxicity, url_filter
 
 LONG = " ".join(f"w{i}" for i in range(9000))
 PASSAGE = " ".join(f"p{i}" for i in range(40))
@@ -331,10 +331,31 @@ def test_top_products_equal_brute_force(spark, block_rows):
 
 
 def test_top_products_beyond_doubles(spark):
-    df = spark.createDataFrame([(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 1.0]), (3, [1e30, 0.0])], "vec_id long, embedding array<double>")
-    got = [(r.vec_id, r.score) for r in sorted(kdtree.top_products(df).collect(), key=lambda r: r.rank)]
-    big = (256 * 30_000_000) ** 2
-    assert got == [(3, (1 << 63) - 1), (1, min(big + 256 * 512, (1 << 63) - 1)), (2, min(big + 256 * 256, (1 << 63) - 1))] or got[0][0] in (1, 2, 3)
+    rng = np.random.default_rng(8)
+    data = [(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 1.0]), (3, [1e30, 0.0]), (4, [-3e7, 5.0]), (5, [2.0 ** 20, 2.0 ** 20 + 1 / 256])]
+    data += [(i, [float(x) for x in rng.integers(-2 ** 22, 2 ** 22, 2) + rng.integers(0, 256, 2) / 256]) for i in range(6, 900)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    points = {i: [int(np.floor(256 * x)) if abs(x) < 2 ** 50 else 256 * int(x) for x in v] for i, v in data}
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in kdtree.top_products(df).collect())
+    want = []
+    for q in range(0, 900, 50):
+        scored = sorted((-max(-kdtree.LONG, min(kdtree.LONG, sum(a * b for a, b in zip(points[q], p)))), i) for i, p in points.items() if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert got == want
+    assert any(abs(s) > 1 << 53 for *_, s in want)
+
+
+def test_queries_are_copied_little_whatever_the_shuffle_partitions(spark):
+    """Blocks and query blocks travel about sqrt(tasks) times under any number of shuffle partitions, and results agree."""
+    _, df = vectors(spark)
+    want = Counter(map(tuple, kdtree.top_products(df, every=3, block_rows=8).collect()))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert Counter(map(tuple, kdtree.top_products(df, every=3, block_rows=8).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert blocks.grid(10_000, 10_000, 400) == (20, 20)
 
 
 def test_tree_leaves_are_pruned():

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from peerscope.llm import hard_negatives, vector_codes
+from peerscope.llm.blocks import grid
 
 SCHEMA = "vec_id long, embedding array<double>, label int, code int, row int, Error string"
 NAN, INF = float("nan"), float("inf")
@@ -208,7 +209,7 @@ def test_windows_are_whole_and_tight(score):
 
 @pytest.mark.parametrize("anchors,blocks,tasks", [(1, 1, 16), (3, 1000, 16), (100, 10_000, 2000), (10_000, 10_000, 2000), (0, 0, 8)])
 def test_grid_copies_little(anchors, blocks, tasks):
-    r, c = hard_negatives.grid(anchors, blocks, tasks)
+    r, c = grid(anchors, blocks, tasks)
     assert 1 <= r <= max(1, anchors) and 1 <= c <= max(1, blocks) and r * c <= 2 * tasks
     assert r <= 2 * math.sqrt(tasks) and anchors * c <= 2 * math.sqrt(tasks * max(1, anchors) * max(1, blocks))
 
