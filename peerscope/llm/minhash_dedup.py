@@ -101,6 +101,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def _shared_nodes(rows: DataFrame) -> DataFrame:
     """(node, set, n): the rows of nodes with two classes or more, and the node's size."""
+    rows = rows.select("node", "set")
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return stage(salted_join(rows, sizes, "node", "set"), "nodes")
 
@@ -114,7 +115,7 @@ def _branch(large: DataFrame) -> DataFrame:
     first, rest = TREES * BRANCHES, COORDINATES - TREES * BRANCHES
     one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(rest)).cast("int")
     other = F.pmod(one + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(rest - 1)).cast("int"), F.lit(rest)).cast("int")
-    return large.select("set", F.explode(F.array(*[F.xxhash64("node", c, _min_hash(c + first)) for c in (one, other)])).alias("node"))
+    return large.select("set", "sig", F.explode(F.array(*[F.xxhash64("node", c, _min_hash(c + first)) for c in (one, other)])).alias("node"))
 
 
 def _matches(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -244,7 +245,7 @@ def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # the first two levels at once: nearly every class shares some min-hash with strangers, few share two
     rows = _shared_nodes(_branch(sigs.select("set", "sig", F.explode(roots).alias("node"))))
     small, crowds = [], []
-    for level in range(2, DEPTH + 1):
+    for level in range(2, DEPTH + 1, 2):
         small.append(rows.filter(F.col("n") <= SMALL_NODE).select("node", "set"))
         large = rows.filter(F.col("n") > SMALL_NODE).select("node", "set")
         large = stage(large.join(sigs, "set").select("node", "set", "sig"), "large-nodes")
@@ -258,7 +259,7 @@ def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
         marked = salted_join(large, crowded.select("node", "other"), "node", "set", how="left")
         crowds.append(marked.filter("other IS NOT NULL"))
         if level < DEPTH:
-            rows = _shared_nodes(_branch(marked.filter("other IS NULL")))
+            rows = _shared_nodes(_branch(_branch(marked.filter("other IS NULL").select("node", "set", "sig"))))  # two levels at once again
     members = _union(small)
     groups = max(1, members.count() // GROUP_ROWS)
     pairs = members.join(sigs, "set").withColumn("part", F.pmod("node", F.lit(groups))) \
@@ -319,17 +320,39 @@ def _with_sigs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return pairs
 
 
-def star_pairs(crowd: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(a, b): each class of a crowd with the two most alike of the crowd's classes nearest to P."""
+def _nearest_to_p(members: DataFrame, n: int) -> DataFrame:
+    """(crowd, b) of the ``n`` members of each crowd that are nearest to P."""
     near = F.col("inside") / (F.col("n") + F.col("common") - F.col("inside"))
     nth = F.row_number().over(W.partitionBy("crowd").orderBy(near.desc(), "set"))
-    centres = crowd.select("crowd", "set", "n", "inside", "common").withColumn("nth", nth).filter(F.col("nth") <= CENTRES) \
-        .select("crowd", F.col("set").alias("b")).join(sigs.select(F.col("set").alias("b"), F.col("sig").alias("sig_b")), "b")
-    rows = crowd.select("crowd", F.col("set").alias("a")).join(sigs.select(F.col("set").alias("a"), F.col("sig").alias("sig_a")), "a")
-    found = _alike(salted_join(rows, centres, "crowd", "a").filter("a <> b"))
-    both = found.union(found.select("b", "a", "est")).distinct()
-    best = both.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy(F.desc("est"), "b"))).filter("nth <= 2")
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return members.select("crowd", "set", "n", "inside", "common").withColumn("nth", nth).filter(F.col("nth") <= n) \
+        .select("crowd", F.col("set").alias("b"))
+
+
+def _best_hubs(asked: DataFrame, hubs: DataFrame, sigs: DataFrame, tries: int) -> DataFrame:
+    """(a, b): each asked (crowd, a) with the ``tries`` most alike of its crowd's few hubs (crowd, b).
+
+    A crowd's hubs are packed into one row, so no pair leaves the task but the best.
+    """
+    packed = hubs.join(sigs.select(F.col("set").alias("b"), "sig"), "b").groupBy("crowd").agg(F.sort_array(F.collect_list(F.struct("b", "sig"))).alias("hubs"))
+    rows = asked.select("crowd", F.col("a").alias("set")).join(sigs.select("set", "sig"), "set")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for a, sig, few in zip(*(batch[c].to_pylist() for c in ("set", "sig", "hubs")), strict=True):
+                theirs = np.frombuffer(b"".join(h["sig"] for h in few), dtype=np.uint16).reshape(-1, COORDINATES)
+                est = (theirs == np.frombuffer(sig, dtype=np.uint16)).sum(axis=1)
+                order = [i for i in np.argsort(-est, kind="stable").tolist() if est[i] >= LEAST_MATCHES and few[i]["b"] != a][:tries]
+                left += [min(a, few[i]["b"]) for i in order]
+                right += [max(a, few[i]["b"]) for i in order]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+    return salted_join(rows, packed, "crowd", "set").select("set", "sig", "hubs").mapInArrow(best, "a binary, b binary").distinct()
+
+
+def star_pairs(crowd: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b): each class of a crowd with the two most alike of the crowd's classes nearest to P."""
+    return _best_hubs(crowd.select("crowd", F.col("set").alias("a")), _nearest_to_p(crowd, CENTRES), sigs, 2)
 
 
 def _rare_extras(crowd: DataFrame) -> DataFrame:
@@ -414,15 +437,9 @@ def _different(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
 
 def hub_pairs(named: DataFrame, strays: DataFrame, sigs: DataFrame) -> DataFrame:
     """(a, b): the strays of the crowds with the most alike of ``HUBS`` classes of the main component, nearest to P."""
-    near = F.col("inside") / (F.col("n") + F.col("common") - F.col("inside"))
     mains = strays.select("crowd", "main").distinct()
-    hubs = salted_join(named, mains, "crowd", "set").filter("root = main") \
-        .withColumn("nth", F.row_number().over(W.partitionBy("crowd").orderBy(near.desc(), "set"))) \
-        .filter(F.col("nth") <= HUBS).select("crowd", F.col("set").alias("b"))
-    found = _alike(_with_sigs(salted_join(strays.select("crowd", "a"), hubs, "crowd", "a"), sigs))
-    both = found.union(found.select("b", "a", "est")).join(strays.select("a").distinct(), "a", "left_semi")
-    best = both.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy(F.desc("est"), "b"))).filter(F.col("nth") <= FIRST_TRIES)
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of_main = salted_join(named, mains, "crowd", "set").filter("root = main")
+    return _best_hubs(strays.select("crowd", "a"), _nearest_to_p(of_main, HUBS), sigs, FIRST_TRIES)
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
