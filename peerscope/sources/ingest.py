@@ -61,8 +61,9 @@ def _stage(run: StagedRun, landed: Landed, date: dt.date | str, sample_rows: int
                                        invalid=F.count_if(invalid), broken=F.max(broken))
     kept = counted.filter(~left_out)
     typed = landed.contract.typed(kept) if landed.contract else kept.drop("_valid", "_discarded", R.BAD)
-    n = run.write_partition(typed, landed.source, date, counts)
+    run.write_partition(typed, landed.source, date, counts)
     found = counts.get
+    n = int(found["rows"] - found["discarded"])
     if found["broken"] is not None:
         raise R.broken_document(landed.path, found["broken"])
     return TableReport(landed.source, n, int(found["invalid"]), n < landed.minimum, int(found["discarded"]))

@@ -130,7 +130,10 @@ class StagedRun:
 
     def write_partition(self, df: DataFrame, source: str, ingestion_date: dt.date | str,
                         observation: Observation | None = None) -> int:
-        """B1: write a source's snapshot aside as its ``ingestion_date`` partition; the number of rows written."""
+        """B1: write a source's snapshot aside as its ``ingestion_date`` partition; the rows counted.
+
+        An ``observation`` that ``df`` already carries has its own ``rows``.
+        """
         day = f"ingestion_date={ingestion_date}"
         rows = observation or Observation(f"staged_{uuid.uuid4().hex}")
         observed = df if observation else df.observe(rows, F.count(F.lit(1)).alias("rows"))
