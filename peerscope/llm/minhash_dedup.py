@@ -14,7 +14,9 @@ or (ii) has a shingle outside P in common with x, which only the rarest of them
 P is: so a crowd of any size is finished without its pairs, and no link is lost to P.
 
 A large crowd is recognised before the trees: its classes share one of a few min-hashes.  Only ``STAND_INS`` of its
-classes go through the trees, and what meets one of them there becomes a member of the crowd.
+classes go through the trees, and what meets one of them there becomes a member of the crowd.  A class that is similar to a
+single one of a crowd's classes, and just so, misses all stand-ins with a chance of about one in a hundred thousand.  Below
+the first two levels large nodes branch two levels at once.
 
 Candidates are confirmed on the full shingle sets of the texts: first each class's best candidates, then a crowd's strays
 against the hubs of its main component, then, in rounds, the most alike few of all pairs that would still join the same two
