@@ -62,7 +62,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
 
     Null text has no lines and stays null; an empty text is one empty line.  Texts of fewer than three lines and
     texts without removals stay as they are.  Rows with equal id and text are one document here: all get the same
-    result.  Rows with a null id take part and come last in the order.  Other columns pass through.
+    result.  Rows with a null id take part and come last in the order.  Texts of any length are taken whole.  An empty
+    table gives an empty result; other columns pass through.
     """
     out = {n: hidden(n, docs.columns) for n in ("n_lines", "n_removed", "doc", "body", "covered")}
     covered = covered_lines(docs, doc_id, text, width).select(*[F.col(c).alias(out[c]) for c in ("doc", "body", "covered")])

@@ -71,8 +71,9 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int =
     """doc_id, piece, start_word, n_words, bin_id, bin_offset, source: where each piece of each text goes.
 
     Words are runs of bytes other than 0x20 and 0x09-0x0D.  ``cluster`` names a column of duplicate clusters; without
-    it equal texts are one, or with ``near`` the components of ``near_duplicates``, rows without an id included.  Null and empty texts are pieces of 0 words; they and null sources conflict with nothing.
-    Repeated rows are packed each for itself, in different bins.  An empty table gives an empty result.
+    it equal texts are one, or with ``near`` the components of ``near_duplicates``, rows without an id included.  Null and
+    empty texts are pieces of 0 words; they and null sources conflict with nothing.  A text of more words than a bin holds
+    is cut into full pieces and a rest.  Bins that fit equally well: the oldest takes the piece.  Repeated rows are packed each for itself, in different bins.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = docs.select(

@@ -154,4 +154,5 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law (rows), shard, slot, grown_shard of every document over 24 shards; null texts have 8 bytes."""
     return assign_shards(table(spark, sf_dir, "documents"))

@@ -3,19 +3,52 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from peerscope.session import checkpoint_dir
+from peerscope.sources.publish import Folders
 
+_AT_END: ContextVar[list[Callable[[], None]] | None] = ContextVar("at_end", default=None)
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: cuts the lineage, survives lost executors."""
+
+@contextmanager
+def stages_dropped() -> Iterator[None]:
+    """Deletes what operators stage and broadcast inside, on leaving, after an error too.
+
+    What is made from their frames must be written by then (``stage(..., keep=True)`` or any other write).  Without
+    this scope the tables stay until ``spark.checkpoint.dir`` is cleared.  Of nested scopes the inner one answers.
+    """
+    done: list[Callable[[], None]] = []
+    token = _AT_END.set(done)
+    try:
+        yield
+    finally:
+        _AT_END.reset(token)
+        for end in reversed(done):
+            end()
+
+
+def at_end(end: Callable[[], None]) -> None:
+    """``end`` is called when the surrounding ``stages_dropped`` is left; without one, never."""
+    if (done := _AT_END.get()) is not None:
+        done.append(end)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: cuts the lineage, survives lost executors.
+
+    ``stages_dropped`` leaves it alone with ``keep``.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/peerscope-llm/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        at_end(lambda: Folders(spark).delete(path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from peerscope.llm.shared import byte_texts, hidden, table, window_hashes, word_hashes
+from peerscope.llm.shared import byte_texts, hidden, stage, table, window_hashes, word_hashes
 
 WIDTH = 35
 GROUP_BYTES = 4_000_000
@@ -87,13 +87,19 @@ class _Group:
         return (window_hashes(self.words, self.width, 5), _low(window_hashes(self.words, self.width, 6)), self.inside(self.width))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, group_bytes: int = GROUP_BYTES,
+                   settled: bool = False) -> DataFrame:
     """``docs`` with n_words, n_removed and kept (the words left, joined by a space); hidden names on a clash.
 
     A word goes if a window of ``width`` consecutive words that covers it starts anywhere else too, in the same text,
     another one or a repeated row.  Null and empty texts have no words (kept is empty).  Texts shorter than a window
-    keep all.  Ids are not looked at; other columns pass through; an empty table gives an empty result.
+    keep all; very long ones are taken whole.  Ids are not looked at; other columns pass through; an empty table gives
+    an empty result.
+
+    The rows are read several times and must fall into the same groups each time, so they are staged first.  Pass
+    ``settled`` for a frame that reads files, whose rows come in the same parts each time anyway.
     """
+    docs = docs if settled else stage(docs, "repeat-texts")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = max(1, math.ceil(total / group_bytes))
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
@@ -198,7 +204,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, grou
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(docs, settled=True).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 SQL = r"""

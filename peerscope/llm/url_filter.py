@@ -1,8 +1,8 @@
 """URL filters: allow and block rules first, else logistic regression on hashed character n-grams of host and path.
 
 Everything is DataFrame functions.  The model is trained by full-batch gradient descent on a small labelled URL
-table, as one higher-order expression over that table's collected feature lists (bounded by the table), and its
-``DIMENSIONS`` weights are a constant of the scoring plan.
+table, as one higher-order expression over that table's collected feature lists (at most ``MAX_LABELLED`` rows), and
+its ``DIMENSIONS`` weights are a constant of the scoring plan.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ GRAM = 4
 EPOCHS = 60
 RATE = 4.0
 DECAY = 0.001
+MAX_LABELLED = 10_000
 
 # The default labelled table: (url, 1 = block).  Any DataFrame (url, label) can take its place.
 LABELLED = [
@@ -82,15 +83,17 @@ def _sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def train(labelled: DataFrame, n: int = GRAM, dimensions: int = DIMENSIONS, epochs: int = EPOCHS) -> tuple[list[float], float]:
+def train(labelled: DataFrame, n: int = GRAM, dimensions: int = DIMENSIONS, epochs: int = EPOCHS,
+          limit: int = MAX_LABELLED) -> tuple[list[float], float]:
     """Weights and bias learnt from a small table (url, label); rows with a null label are left out.
 
-    Without rows all weights are 0 (every url scores 0.5).  Labels are taken in url order, so the result is the same
-    for any partitioning.
+    Of a table of more than ``limit`` labelled rows those with the smallest url hashes are learnt.  Without rows all
+    weights are 0 (every url scores 0.5).  Labels are taken in url order, so the result is the same for any partitioning.
     """
     rows = labelled.filter(F.col("label").isNotNull()).select(
         F.struct(F.coalesce("url", F.lit("")).alias("url"), F.col("label").cast("double").alias("y"),
                  features(host_of(F.col("url")), path_of(F.col("url")), n, dimensions).alias("x")).alias("r"))
+    rows = rows.orderBy(F.xxhash64("r.url"), "r").limit(limit)
     table_ = rows.agg(F.sort_array(F.collect_list("r")).alias("rows"))
     zero = F.array_repeat(F.lit(0.0), dimensions + 1)  # the last place is the bias
     count = F.greatest(F.size("rows"), F.lit(1)).cast("double")
@@ -113,7 +116,7 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: list[tuple[str, str]]
     """``pages`` with host, path, rule, verdict and score (hidden names on a clash).
 
     Null urls and urls without ``://`` have an empty host and path, fit no rule and get the method's verdict on the
-    empty address.  Repeated rows are judged alike; an empty table gives an empty result; other columns pass through.
+    empty address.  Urls of any length are judged whole.  Repeated rows are judged alike; a score of exactly 0.5 blocks; an empty table gives an empty result; other columns pass through.
     """
     spark = pages.sparkSession
     labelled = labelled if labelled is not None else spark.createDataFrame(LABELLED, "url string, label int")
