@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import (
@@ -105,14 +105,16 @@ KPI_COLUMNS = [
 
 
 def mart_olist(fact_orders: DataFrame, geolocation: DataFrame, municipios: DataFrame,
-               dim_sellers: DataFrame, since: str = SINCE) -> DataFrame:
+               dim_sellers: DataFrame, since: str = SINCE, geocoded: Observation | None = None) -> DataFrame:
     """P25: order indicators per municipality x year.
 
     Orders are geocoded zip -> (city slug, state) -> municipality (E5): the two
     lookups, one row per zip and per municipality, meet first, and the orders
     join the result once, salted, so that a zip with a third of the orders is
     divided; unmatched orders drop (T14).  The time filter is a range on the
-    timestamp, so it reaches the scan.
+    timestamp, so it reaches the scan.  ``geocoded`` gets the orders in scope
+    (``total``) and those with a municipality (``matched``) from the job that
+    writes the mart.
     """
     m = municipios.select("id_municipio", "nome_municipio", "nome_municipio_slug", "uf_sigla", "macroregiao_nome")
     g = geolocation.select("geolocation_zip_code_prefix", "geolocation_city_slug", "geolocation_state")
@@ -120,8 +122,12 @@ def mart_olist(fact_orders: DataFrame, geolocation: DataFrame, municipios: DataF
     facts = fact_orders.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast(ts_type))
     of_zip = g.join(m, (g["geolocation_city_slug"] == m["nome_municipio_slug"]) & (F.upper(g["geolocation_state"]) == m["uf_sigla"]), "inner") \
         .select(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"), *PLACE_KEYS)
-    facts = salted_join(facts, of_zip, "customer_zip_code_prefix", "order_id").withColumn("ano", F.year("order_purchase_timestamp"))
-    agg = order_kpis(facts, [*PLACE_KEYS, "ano"])
+    if geocoded is None:
+        facts = salted_join(facts, of_zip, "customer_zip_code_prefix", "order_id")
+    else:
+        found = salted_join(facts, of_zip.withColumn("_found", F.lit(True)), "customer_zip_code_prefix", "order_id", "left")
+        facts = found.observe(geocoded, F.count(F.lit(1)).alias("total"), F.count("_found").alias("matched")).filter("_found").drop("_found")
+    agg = order_kpis(facts.withColumn("ano", F.year("order_purchase_timestamp")), [*PLACE_KEYS, "ano"])
     sellers = (
         computed_key_join(dim_sellers, m, "seller_city", "seller_state", "nome_municipio_slug", "uf_sigla")
         .groupBy("id_municipio").agg(F.count("seller_id").alias("vendedores_no_municipio"))
