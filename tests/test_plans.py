@@ -93,3 +93,12 @@ def test_no_job_runs_while_a_panel_is_built(spark):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) - before <= tables
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_order_models_derive_the_staged_lines_once(spark):
+    """Payments, items and their distinct counts read the written staging tables, not the lines again."""
+    from peerscope.plans.model_queries import QUERIES
+
+    for name in ("int_fact_orders", "mart_orders"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and "payment_type" in plan
