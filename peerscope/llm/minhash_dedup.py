@@ -13,10 +13,12 @@ similar to a class y that (i) is short enough for the P-shingles of both to suff
 or (ii) has a shingle outside P in common with x, which only the rarest of them need to tell.  Both are equality joins, and the two cases are all there are whatever
 P is: so a crowd of any size is finished without its pairs, and no link is lost to P.
 
-A large crowd is recognised before the trees: its classes share one of a few min-hashes.  Only ``STAND_INS`` of its
-classes go through the trees, and what meets one of them there becomes a member of the crowd.  A class that is similar to a
-single one of a crowd's classes, and just so, misses all stand-ins with a chance of about one in a hundred thousand.  Below
-the first two levels large nodes branch two levels at once.
+A large crowd is recognised before the trees: its classes share one of a few min-hashes.  Its core, the classes with
+``LEAST_MATCHES`` of the crowd's most frequent min-hashes, stays out of the trees.  Differing min-hashes are a distance, so
+whatever has ``LEAST_MATCHES`` in common with a class of the core has ``LEAST_NEAR`` in common with those most frequent ones:
+an equality join on min-hashes finds all such classes, and they are members of the crowd too.  All classes outside cores go
+through the trees, members of a crowd or not, so no pair of classes is left to chance beyond the trees'.  Below the first two
+levels large nodes branch two levels at once.
 
 Candidates are confirmed on the full shingle sets of the texts: first each class's best candidates, then a crowd's strays
 against the hubs of its main component, then, in rounds, the most alike few of all pairs that would still join the same two
@@ -50,8 +52,7 @@ CENTRES = 8
 HUBS = 32  # classes of a crowd's main component that its strays are held against first
 CROWD_CLASSES = 256  # classes with one min-hash, from which on they are looked at as a crowd before the trees
 CROWD_COORDINATES = 3
-STAND_INS = 256  # classes that stand for a crowd in the trees
-LEAST_NEAR = 26  # of 128 min-hashes, from which on a class that meets a stand-in is held against the whole crowd
+LEAST_NEAR = 2 * LEAST_MATCHES - COORDINATES  # the least a candidate of a core's class has in common with the crowd's most frequent ones
 FIRST_TRIES = 4  # pairs of two components confirmed in the first round, four times as many in each further one
 
 _FACTOR = mix(np.arange(COORDINATES, dtype=np.uint64), 21) | np.uint64(1)
@@ -151,21 +152,16 @@ def _matches_of(rows: DataFrame, keep: str) -> DataFrame:
 
 
 def _compared(group: pa.Table) -> pa.Table:
-    """(a, b, est): the classes of each small node compared exhaustively; ``group`` holds many nodes.
-
-    A pair with a crowd's stand-in needs fewer equal min-hashes.
-    """
+    """(a, b, est): the classes of each small node compared exhaustively; ``group`` holds many nodes."""
     group = group.sort_by([("node", "ascending"), ("set", "ascending")])
     node = group["node"].to_numpy()
     sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
     starts = np.flatnonzero(np.diff(node, prepend=node[0] - 1))
-    stands = group["stands"].to_numpy()
     left, right, est = [], [], []
     for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
         x = sigs[start:end]
         equal = (x[:, None, :] == x[None, :, :]).sum(axis=2)
-        least = np.where(stands[start:end, None] | stands[None, start:end], LEAST_NEAR, LEAST_MATCHES)
-        i, j = np.nonzero(np.triu(equal >= least, 1))
+        i, j = np.nonzero(np.triu(equal >= LEAST_MATCHES, 1))
         left.append(i + start)
         right.append(j + start)
         est.append(equal[i, j])
@@ -219,30 +215,48 @@ def recognise(sigs: DataFrame) -> DataFrame | None:
     return stage(salted_join(named, names, "root", "set").select("crowd", "set"), "crowd-members")
 
 
+def _modes(known: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Staged (crowd, other): the most frequent min-hashes of a sample of each crowd."""
+    sample = _sampled(known, "crowd", SAMPLE).join(sigs, "set").select(F.col("crowd").alias("node"), "sig")
+    modes = sample.groupBy("node").applyInArrow(_consensus, "node binary, other binary, likeness double")
+    return stage(modes.select(F.col("node").alias("crowd"), "other"), "crowd-modes")
+
+
+def _meeting(rows: DataFrame, modes: DataFrame) -> DataFrame:
+    """(crowd, set, est) of the (set, sig, own) with ``LEAST_NEAR`` of the most frequent min-hashes of a crowd not their own."""
+    key = F.explode(F.array(*[F.xxhash64(F.lit(c), _min_hash(F.lit(c))) for c in range(COORDINATES)]))
+    theirs = stage(modes.select("crowd", F.col("other").alias("sig")).select("crowd", key.alias("key")), "mode-keys")
+    met = rows.select("set", "own", key.alias("key")).join(theirs, "key").filter(~F.col("crowd").eqNullSafe(F.col("own")))
+    return met.groupBy("crowd", "set").agg(F.count(F.lit(1)).cast("int").alias("est")).filter(F.col("est") >= LEAST_NEAR)
+
+
 def find_candidates(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staged (a, b, est) candidates and staged (crowd, set) of all crowds, from (set, sig).
 
-    Of a crowd recognised beforehand only some stand-ins go through the trees; whatever meets one of them there is held
-    against the whole crowd, as a member of it.  Crowds that meet are one.
+    The core of a crowd recognised beforehand stays out of the trees: all that may be similar to a class of it is a
+    member of the crowd.  Of recognised classes that have little in common with their crowd only the trees take care.
     """
     known = recognise(sigs)
     if known is None:
-        return grow_trees(sigs.withColumn("stands", F.lit(False)))
-    stand_ins = stage(_sampled(known, "crowd", STAND_INS), "stand-ins")
-    others = sigs.join(known, "set", "left_anti").withColumn("stands", F.lit(False))
-    candidates, crowds = grow_trees(stage(others.union(sigs.join(stand_ins.select("set"), "set").withColumn("stands", F.lit(True))), "tree-classes"))
-    by_stand_in = stand_ins.select(F.col("crowd").alias("known"), "set")
-    near = _union([candidates.join(by_stand_in.withColumnRenamed("set", end), end).select(F.col("known").alias("crowd"), F.col(other).alias("set"))
-                   for end, other in (("a", "b"), ("b", "a"))])
-    rows = stage(known.union(crowds).union(near).distinct(), "all-crowds")
-    links = rows.join(by_stand_in, "set").select(F.col("crowd").alias("a"), F.col("known").alias("b"))
-    names = connected_components(links.distinct())
-    one = salted_join(rows, names.withColumnRenamed("node", "crowd"), "crowd", "set", "left").select(F.coalesce("root", "crowd").alias("crowd"), "set")
-    return candidates.filter(F.col("est") >= LEAST_MATCHES), stage(one.distinct(), "crowds")
+        return grow_trees(sigs)
+    modes = _modes(known, sigs)
+    alike = _meeting(modes.select(F.col("crowd").alias("set"), F.col("other").alias("sig"), F.col("crowd").alias("own")), modes)
+    alike = stage(alike.select(F.col("crowd").alias("a"), F.col("set").alias("b")), "alike-crowds")
+    if not alike.isEmpty():  # crowds that meet are one
+        names = connected_components(alike).withColumnRenamed("node", "crowd")
+        known = stage(salted_join(known, names, "crowd", "set", "left").select(F.coalesce("root", "crowd").alias("crowd"), "set"), "crowd-members")
+        modes = _modes(known, sigs)
+    placed = stage(sigs.join(known.withColumnRenamed("crowd", "own"), "set", "left").select("set", "sig", "own"), "placed")
+    of_own = salted_join(placed.filter("own IS NOT NULL").withColumnRenamed("own", "crowd"), modes, "crowd", "set")
+    of_own = _matches_of(of_own, "crowd").filter(F.col("est") >= LEAST_NEAR).select("crowd", "set", "est")
+    held = stage(of_own.union(_meeting(placed, modes)), "held")
+    core = held.filter(F.col("est") >= LEAST_MATCHES).select("set")
+    candidates, crowds = grow_trees(stage(sigs.join(core, "set", "left_anti"), "tree-classes"))
+    return candidates, stage(crowds.union(held.select("crowd", "set")).distinct(), "all-crowds")
 
 
 def grow_trees(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig, stands)."""
+    """Staged (a, b, est) candidates of the small nodes, and staged (crowd, set) of the crowds, from (set, sig)."""
     roots = F.array(*[F.xxhash64(F.lit(t), F.lit(c), _min_hash(F.lit(c))) for t in range(TREES) for c in range(t * BRANCHES, (t + 1) * BRANCHES)])
     # the first two levels at once: nearly every class shares some min-hash with strangers, few share two
     rows = _shared_nodes(_branch(sigs.select("set", "sig", F.explode(roots).alias("node"))))

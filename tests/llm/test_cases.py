@@ -430,6 +430,48 @@ def test_a_large_group_of_near_copies_is_one_component(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(df).collect()} == want
 
 
+def crowd_with_odd_classes(rng):
+    """600 versions of a text, and pairs of alike texts of which only one has the crowd's min-hash, and little else, in common."""
+    base = [f"v{i}" for i in range(120)]
+    versions = [" ".join([*base[:i % 120], f"n{i}", *base[i % 120 + 1:]]) for i in range(600)]
+
+    def last_min_hash(text):
+        return minhash_dedup.min_hashes(minhash_dedup.shingle_sets([text.encode()])[0])[-2:]
+
+    mark = last_min_hash(" ".join(base))
+    at = next(i for i in range(116) if last_min_hash(" ".join(base[i:i + 5])) == mark)
+    pairs = []
+    while len(pairs) < 10:
+        odd = [f"w{x}" for x in rng.integers(0, 10**9, 100)]
+        odd[50:55] = base[at:at + 5]
+        if last_min_hash(" ".join(odd)) == mark:
+            pairs.append((" ".join(odd), " ".join([*odd[:52], "changed", *odd[53:]])))
+    return versions, pairs
+
+
+def test_a_crowds_odd_classes_keep_their_links(spark):
+    versions, pairs = crowd_with_odd_classes(np.random.default_rng(9))
+    data = [(i, t) for i, t in enumerate(versions)] + [(1000 + 2 * i + j, t) for i, pair in enumerate(pairs) for j, t in enumerate(pair)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df).collect()}
+    assert {got[i] for i in range(600)} == {0}
+    assert [(got[1000 + 2 * i], got[1001 + 2 * i]) for i in range(10)] == [(1000 + 2 * i,) * 2 for i in range(10)]
+
+
+def test_outside_a_core_nothing_alike_is_left(spark):
+    """A class like a single version of the crowd meets the crowd by its min-hashes; cores stay out of the trees."""
+    versions, _ = crowd_with_odd_classes(np.random.default_rng(9))
+    words = versions[7].split()
+    single = " ".join([*words[:105], *(f"x{j}" for j in range(12))])
+    texts = [t.encode() for t in [*versions, single]]
+    data = [(str(i).encode(), bytearray(minhash_dedup.min_hashes(s))) for i, s in enumerate(minhash_dedup.shingle_sets(texts))]
+    candidates, crowds = minhash_dedup.find_candidates(spark.createDataFrame(data, "set binary, sig binary"))
+    members = {}
+    for r in crowds.collect():
+        members.setdefault(bytes(r.crowd), set()).add(bytes(r.set))
+    assert any(len(m) == 601 for m in members.values()) and candidates.count() == 0
+
+
 def test_drop_near_duplicates(docs, empty):
     got = minhash_dedup.drop_near_duplicates(docs)
     assert got.columns == docs.columns
