@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
 from collections.abc import Iterator, Sequence
 from functools import cache
@@ -33,8 +34,12 @@ LEAST_CUT = 64
 KNOWN_WORDS = 1_000_000  # words a Python worker remembers
 KNOWN_LENGTH = 64  # letters of a word worth remembering
 BLOCK = 1_000_000  # characters looked at together
-CLOSING = ".,;:!?$%&*"
-ALNUM = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+TOGETHER = 1000  # unseen words encoded in one call
+CLOSING = ".,;:!?$%&*#)]}\">/"
+ALNUM = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | frozenset(map(chr, range(0xC0, 0x100))) - {"×", "÷"}
+
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARK = re.compile("[\u0300-\u036f]")
 
 Part = tuple[int, int, int]  # item, first id, ids
 
@@ -68,6 +73,32 @@ def _width(path: str) -> str:
     return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
+@cache
+def _ends(path: str) -> np.ndarray | None:
+    """Whether an id ends a piece; None: the tokenizer does not tell."""
+    tokenizer = _tokenizer(path)
+    if not (suffix := getattr(tokenizer.model, "end_of_word_suffix", None)):
+        return None
+    out = np.zeros(1 << 16 if _width(path) == "<u2" else max(tokenizer.get_vocab().values()) + 1, dtype=bool)
+    out[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+    return out
+
+
+@cache
+def _lowers(path: str) -> bool:
+    """Whether the tokenizer takes A-Z for a-z."""
+    normalizer = _tokenizer(path).normalizer
+    return normalizer is not None and normalizer.normalize_str("ABCDEFGHIJKLMNOPQRSTUVWXYZ") == "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lowered(block: str) -> str:
+    """A-Z in lower case, unless the block has combining marks: they join a letter before it is lowered."""
+    try:
+        return block.encode("latin-1").lower().decode("latin-1")
+    except UnicodeEncodeError:
+        return block if _MARK.search(block) else block.encode().lower().decode()
+
+
 def _blocks(text: str) -> Iterator[str]:
     """The text in pieces of about ``BLOCK`` characters, cut at spaces."""
     start = 0
@@ -81,10 +112,11 @@ def encoded(text: str | None, path: str) -> bytes:
     """The ids of a text as numbers of ``_width``, without an end id; a null has none.
 
     The tokenizer's pieces never cross white space, so a text is cut at spaces and line feeds and encoded word by word;
-    a word that this Python process has seen is not encoded again.
+    a word that this Python process has seen, in whatever case, is not encoded again.
     """
     known, out = _known_words(path), []
     for block in _blocks(text or ""):
+        block = _lowered(block) if _lowers(path) else block
         words = block.replace("\n", " ").split(" ")
         new = set(words).difference(known)
         if len(known) + len(new) > KNOWN_WORDS:
@@ -99,11 +131,24 @@ def encoded(text: str | None, path: str) -> bytes:
 
 
 def _learn(words: set[str], known: dict[str, bytes], path: str) -> None:
-    """Encode words; closing marks behind an ASCII letter or digit are a piece of their own, so what they close is shared."""
+    """Encode words; closing marks behind a letter or digit are a piece of their own, so what they close is shared.
+
+    Words of letters alone are one piece each: many are encoded in one call, and the ids that end a piece part them.
+    """
     closed_by = {w: (stem, w[len(stem):]) for w in words if len(w) <= KNOWN_LENGTH and (stem := w.rstrip(CLOSING)) != w and stem and stem[-1] in ALNUM}
     plain = list({p for pair in closed_by.values() for p in pair}.difference(known) | words.difference(closed_by))
     letter = "H" if _width(path) == "<u2" else "I"
     fast = _tokenizer(path).encode_batch_fast  # the same ids, without offsets
+    if (ends := _ends(path)) is not None:
+        single = [w for w in plain if _LETTERS.fullmatch(w)]
+        for i in range(0, len(single), TOGETHER):
+            some = single[i: i + TOGETHER]
+            ids = np.array(fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=_width(path))
+            stops = (np.flatnonzero(ends[ids]) + 1) * ids.itemsize
+            if len(stops) == len(some):
+                raw, cuts = ids.tobytes(), stops.tolist()
+                known.update((w, raw[a:b]) for w, a, b in zip(some, [0, *cuts], cuts, strict=False))
+        plain = [w for w in plain if w not in known]
     for w, e in zip(plain, fast(plain, add_special_tokens=False), strict=True):
         ids = e.ids
         known[w] = struct.pack(f"<{len(ids)}{letter}", *ids)

@@ -129,3 +129,15 @@ def test_op13_has_the_contract(spark):
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start: r.start + r.length], dtype="<u4").tobytes())
     lengths = check(packing.pack_sequences(docs), docs)
     assert sum(packing._padded(n, 2048) for n in lengths) < 0.01 * sum(lengths)
+
+
+def test_words_are_encoded_once_whatever_their_case_and_closing_marks():
+    path, known = packing.default_tokenizer(), packing._known_words(packing.default_tokenizer())
+    known.clear()
+    text = "Stone STONE stone### (Stone) çédé, ÇÉDÉ"
+    want = tokenizer().encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encoded(text, path), dtype=packing._width(path)).tolist() == want
+    assert "stone" in known and "###" in known and "Stone" not in known and "STONE" not in known and "çédé" in known
+    for odd in ("H̱a ẖa", "İ. İst", "x̸. ≠", "é. É#", "a'. 'S) it'S]", "</w> A</w>", "\xd7# \xaa) \xb5]"):
+        want = tokenizer().encode(odd, add_special_tokens=False).ids
+        assert np.frombuffer(packing.encoded(odd, path), dtype=packing._width(path)).tolist() == want
